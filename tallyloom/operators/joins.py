@@ -10,16 +10,12 @@ from pyspark.sql import functions as F
 from tallyloom.functions import calendar
 
 
-def rates_of(fx: DataFrame, scenario: str | DataFrame, target: str = "US",
+def rates_of(fx: DataFrame, scenario: str | Column, target: str = "US",
              countries: Sequence[str] | None = None) -> DataFrame:
-    """``country_code, fx_rate`` of one scenario; the scenario is a name or a one-row frame."""
-    rows = fx.filter(F.col("target_country_code") == target)
+    """``country_code, fx_rate, scenario`` of one scenario, given by name or as a scalar subquery."""
+    rows = fx.filter((F.col("target_country_code") == target) & (F.col("scenario") == scenario))
     if countries is not None:
         rows = rows.filter(F.col("source_country_code").isin(*countries))
-    if isinstance(scenario, str):
-        rows = rows.filter(F.col("scenario") == scenario)
-    else:
-        rows = rows.join(scenario, "scenario")
     return rows.select(F.col("source_country_code").alias("country_code"), "fx_rate", "scenario")
 
 

@@ -45,10 +45,14 @@ def latest_id_per(df: DataFrame, by: str | Sequence[str], identifier: str) -> Da
     return df.groupBy(*([by] if isinstance(by, str) else by)).agg(F.max(identifier).alias(identifier))
 
 
-def only_value(df: DataFrame, column: str) -> DataFrame:
-    """The one value of a pointer table, as a one-row frame; fails if there are several rows."""
-    many = F.raise_error(F.concat(F.lit(f"more than one row of {column}: "), F.count("*").cast("string")))
-    return df.agg(F.when(F.count("*") > 1, many.cast("string")).otherwise(F.max(column)).alias(column))
+def only_value(df: DataFrame, column: str) -> Column:
+    """The one value of a pointer table as a scalar subquery: NULL if empty, an error if several rows."""
+    return df.select(column).scalar()
+
+
+def largest(df: DataFrame, column: str) -> Column:
+    """The largest value of a column as a scalar subquery (NULL for an empty frame)."""
+    return df.agg(F.max(column)).scalar()
 
 
 def portfolio_list(forecasts: DataFrame, n: int, status: str | None = None,

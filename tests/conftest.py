@@ -10,7 +10,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", "local[8]", spark__sql__shuffle__partitions="8",
-                            spark__ui__enabled="false", spark__driver__memory="8g")
+                            spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="8g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
