@@ -24,6 +24,15 @@ def converted(amount: Column, rate: Column | None = None) -> Column:
     return amount * (F.col("fx_rate") if rate is None else rate)
 
 
+def converted_total(total: Column) -> Column:
+    """A sum in the target currency.
+
+    Sums of DECIMAL(18,s) are DECIMAL(28,s); times a DECIMAL(12,6) rate they would pass 38 digits and lose
+    scale. 25 digits hold any total (19 before the point) and keep the product exact; a larger one raises.
+    """
+    return total.cast("decimal(25,6)") * F.col("fx_rate")
+
+
 def net_flow(start: Column, convert_in: Column, cancel: Column, convert_out: Column) -> Column:
     return start + convert_in - cancel - convert_out
 

@@ -81,11 +81,13 @@ def beside_prior_year(rows: DataFrame, day: str, keys: Sequence[str], measures:
     Partners share planning week and weekday, and their planning years differ by one, so
     (year, week, weekday) names a single day. Current and prior rows are therefore tagged with the
     current day's key and summed side by side in one aggregation: one exchange, no join. Days without
-    current rows are dropped, days without prior rows keep NULL (as a left join would). A row may be
-    current and prior at once.
+    current rows are dropped, days without prior rows keep NULL (as a left join would). As in a join, a
+    NULL key has no partner. A row may be current and prior at once.
     """
     cy, py = suffixes
     d = F.col(day)
+    for key in keys:
+        prior = prior & F.col(key).isNotNull()
     sides = F.array_compact(F.array(
         F.when(current, F.struct(F.lit(0).alias("shift"), d.alias("own"))),
         F.when(prior, F.struct(F.lit(1).alias("shift"), F.lit(None).cast("date").alias("own")))))

@@ -102,6 +102,6 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     priced = with_rate(joined, rates_of(t["fx_rates"], p.scenario, p.target_country, p.countries), "left")
     held = F.col("members") - F.coalesce("shock", F.lit(0))
     result = priced.groupBy(*KEYS, F.trunc("target_day", "month").alias("target_month")).agg(
-        F.sum("shipped_units").alias("shipped_units"), F.sum(measures.converted(F.col("gms"))).alias("gms_usd"),
+        F.sum("shipped_units").alias("shipped_units"), F.sum(measures.converted_total(F.col("gms"))).alias("gms_usd"),
         measures.per_day(F.sum(held), F.avg("days_in_month")).alias("avg_members"))
     return numbers(result, "shipped_units", "gms_usd")

@@ -125,7 +125,7 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
             .union(_stream("Orders", *_orders(t, p, portfolios), names, p).select(*COLUMNS)))
     rates = rates_of(t["fx_rates"], p.scenario, p.target_country, p.countries)
     priced = with_rate(both, rates, "left")
-    money = {c: measures.converted(F.col(c)) for c in ("rev_fcst", "rev_act")}
+    money = {c: measures.converted_total(F.col(c)) for c in ("rev_fcst", "rev_act")}
     return numbers(priced.withColumns(money).select(*COLUMNS), "units_fcst", "rev_fcst", "units_act", "rev_act")
 
 
