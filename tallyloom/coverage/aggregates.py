@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from tallyloom.coverage.registry import case, dbl
 from tallyloom.coverage.tables_and_columns import FX, num, rates
 from tallyloom.functions import calendar, measures
+from tallyloom.functions.labels import member_class
 from tallyloom.operators.grains import multi_grain
 from tallyloom.operators.joins import rates_of, with_rate
 from tallyloom.operators.selection import largest, latest_id_per, newest, newest_rows, ranked, top_ranked
-from tallyloom.operators.staging import at_most, stage
+from tallyloom.operators.staging import stage
 from tallyloom.plans import category_yoy
 from tallyloom.plans.common import canonical_names, order_revenue
 
@@ -45,7 +46,9 @@ def agg_sum_product_capped(t):
 
 @case("agg_max", """SELECT country_code, max(order_day) AS last_day, max(category_code) AS last_category FROM orders_actuals GROUP BY ALL""")
 def agg_max(t):
-    return t["orders_actuals"].groupBy("country_code").agg(F.max("order_day").alias("last_day"), F.max("category_code").alias("last_category"))
+    # one row per country and category first: a maximum of texts needs sorted input, which should be short
+    kinds = t["orders_actuals"].groupBy("country_code", "category_code").agg(F.max("order_day").alias("last_day"))
+    return kinds.groupBy("country_code").agg(F.max("last_day").alias("last_day"), F.max("category_code").alias("last_category"))
 
 
 @case("agg_min", """SELECT channel, min(last_day) AS first_of_last FROM (
@@ -116,7 +119,6 @@ def agg_canonical_name(t):
 @case("agg_group_by_expr", """SELECT 'Orders' AS data_stream, if(prime_group = 'npr', 'npr', 'prm') AS prime_group,
   CAST(month(order_day) AS INTEGER) AS month_number, count(*) AS lines FROM orders_actuals GROUP BY 1, 2, 3""")
 def agg_group_by_expr(t):
-    from tallyloom.functions.labels import member_class
     return t["orders_actuals"].groupBy(
         F.lit("Orders").alias("data_stream"), member_class(F.col("prime_group")).alias("prime_group"),
         F.month("order_day").alias("month_number")).agg(F.count("*").alias("lines"))

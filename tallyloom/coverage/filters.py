@@ -8,7 +8,7 @@ from tallyloom.coverage.registry import case, dbl
 from tallyloom.coverage.sample_params import AS_OF
 from tallyloom.coverage.tables_and_columns import RECENT, num
 from tallyloom.functions import calendar, labels
-from tallyloom.operators.staging import at_most, stage
+from tallyloom.operators.staging import stage
 from tallyloom.plans import category_yoy, daily_impact, member_comparison
 
 
@@ -99,8 +99,8 @@ JOIN (SELECT country_code, max(order_day) AS last_day FROM orders_actuals WHERE
 WHERE target_day <= last_day GROUP BY ALL""")
 def filter_up_to_latest_actual(t):
     last = category_yoy.last_days(t["orders_actuals"].filter(F.col("channel") == "mkt"))
-    rows = t["orders_forecast_adjusted"].join(at_most(last, 26 * 26), "country_code").filter(F.col("target_day") <= F.col("max_order_day"))
-    return rows.groupBy("country_code", "target_day").agg(F.count("*").alias("lines"))
+    daily = t["orders_forecast_adjusted"].groupBy("country_code", "target_day").agg(F.count("*").alias("lines"))
+    return daily.join(last, "country_code").filter(F.col("target_day") <= F.col("max_order_day")).drop("max_order_day")
 
 
 @case("filter_param_gate", f"""WITH {RECENT.format(modes="is_latest_publish = 'Y'")}, inside AS (

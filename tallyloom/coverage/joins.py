@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom.coverage.registry import case, dbl
-from tallyloom.coverage.sample_params import SCENARIO
 from tallyloom.coverage.tables_and_columns import ALL_MODES, FX, RECENT, num, rates
 from tallyloom.functions import calendar, measures
 from tallyloom.operators.joins import beside_prior_year, full_pair, range_join, rates_of, specific_or_default, wildcard_left, with_rate
 from tallyloom.operators.selection import latest_id_per, only_value
-from tallyloom.operators.staging import at_most, stage
-from tallyloom.plans import category_yoy, member_comparison
-from tallyloom.plans.common import canonical_names, latest_sets, order_revenue
+from tallyloom.operators.staging import stage
+from tallyloom.plans import member_comparison
+from tallyloom.plans.common import canonical_names, latest_sets
 
 KEYS = ["country_code", "channel", "gl_rollup", "gl_product_group"]
 
@@ -180,7 +179,7 @@ def join_latest_actual_date(t):
     def fresh(name, forecast, actual, day):
         last = (actual.filter(F.col("gl_product_group") < 990).groupBy("country_code").agg(F.max(day).alias("latest_act")))
         lines = forecast.groupBy("country_code").agg(F.count("*").alias("lines"))
-        return (lines.join(at_most(last, 26 * 26), "country_code", "left")
+        return (lines.join(last, "country_code", "left")
                 .select(F.lit(name).alias("ship_order"), "country_code", "latest_act", "lines"))
     return (fresh("Shipments", t["shipment_forecasts"], t["shipment_actuals"], "target_day")
             .union(fresh("Orders", t["orders_forecast_adjusted"], t["orders_actuals"], "order_day")))

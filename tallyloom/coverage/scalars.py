@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tallyloom.coverage.registry import case, dbl
 from tallyloom.coverage.tables_and_columns import num
 from tallyloom.functions import calendar, labels
-from tallyloom.operators.staging import at_most
 from tallyloom.plans import category_yoy
 
 
@@ -136,9 +135,9 @@ def fn_last_day(t):
 @case("fn_date_diff", """SELECT country_code, CAST(last_day - order_day AS INTEGER) AS age, count(*) AS lines FROM orders_actuals
 JOIN (SELECT country_code, max(order_day) AS last_day FROM orders_actuals GROUP BY ALL) USING (country_code) GROUP BY ALL""")
 def fn_date_diff(t):
-    last = at_most(category_yoy.last_days(t["orders_actuals"]), 26 * 26)
+    daily = counted(t["orders_actuals"], "country_code", "order_day")
     age = F.datediff(F.col("max_order_day"), F.col("order_day"))
-    return counted(t["orders_actuals"].join(last, "country_code"), "country_code", age.alias("age"))
+    return daily.join(category_yoy.last_days(t["orders_actuals"]), "country_code").select("country_code", age.alias("age"), "lines")
 
 
 @case("fn_format_date", "SELECT strftime(dataset_date, '%Y-%m-%d') AS portfolio_id, forecast_type, count(*) AS lines FROM orders_forecast_daily GROUP BY ALL")

@@ -63,18 +63,18 @@ def id_date(identifier: Column) -> Column:
     return F.try_to_date(F.substring(identifier, 1, 8), "yyyyMMdd")
 
 
-# The year tests are written as ranges of the bare column, so that they reach the file scan and
-# prune partitions; a predicate on year(day) does neither.
-def in_year(day: Column, year: int) -> Column:
-    return (day >= F.lit(dt.date(year, 1, 1))) & (day < F.lit(dt.date(year + 1, 1, 1)))
+# Year tests are written as ranges of the bare day, so that they reach the file scan; a predicate on
+# year(day) does not.
+def year_start(year: int) -> dt.date:
+    return dt.date(year, 1, 1)
 
 
-def from_year(day: Column, year: int) -> Column:
-    return day >= F.lit(dt.date(year, 1, 1))
+def year_end(year: int) -> dt.date:
+    return dt.date(year, 12, 31)
 
 
-def before_year(day: Column, year: int) -> Column:
-    return day < F.lit(dt.date(year, 1, 1))
+def in_year(day: Column, year: int) -> Column:
+    return within(day, year_start(year), year_end(year))
 
 
 def on_or_after(day: Column, first: str | dt.date) -> Column:

@@ -11,9 +11,8 @@ from tallyloom.functions import calendar
 
 
 def multi_grain(df: DataFrame, day: str, keys: Sequence[str], sums: Mapping[str, Column],
-                maxima: Sequence[str] = (), distinct_days: str | None = None,
-                grains: Sequence[str] = calendar.GRAINS) -> DataFrame:
-    """Sums (and maxima, and the number of distinct days) per key and period, long form.
+                distinct_days: str | None = None, grains: Sequence[str] = calendar.GRAINS) -> DataFrame:
+    """Sums (and the number of distinct days) per key and period, long form.
 
     Done in two steps. A cell is the part of a planning week inside one month; it lies in exactly one
     period of each grain, so the facts are first aggregated to cells (one scan, one exchange), and only
@@ -22,7 +21,7 @@ def multi_grain(df: DataFrame, day: str, keys: Sequence[str], sums: Mapping[str,
     """
     d = F.col(day)
     cells = df.withColumn("_week", calendar.week_start(d)).withColumn("_month", F.trunc(d, "month"))
-    parts = [F.sum(c).alias(n) for n, c in sums.items()] + [F.max(c).alias(c) for c in maxima]
+    parts = [F.sum(c).alias(n) for n, c in sums.items()]
     if distinct_days:
         weekday_bit = F.call_function("shiftleft", F.lit(1), F.dayofweek(d))
         parts.append(F.bit_or(weekday_bit).alias("_days"))
@@ -30,7 +29,7 @@ def multi_grain(df: DataFrame, day: str, keys: Sequence[str], sums: Mapping[str,
     starts = {"Weekly": F.col("_week"), "Monthly": F.col("_month"),
               "Quarterly": F.trunc("_month", "quarter"), "Yearly": F.trunc("_month", "year")}
     periods = F.array(*[F.struct(F.lit(g).alias("grain"), starts[g].alias("start")) for g in grains])
-    out = [F.sum(n).alias(n) for n in sums] + [F.max(c).alias(c) for c in maxima]
+    out = [F.sum(n).alias(n) for n in sums]
     if distinct_days:
         out.append(F.sum(F.bit_count("_days")).alias(distinct_days))
     return (cells.withColumn("_p", F.explode(periods))

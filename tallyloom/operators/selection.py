@@ -41,8 +41,16 @@ def newest_rows(df: DataFrame, n: int, *columns: str) -> DataFrame:
 
 
 def latest_id_per(df: DataFrame, by: str | Sequence[str], identifier: str) -> DataFrame:
-    """Largest id of each date; text ids compare as text."""
-    return df.groupBy(*([by] if isinstance(by, str) else by)).agg(F.max(identifier).alias(identifier))
+    """Largest id of each date; text ids compare as text.
+
+    The maximum of a text cannot be kept in a hash aggregate's buffer, so Spark would sort the whole fact
+    by date. Text ids are therefore deduplicated first, which leaves a short list to sort.
+    """
+    keys = [by] if isinstance(by, str) else list(by)
+    listed = df.select(*keys, identifier)
+    if listed.schema[identifier].dataType.simpleString() == "string":
+        listed = listed.distinct()
+    return listed.groupBy(*keys).agg(F.max(identifier).alias(identifier))
 
 
 def only_value(df: DataFrame, column: str) -> Column:

@@ -55,7 +55,8 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     current = calendar.on_or_after(day, p.current_from)
     prior = calendar.within(day, p.prior_from, p.prior_to)
     in_scope = F.col("country_code").isin(*p.countries)
-    orders = t["orders_actuals"].filter(in_scope & kept_products(p.max_group) & (current | prior))
+    orders = (t.days("orders_actuals", (p.current_from, None), (p.prior_from, p.prior_to))
+              .filter(in_scope & kept_products(p.max_group)))
     priced = with_rate(with_groups(orders, t), rates_of(t["fx_rates"], p.scenario, p.target_country))
     paired = beside_prior_year(priced, "order_day", KEYS,
                                {"act_units": F.col("net_ordered_units"), "act_gms": order_revenue()}, current, prior)

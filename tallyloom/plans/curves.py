@@ -38,17 +38,18 @@ def portfolios(t: Tables, p: Params) -> DataFrame:
 
 def report(t: Tables, p: Params = Params()) -> DataFrame:
     rates = rates_of(t["fx_rates"], only_value(t["fx_scenario"], "scenario"), p.target_country)
-    kept = kept_products(p.max_group) & calendar.within(F.col("target_day"), p.first_day, p.last_day)
+    kept = kept_products(p.max_group)
+    days = (p.first_day, p.last_day)
     grain = ("country_code", "channel", "gl_rollup", "target_day")
-    shipped = with_rate(t["shipment_forecasts"].filter(kept).join(stage(portfolios(t, p), "portfolios"), "portfolio_id"), rates)
+    shipped = with_rate(t.days("shipment_forecasts", days).filter(kept).join(stage(portfolios(t, p), "portfolios"), "portfolio_id"), rates)
     shipments = shipped.groupBy("initiative", "portfolio_id", *grain).agg(
         F.sum("shipped_units").alias("shu"), F.sum(measures.converted(F.col("product_revenue_amt"))).alias("prv"),
         F.sum(measures.converted(F.col("gross_gms_amt"))).alias("gms")).select(
         "initiative", F.lit("shipments").alias("type"), "portfolio_id", *grain, "shu", "prv", "gms")
 
-    adjusted = t["orders_forecast_daily"].filter(F.col("forecast_type") == "Adjusted")
-    ids = stage(latest_id_per(adjusted, "dataset_date", "forecast_id").select("forecast_id").distinct(), "forecast-ids")
-    ordered = with_rate(adjusted.filter(kept & calendar.on_or_after(F.col("dataset_date"), p.since))
+    adjusted = F.col("forecast_type") == "Adjusted"
+    ids = stage(latest_id_per(t["orders_forecast_daily"].filter(adjusted), "dataset_date", "forecast_id").select("forecast_id").distinct(), "forecast-ids")
+    ordered = with_rate(t.days("orders_forecast_daily", days).filter(adjusted & kept & calendar.on_or_after(F.col("dataset_date"), p.since))
                         .join(ids, "forecast_id", "left_semi"), rates)
     orders = ordered.groupBy("dataset_date", *grain).agg(
         F.sum("net_ordered_units").alias("shu"), F.sum(measures.converted(F.col("net_ops"))).alias("prv"),

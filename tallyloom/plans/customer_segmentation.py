@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -40,17 +41,20 @@ def portfolios(t: Tables, p: Params) -> DataFrame:
     return newest_rows(published.select("portfolio_id", "creation_date"), p.portfolios, "creation_date", "portfolio_id").select("portfolio_id")
 
 
-def _forecast_rows(t: Tables, p: Params, ids: DataFrame) -> DataFrame:
+def _days(p: Params) -> tuple[dt.date, None]:
+    return calendar.year_start(p.first_year), None
+
+
+def _forecast_rows(fact: DataFrame, p: Params, ids: DataFrame) -> DataFrame:
     """Refreshed forecasts of the listed portfolios, without backtests."""
     dated = F.try_to_date(F.col("forecast_date"), "yyyyMMdd") == calendar.id_date(F.col("portfolio_id"))
-    return (t["segment_forecast"].filter((F.col("cs_tag") == "Refresh") & dated & F.col("country_code").isin(*p.countries))
+    return (fact.filter((F.col("cs_tag") == "Refresh") & dated & F.col("country_code").isin(*p.countries))
             .join(ids, "portfolio_id"))
 
 
 def _sales(t: Tables, p: Params, ids: DataFrame) -> DataFrame:
-    rows = _forecast_rows(t, p, ids).filter(
-        F.col("gl_rollup").isin(*p.rollups) & (F.col("gl_product_group") < p.max_group)
-        & calendar.from_year(F.col("target_day"), p.first_year))
+    rows = _forecast_rows(t.days("segment_forecast", _days(p)), p, ids).filter(
+        F.col("gl_rollup").isin(*p.rollups) & (F.col("gl_product_group") < p.max_group))
     revenue = measures.channel_revenue(F.col("channel"), F.col("product_revenue_amt"), F.col("gross_gms_amt"))
     return final_and_system(rows, ["portfolio_id", *SEGMENT, "tenure", "target_day"],
                             {"shipped_units": F.col("shipped_units"), "gms": revenue},
@@ -59,7 +63,7 @@ def _sales(t: Tables, p: Params, ids: DataFrame) -> DataFrame:
 
 def _tenures(t: Tables, p: Params, ids: DataFrame) -> DataFrame:
     first_day = F.col("target_day") == F.try_to_date(F.col("forecast_date"), "yyyyMMdd")
-    return (_forecast_rows(t, p, ids).filter(
+    return (_forecast_rows(t["segment_forecast"], p, ids).filter(
         (F.col("channel") == "ret") & (F.col("subchannel") == "ret") & (F.col("gl_rollup") == "med")
         & (F.col("gl_product_group") == TENURE_PRODUCT) & first_day)
         .groupBy("portfolio_id", *SEGMENT).agg(F.countDistinct("tenure").alias("tenure_count")))
@@ -75,12 +79,11 @@ def runs(t: Tables, p: Params) -> DataFrame:
 
 def _members(t: Tables, p: Params, ids: DataFrame) -> DataFrame:
     mine = stage(runs(t, p), "segment-runs")
-    days = calendar.from_year(F.col("target_day"), p.first_year)
     keys = [*KEYS, "target_day"]
-    whole = (t["member_runs"].filter(days & ((F.col("customer_group") == "npr") | (F.col("plan_status") == "free")))
+    whole = (t.days("member_runs", _days(p)).filter((F.col("customer_group") == "npr") | (F.col("plan_status") == "free"))
              .withColumn("plan_status", labels.plan_status(F.col("customer_group"), F.col("plan_status")))
              .withColumn("tenure", F.lit("0")).join(mine, "run_id"))
-    paid = (t["member_cohort_runs"].filter(days & (F.col("plan_status") == "paid")).join(mine, "run_id")
+    paid = (t.days("member_cohort_runs", _days(p)).filter(F.col("plan_status") == "paid").join(mine, "run_id")
             .join(stage(_tenures(t, p, ids), "tenures"), ["portfolio_id", *SEGMENT])
             .withColumn("tenure", labels.tenure_band(F.col("tenure_count"), F.col("target_day"), F.col("cohort_month"))))
     sums = [part.groupBy(*keys).agg(F.sum("member_count").alias("members")) for part in (whole, paid)]
@@ -88,8 +91,7 @@ def _members(t: Tables, p: Params, ids: DataFrame) -> DataFrame:
 
 
 def _shock(t: Tables, p: Params) -> DataFrame:
-    return (t["member_shock"].filter((F.col("country_code") == p.shock_country)
-                                     & calendar.on_or_after(F.col("target_day"), p.shock_since))
+    return (t.days("member_shock", (p.shock_since, None)).filter(F.col("country_code") == p.shock_country)
             .withColumn("plan_status", labels.plan_status(F.col("customer_group"), F.col("plan_status")))
             .groupBy(*SEGMENT, "target_day").agg(F.sum("member_count").alias("shock"))
             .withColumn("tenure", F.lit("0")))

@@ -9,12 +9,11 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar, labels
 from tallyloom.operators.joins import rates_of, with_rate
-from tallyloom.operators.staging import at_most
+from tallyloom.operators.staging import stage
 from tallyloom.plans.common import canonical_names, kept_products, numbers, order_revenue
 from tallyloom.sources.tables import Tables
 
 KEYS = ("country_code", "channel", "gl_product_group", "gl_rollup", "order_day")
-MAX_COUNTRIES = 26 * 26  # country codes have two letters
 
 
 @dataclass(frozen=True)
@@ -37,16 +36,17 @@ class Params:
 def report(t: Tables, p: Params = Params()) -> DataFrame:
     rates = rates_of(t["fx_rates"], p.scenario, p.target_country)
     kept = kept_products(p.max_group)
-    actual = with_rate(t["orders_actuals"].filter(kept & calendar.in_year(F.col("order_day"), p.year)), rates)
-    last_day = actual.groupBy("country_code").agg(F.max("order_day").alias("max_order_day"))
+    year = (calendar.year_start(p.year), calendar.year_end(p.year))
+    actual = with_rate(t.days("orders_actuals", year).filter(kept), rates)
+    last_day = stage(actual.groupBy("country_code").agg(F.max("order_day").alias("max_order_day")), "last-days")
     by_day = actual.groupBy(*KEYS).agg(F.sum("net_ordered_units").alias("ordered_units_act"),
                                        F.sum(order_revenue()).alias("gms_act"))
-    planned = t["orders_forecast_adjusted"].filter(
-        p.wanted_forecast() & kept & calendar.in_year(F.col("target_day"), p.year)).withColumnRenamed("target_day", "order_day")
+    planned = (t.days("orders_forecast_adjusted", year).filter(p.wanted_forecast() & kept)
+               .withColumnRenamed("target_day", "order_day"))
     forecast = with_rate(planned, rates).groupBy("dataset_date", *KEYS).agg(
         F.sum("net_ordered_units").alias("ordered_units_fcst"), F.sum(order_revenue()).alias("gms_fcst"))
     # the cut comes before the big join: fewer days to pair
-    cut = (forecast.join(at_most(last_day, MAX_COUNTRIES), "country_code")
+    cut = (forecast.join(last_day, "country_code")
            .filter(F.col("order_day") <= F.col("max_order_day")))
     paired = cut.join(by_day, list(KEYS), "left").join(canonical_names(t["gl_names"]), "gl_product_group", "left")
     shown = paired.withColumn("product_bucket", labels.product_bucket(F.col("gl_product_group")))

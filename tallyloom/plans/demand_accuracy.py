@@ -30,15 +30,14 @@ class Params:
 def report(t: Tables, p: Params = Params()) -> DataFrame:
     rates = rates_of(t["fx_rates"], p.scenario, p.target_country)
     kept = kept_products(p.max_group) & F.col("country_code").isin(*p.countries)
-    planned = t["orders_forecast_adjusted"].filter(
-        (F.col("forecast_id") == p.forecast_id) & kept & calendar.on_or_after(F.col("target_day"), p.since))
+    planned = t.days("orders_forecast_adjusted", (p.since, None)).filter((F.col("forecast_id") == p.forecast_id) & kept)
     forecast = with_rate(planned, rates).groupBy("dataset_date", *KEYS, "target_day").agg(
         F.sum("net_ordered_units").alias("fcst_units"), F.sum(order_revenue()).alias("fcst_gms"))
 
     # A prior day matters only if its partner can be current, so the scan stops a year before `since`.
     oldest = dt.date.fromisoformat(p.since) - dt.timedelta(days=LONGEST_YEAR)
     day = F.col("order_day")
-    sold = with_rate(t["orders_actuals"].filter(kept), rates)
+    sold = with_rate(t.days("orders_actuals", (oldest, None)).filter(kept), rates)
     actual = beside_prior_year(
         sold, "order_day", KEYS, {"units": F.col("net_ordered_units"), "gms": order_revenue()},
         current=calendar.on_or_after(day, p.since), prior=calendar.on_or_after(day, oldest))

@@ -26,9 +26,8 @@ class Params:
 
 def report(t: Tables, p: Params = Params()) -> DataFrame:
     day = F.col("target_day")
-    rows = t["shipment_forecasts"].filter(
-        calendar.on_or_after(F.col("dataset_date"), p.since) & calendar.from_year(day, p.first_year)
-        & kept_products(p.max_group) & (F.col("forecast_id") != p.excluded_forecast)
+    rows = t.days("shipment_forecasts", (calendar.year_start(p.first_year), None)).filter(
+        calendar.on_or_after(F.col("dataset_date"), p.since) & kept_products(p.max_group) & (F.col("forecast_id") != p.excluded_forecast)
         & (F.col("initiative_type") == p.initiative_type))
     priced = with_rate(rows, rates_of(t["fx_rates"], p.scenario, p.target_country))
     revenue = measures.market_revenue(F.col("country_code"), F.col("channel"),

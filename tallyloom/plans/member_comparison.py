@@ -54,13 +54,13 @@ def runs(t: Tables, p: Params) -> DataFrame:
 
 def daily(t: Tables, p: Params) -> DataFrame:
     day = F.col("target_day")
-    wanted = calendar.on_or_after(day, p.since) & (F.col("country_code") != p.skipped_country)
+    wanted = F.col("country_code") != p.skipped_country
     columns = ("portfolio_id", "country_code", "customer_group", "target_day", "member_count")
-    planned = (t["member_runs"].filter(wanted & (F.col("customer_group") != p.skipped_group))
+    planned = (t.days("member_runs", (p.since, None)).filter(wanted & (F.col("customer_group") != p.skipped_group))
                .join(stage(runs(t, p), "member-runs"), "run_id").select(*columns))
     # whole weeks only: actuals end at the last Saturday
     last = largest(t["member_actuals"].filter(calendar.weekday(day) == SATURDAY), "target_day")
-    actual = (t["member_actuals"].filter(wanted & (day <= last))
+    actual = (t.days("member_actuals", (p.since, last)).filter(wanted)
               .withColumn("portfolio_id", F.lit("Actuals")).select(*columns))
     return planned.union(actual)
 
@@ -69,8 +69,7 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     keys = ["country_code", "customer_group"]
     members = multi_grain(daily(t, p), "target_day", ["portfolio_id", *keys], {"members": F.col("member_count")},
                           distinct_days="days_in_period")
-    shocked = t["member_shock"].filter((F.col("country_code") == p.shock_country)
-                                       & calendar.on_or_after(F.col("target_day"), p.shock_since))
+    shocked = t.days("member_shock", (p.shock_since, None)).filter(F.col("country_code") == p.shock_country)
     shock = multi_grain(shocked, "target_day", keys, {"shock": F.col("member_count")})
     held = F.col("members") - F.coalesce("shock", F.lit(0))
     return (members.join(shock, ["date_granularity", *keys, "target_day"], "left")

@@ -9,14 +9,13 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar, labels, measures
 from tallyloom.operators.selection import largest, latest_versions
-from tallyloom.operators.staging import at_most, stage
+from tallyloom.operators.staging import stage
 from tallyloom.plans.common import SEGMENT, latest_sets
 from tallyloom.sources.tables import Tables
 
 COUNTS = ("cancel_count", "convert_in_count", "convert_out_count", "member_count", "start_count")
 RATES = ("cancel_rate", "convert_in_rate", "convert_out_rate", "start_rate")
 SCENARIOS = ("system", "final")
-MAX_COUNTRIES = 26 * 26  # country codes have two letters
 COLUMNS = (*SEGMENT, "target_day", "portfolio_id", "forecast_date", "scenario", "actuals_range", *COUNTS,
            "net_add_count", *RATES)
 
@@ -84,18 +83,18 @@ def _net_add() -> Column:
 
 
 def report(t: Tables, p: Params = Params()) -> DataFrame:
-    wanted = calendar.on_or_after(F.col("target_day"), p.since) & ~F.col("country_code").isin(*p.skipped_countries)
+    wanted, days = ~F.col("country_code").isin(*p.skipped_countries), (p.since, None)
     runs = stage(run_list(t, p), "member-runs").drop("set_id")
-    last_actual = (t["member_actuals"].filter(~F.col("country_code").isin(*p.skipped_countries))
-                   .groupBy("country_code").agg(F.max("snapshot_day").alias("last_actual")))
-    rates = (t["member_rates"].filter(wanted).join(runs, "run_id")
+    last_actual = stage(t["member_actuals"].filter(wanted)
+                        .groupBy("country_code").agg(F.max("snapshot_day").alias("last_actual")), "last-days")
+    rates = (t.days("member_rates", days).filter(wanted).join(runs, "run_id")
              .select(*SEGMENT, "target_day", "portfolio_id", "scenario", *RATES))
-    flows = t["member_runs"].filter(wanted).join(runs, "run_id")
+    flows = t.days("member_runs", days).filter(wanted).join(runs, "run_id")
     rated = flows.join(rates, [*SEGMENT, "target_day", "portfolio_id", "scenario"], "left")
-    forecast = (rated.join(at_most(last_actual, MAX_COUNTRIES), "country_code")
+    forecast = (rated.join(last_actual, "country_code")
                 .withColumn("actuals_range", F.when(F.col("target_day") <= F.col("last_actual"), 1).otherwise(0))
                 .withColumn("net_add_count", _net_add()).select(*COLUMNS))
-    actual = (t["member_actuals"].filter(wanted)
+    actual = (t.days("member_actuals", days).filter(wanted)
               .withColumns({"portfolio_id": F.lit("Actuals"), "scenario": F.lit("Actuals"), "actuals_range": F.lit(1),
                             "forecast_date": F.lit(None).cast("date"), "net_add_count": _net_add(),
                             **{r: F.lit(None).cast("double") for r in RATES}}).select(*COLUMNS))

@@ -71,7 +71,9 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     dates = names.select("dataset_date").distinct()
     kept = kept_products(p.max_group)
     day = F.col("target_day")
-    ahead = (day >= calendar.horizon_start(F.col("dataset_date"))) & calendar.before_year(day, p.before_year)
+    past = (calendar.year_start(p.after_year + 1), None)
+    future = (None, calendar.year_end(p.before_year - 1))
+    ahead = day >= calendar.horizon_start(F.col("dataset_date"))
     blank, sub = F.lit(""), F.col("subchannel")
 
     def chosen(fact: DataFrame, identifier: str) -> DataFrame:
@@ -86,31 +88,32 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     ship_keys = ["country_code", "channel", "subchannel", "prime_group", "target_day"]
     dataset = ["dataset_date", "data_type_name"]
 
-    ordered = t["orders_actuals"].filter(kept & calendar.from_year(F.col("order_day"), p.after_year + 1))
+    ordered = t.days("orders_actuals", past).filter(kept)
     orders = _tagged(_summed(with_rate(ordered.withColumnRenamed("order_day", "target_day"), rates), order_keys, _order_sums()),
                      "Orders", F.lit("Actuals"), day, blank)
 
     actuals = t["shipment_actuals"]
-    shipped = actuals.filter(kept & calendar.from_year(day, p.after_year + 1)
-                             & (F.col("dataset_date") == largest(actuals, "dataset_date")))
+    shipped = t.days("shipment_actuals", past).filter(
+        kept & (F.col("dataset_date") == largest(actuals, "dataset_date")))
     shipments = _tagged(_summed(with_rate(shipped, all_rates, "left"), ship_keys, _shipment_sums()),
                         "Shipments", F.lit("Actuals"), day, sub)
 
-    published = t["shipment_forecasts"].filter(F.col("portfolio_status") == "PRODUCTION")
-    planned = published.filter(kept & ahead).join(chosen(published, "portfolio_id"), ["dataset_date", "portfolio_id"])
+    published = F.col("portfolio_status") == "PRODUCTION"
+    ids = chosen(t["shipment_forecasts"].filter(published), "portfolio_id")
+    planned = t.days("shipment_forecasts", future).filter(published & kept & ahead).join(ids, ["dataset_date", "portfolio_id"])
     ship_forecasts = _tagged(
         final_and_system(with_rate(planned, all_rates, "left"), [*dataset, *ship_keys], _shipment_sums(),
                          F.col("initiative_type") == "Baseline", tag="kind"),
         "Shipments", forecast_type(F.col("kind")), forecast_refresh, sub)
 
-    def order_forecasts(fact: DataFrame, kind: str, name: str) -> DataFrame:
-        rows = (fact.filter(kept & ahead & (F.col("forecast_type") == kind))
-                .join(chosen(fact, "forecast_id"), ["dataset_date", "forecast_id"]))
+    def order_forecasts(fact: str, kind: str, name: str) -> DataFrame:
+        rows = (t.days(fact, future).filter(kept & ahead & (F.col("forecast_type") == kind))
+                .join(chosen(t[fact], "forecast_id"), ["dataset_date", "forecast_id"]))
         return _tagged(_summed(with_rate(rows, rates), [*dataset, *order_keys], _order_sums()),
                        "Orders", forecast_type(F.lit(name)), forecast_refresh, blank)
 
-    final_orders = order_forecasts(t["orders_forecast_adjusted"], "Adjusted", "Final")
-    system_orders = order_forecasts(t["orders_forecast_daily"], "Baseline", "System")
+    final_orders = order_forecasts("orders_forecast_adjusted", "Adjusted", "Final")
+    system_orders = order_forecasts("orders_forecast_daily", "Baseline", "System")
     # Each branch is grouped by its key and carries its own stream and type: a set union has nothing to merge.
     everything = orders.union(shipments).union(ship_forecasts).union(final_orders).union(system_orders)
     return numbers(everything, *MEASURES)

@@ -58,7 +58,7 @@ def facts(t: Tables, p: Params) -> DataFrame:
     actual = F.lit("Actuals")
     # actuals end at the last Saturday of the shipments, for orders too
     last = largest(t["shipment_actuals"].filter(calendar.weekday(day) == SATURDAY), "target_day")
-    current = kept & calendar.on_or_after(day, p.since)
+    current, finished = (p.since, None), (p.since, last)
 
     ship_revenue = measures.market_revenue(F.col("country_code"), F.col("channel"),
                                            F.col("product_revenue_amt"), F.col("gross_gms_amt"))
@@ -67,18 +67,18 @@ def facts(t: Tables, p: Params) -> DataFrame:
     order_tags = {"type": F.lit(ORDERS), "subchannel": F.col("channel"), "initiative": F.lit(ORDER_INITIATIVE),
                   "initiative_type": F.lit(ORDER_INITIATIVE)}
 
-    planned = (t["shipment_forecasts"].filter(current & (F.col("forecast_id") != p.excluded_forecast))
+    planned = (t.days("shipment_forecasts", current).filter(kept & (F.col("forecast_id") != p.excluded_forecast))
                .join(ids, "portfolio_id").join(names, "gl_product_group", "left"))
-    shipped = (t["shipment_actuals"].filter(current & (day <= last))
+    shipped = (t.days("shipment_actuals", finished).filter(kept)
                .join(names, "gl_product_group", "left"))
 
-    adjusted = t["orders_forecast_daily"].filter(F.col("forecast_type") == "Adjusted")
-    newest = latest_id_per(adjusted, "dataset_date", "forecast_id").select("forecast_id").distinct()
+    adjusted = F.col("forecast_type") == "Adjusted"
+    newest = latest_id_per(t["orders_forecast_daily"].filter(adjusted), "dataset_date", "forecast_id").select("forecast_id").distinct()
     # one row per forecast id and listed portfolio it belongs to
     chosen = stage(newest.join(t["forecast_portfolios"], "forecast_id").join(ids, "portfolio_id"), "forecast-ids")
-    ordered = (adjusted.filter(current & calendar.on_or_after(F.col("dataset_date"), p.listed_since))
+    ordered = (t.days("orders_forecast_daily", current).filter(adjusted & kept & calendar.on_or_after(F.col("dataset_date"), p.listed_since))
                .join(chosen, "forecast_id").join(visible, "gl_product_group"))
-    sold = (t["orders_actuals"].withColumnRenamed("order_day", "target_day").filter(current & (day <= last))
+    sold = (t.days("orders_actuals", finished).filter(kept).withColumnRenamed("order_day", "target_day")
             .join(visible, "gl_product_group"))
 
     shipment = {"type": F.lit("Shipments")}
@@ -96,8 +96,9 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
 
     The four sources differ in type, initiative or portfolio, so they need no deduplication.
     """
-    rolled = multi_grain(facts(t, p), "target_day", KEYS, {"gms": F.col("gms"), "shu": F.col("shu")},
-                         maxima=["fx_scenario"])
+    # The rates hold one scenario, so its name is a key like any other (and not a maximum of texts, for
+    # which Spark would sort the facts).
+    rolled = multi_grain(facts(t, p), "target_day", [*KEYS, "fx_scenario"], {"gms": F.col("gms"), "shu": F.col("shu")})
     return numbers(rolled, "gms", "shu")
 
 

@@ -36,10 +36,11 @@ class Params:
     max_group: int = 990
     orders_channel_rule: bool = False  # orders count gross sales in every channel
 
-    def scope(self, day: str, closed: bool) -> Column:
-        kept = kept_products(self.max_group) & F.col("country_code").isin(*self.countries)
-        kept = kept & (F.col(day) >= calendar.months_from(self.as_of, -self.months_back))
-        return kept & (F.col(day) <= calendar.months_from(self.as_of, self.months_ahead)) if closed else kept
+    def rows(self, t: Tables, fact: str, closed: bool) -> DataFrame:
+        """Rows of a fact in the rolling window; actuals have no upper end."""
+        last = calendar.months_from(self.as_of, self.months_ahead) if closed else None
+        return t.days(fact, (calendar.months_from(self.as_of, -self.months_back), last)).filter(
+            kept_products(self.max_group) & F.col("country_code").isin(*self.countries))
 
 
 def ranked_portfolios(t: Tables) -> DataFrame:
@@ -78,12 +79,12 @@ def _order_measures(p: Params) -> tuple[Column, Column]:
 
 def _shipments(t: Tables, p: Params, portfolios: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     chosen = portfolios.filter((F.col("portfolio_rank") <= p.portfolios) | (F.col("portfolio_id") == p.pinned_portfolio))
-    planned = _with_class(t["shipment_forecasts"].filter(p.scope("target_day", closed=True))
+    planned = _with_class(p.rows(t, "shipment_forecasts", closed=True)
                           .join(chosen.select("portfolio_id", "dataset_date"), ["portfolio_id", "dataset_date"]))
     units, revenue = _shipment_measures()
     forecast = final_and_system(planned, ["portfolio_id", "dataset_date", *FACT_KEYS],
                                 {"units_fcst": units, "rev_fcst": revenue}, F.col("initiative_type") == "Baseline")
-    shipped = t["shipment_actuals"].filter(p.scope("target_day", closed=False))
+    shipped = p.rows(t, "shipment_actuals", closed=False)
     return forecast, _sums(_with_class(shipped), FACT_KEYS, units, revenue, "act"), shipped
 
 
@@ -95,13 +96,13 @@ def _orders(t: Tables, p: Params, portfolios: DataFrame) -> tuple[DataFrame, Dat
     keys = ("portfolio_id", "dataset_date", *FACT_KEYS)
 
     def planned(fact: str, kind: str, name: str) -> DataFrame:
-        rows = (t[fact].filter(p.scope("target_day", closed=True) & (F.col("forecast_type") == kind))
+        rows = (p.rows(t, fact, closed=True).filter(F.col("forecast_type") == kind)
                 .join(chosen, ["dataset_date", "forecast_id", "forecast_type"]))
         return (_sums(_with_class(rows), keys, units, revenue, "fcst")
                 .select(*keys, F.lit(name).alias("initiative"), "units_fcst", "rev_fcst"))
 
     forecast = planned("orders_forecast_adjusted", "Adjusted", "Final").union(planned("orders_forecast_daily", "Baseline", "System"))
-    sold = t["orders_actuals"].withColumnRenamed("order_day", "target_day").filter(p.scope("target_day", closed=False))
+    sold = p.rows(t, "orders_actuals", closed=False).withColumnRenamed("order_day", "target_day")
     return forecast, _sums(_with_class(sold), FACT_KEYS, units, revenue, "act"), sold
 
 
@@ -111,7 +112,8 @@ def _stream(name: str, forecast: DataFrame, actual: DataFrame, rows: DataFrame,
     Forecast rows that differ in dataset only count once. They are merged before the join: the actual
     side is unique per key, so the order does not matter, and the narrower side is deduplicated.
     """
-    planned = forecast.drop("dataset_date").distinct().join(names, "gl_product_group", "left")
+    # hashed by the join keys first: that serves the distinct (on more columns) and the join, one exchange
+    planned = (forecast.drop("dataset_date").join(names, "gl_product_group", "left").repartition(*KEYS).distinct())
     paired = full_pair(planned, actual.join(names, "gl_product_group", "left"), KEYS)
     last = rows.groupBy("country_code").agg(F.max("target_day").alias("latest_act"))
     return (paired.join(at_most(last, len(p.countries)), "country_code", "left")

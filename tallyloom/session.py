@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot join key even where the split costs one more exchange for the aggregate above it
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # a sort-merge join becomes a hash join at run time where every partition of a side is this small
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
 }

@@ -2,27 +2,67 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.sources.schemas import DAY_OF, SCHEMAS
 
 
+MONTH = "month"  # folder column of a stored fact
+Bound = str | dt.date | Column | None
+
+
+def _bound(value: Bound) -> Column | None:
+    if value is None or isinstance(value, Column):
+        return value
+    return F.lit(value if isinstance(value, dt.date) else dt.date.fromisoformat(value))
+
+
 class Tables(Mapping):
-    """``tables["orders_actuals"]`` -> DataFrame. Makers receive the set itself."""
+    """``tables["orders_actuals"]`` -> DataFrame. Makers receive the set itself.
+
+    A maker may keep the folder column of a stored fact; it is not part of the logical table, but
+    :meth:`days` uses it.
+    """
 
     def __init__(self, spark: SparkSession, makers: Mapping[str, Callable[["Tables"], DataFrame]]):
         self.spark = spark
         self._makers = dict(makers)
         self._frames: dict[str, DataFrame] = {}
 
-    def __getitem__(self, name: str) -> DataFrame:
+    def _frame(self, name: str) -> DataFrame:
         if name not in self._frames:
             self._frames[name] = self._makers[name](self)
         return self._frames[name]
 
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._frame(name).drop(MONTH) if name in DAY_OF else self._frame(name)
+
+    def days(self, name: str, *ranges: tuple[Bound, Bound]) -> DataFrame:
+        """Rows of a fact whose day lies in one of the closed ranges (None: open end).
+
+        For a stored fact the same test is put on the month folder, so other months are not listed.
+        """
+        df = self._frame(name)
+        day, month = F.col(DAY_OF[name]), F.col(MONTH)
+        wanted = F.lit(False)
+        for first, last in ((_bound(a), _bound(b)) for a, b in ranges):
+            part = F.lit(True)
+            if first is not None:
+                part = part & (day >= first)
+                if MONTH in df.columns:
+                    part = part & (month >= F.trunc(first, "month"))
+            if last is not None:
+                part = part & (day <= last)
+                if MONTH in df.columns:
+                    part = part & (month <= F.trunc(last, "month"))
+            wanted = wanted | part
+        return df.filter(wanted).drop(MONTH)
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._makers)
 
@@ -44,17 +84,18 @@ def stored_tables(spark: SparkSession, root: str) -> Tables:
     def reader(name: str) -> Callable[[Tables], DataFrame]:
         if name not in DAY_OF:
             return lambda t: t.spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}")
-        return lambda t: t.spark.read.schema(SCHEMAS[name] + ", month date").parquet(f"{root}/{name}").drop("month")
+        return lambda t: t.spark.read.schema(f"{SCHEMAS[name]}, {MONTH} date").parquet(f"{root}/{name}")
     return Tables(spark, {n: reader(n) for n in SCHEMAS})
 
 
-def store(tables: Tables, root: str, names: Mapping[str, str] | None = None,
+def store(tables: Tables, root: str, names: Sequence[str] | None = None,
           files_per_month: int = 1) -> str:
     """Write logical tables below ``root``; facts are split by month of their day column.
 
     Codes are trimmed here, once: blank-padded codes would not compare equal later on. Rows are
-    spread over ``files_per_month`` tasks per month by a random salt, so a busy month (or country, or
-    product) does not end in one task.
+    spread over ``files_per_month`` tasks per month by a hash of the row, so a busy month (or country,
+    or product) does not end in one task. The hash, unlike a random salt, is the same when a lost task
+    is run again.
     """
     for name in names or tables:
         df = tables[name]
@@ -63,9 +104,9 @@ def store(tables: Tables, root: str, names: Mapping[str, str] | None = None,
         path = f"{root}/{name}"
         if name in DAY_OF:
             month = F.trunc(DAY_OF[name], "month")
-            salt = F.floor(F.rand(7) * files_per_month)
-            (df.withColumn("month", month).repartition("month", salt)
-             .write.mode("overwrite").partitionBy("month").parquet(path))
+            salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_month))
+            (df.withColumn(MONTH, month).repartition(MONTH, salt)
+             .write.mode("overwrite").partitionBy(MONTH).parquet(path))
         else:
             df.write.mode("overwrite").parquet(path)
     return root
