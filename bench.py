@@ -46,7 +46,7 @@ def medians(make_tables, names) -> dict[str, float]:
 
 def main() -> None:
     spark = build_session("bench", f"local[{CPUS}]", spark__driver__memory=os.environ.get("BENCH_MEMORY", "16g"),
-                          spark__sql__shuffle__partitions=CPUS, spark__ui__enabled="false",
+                          spark__sql__shuffle__partitions=str(4 * int(CPUS)), spark__ui__enabled="false",
                           spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     names = [n for n in REPORTS if not sys.argv[1:] or n in sys.argv[1:]]

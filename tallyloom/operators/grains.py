@@ -53,6 +53,7 @@ def final_and_system(df: DataFrame, keys: Sequence[str], measures: Mapping[str,
     def side(name: str, prefix: str) -> Column:
         return F.struct(F.lit(name).alias("tag"), *[F.col(f"{prefix}{n}").alias(n) for n in measures])
 
-    rows = F.array_compact(F.array(side(names[0], "_f_"), F.when(F.col("_hits") > 0, side(names[1], "_s_"))))
+    final, extra = side(names[0], "_f_"), side(names[1], "_s_")
+    rows = F.when(F.col("_hits") > 0, F.array(final, extra)).otherwise(F.array(final))
     split = grouped.withColumn("_row", F.explode(rows))
     return split.select(*keys, F.col("_row.tag").alias(tag), *[F.col(f"_row.{n}").alias(n) for n in measures])

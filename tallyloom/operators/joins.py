@@ -88,21 +88,20 @@ def beside_prior_year(rows: DataFrame, day: str, keys: Sequence[str], measures:
     d = F.col(day)
     for key in keys:
         prior = prior & F.col(key).isNotNull()
-    sides = F.array_compact(F.array(
-        F.when(current, F.struct(F.lit(0).alias("shift"), d.alias("own"))),
-        F.when(prior, F.struct(F.lit(1).alias("shift"), F.lit(None).cast("date").alias("own")))))
+    # constant arrays: the row is repeated inside generated code, without a lambda per row
+    shifts = (F.when(current & prior, F.array(F.lit(0), F.lit(1)))
+              .when(current, F.array(F.lit(0))).when(prior, F.array(F.lit(1))))
     tagged = (rows.filter(current | prior)
               .withColumn("year", calendar.planning_year(d))
               .withColumn("week", calendar.planning_week(d))
               .withColumn("dow", calendar.weekday(d))
-              .withColumn("_side", F.explode(sides))
-              .withColumn("year", F.col("year") + F.col("_side.shift"))
-              .withColumn("_own", F.col("_side.own")))
-    is_prior = F.col("_side.shift") == 1
+              .withColumn("_shift", F.explode(shifts))
+              .withColumn("year", F.col("year") + F.col("_shift")))
+    is_prior = F.col("_shift") == 1
     sums = [F.sum(F.when(~is_prior, m)).alias(f"{n}_{cy}") for n, m in measures.items()]
     sums += [F.sum(F.when(is_prior, m)).alias(f"{n}_{py}") for n, m in measures.items()]
     return (tagged.groupBy(*keys, "year", "week", "dow")
-            .agg(F.max("_own").alias("target_day"), *sums)
+            .agg(F.max(F.when(~is_prior, d)).alias("target_day"), *sums)
             .filter(F.col("target_day").isNotNull()))
 
 
