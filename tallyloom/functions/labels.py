@@ -21,6 +21,11 @@ OTHER_CONSUMABLES = (75, 325, 364, 370, 467, 510, 199)
 WFH_ESSENTIALS = (229, 14, 63, 267, 201, 200, 196, 74, 60, 23, 15, 147, 21, 504, 261)
 IN_MARKER = "[IN,INT,WW]"
 EIGHT_MARKER = "[CA,DE,ES,EU,FR,INT,IT,JP,NA,UK,US,WW]"
+KIDS_CLUSTERS, KIDS_BUCKET = ("Children", "WFH Essentials"), "WFH/Kids Essentials"
+HOME_CLUSTERS, HOME_BUCKET = ("Household Care", "Hygiene/Medical Supplies"), "Hygiene/Medical/ Household Essentials"
+GROCERY, SOFTLINES, OTHERS = "Grocery", "Softlines", "Others"
+INTERVAL_CLASSES = ("IN CI", "8 countries CI", "other countries CI")
+PRODUCT_BUCKETS = ("medical_supply", "other_consumables", "wfh_essentials", "others")
 
 
 def region(country: Column) -> Column:
@@ -37,27 +42,22 @@ def member_class(prime_group: Column) -> Column:
 
 def product_bucket(product: Column) -> Column:
     code = F.coalesce(product.cast("int"), F.lit(0))
-    return (F.when(code.isin(*MEDICAL_SUPPLY), "medical_supply")
-            .when(code.isin(*OTHER_CONSUMABLES), "other_consumables")
-            .when(code.isin(*WFH_ESSENTIALS), "wfh_essentials")
-            .otherwise("others"))
+    medical, consumable, home, rest = PRODUCT_BUCKETS
+    return (F.when(code.isin(*MEDICAL_SUPPLY), medical).when(code.isin(*OTHER_CONSUMABLES), consumable)
+            .when(code.isin(*WFH_ESSENTIALS), home).otherwise(rest))
 
 
 def cluster_bucket(cluster: Column, family: Column) -> Column:
     """First match wins: the semantic cluster, then the product family."""
-    return (F.when(cluster.isin("Children", "WFH Essentials"), "WFH/Kids Essentials")
-            .when(cluster.isin("Household Care", "Hygiene/Medical Supplies"),
-                  "Hygiene/Medical/ Household Essentials")
-            .when(cluster == "Grocery", "Grocery")
-            .when(family == "Softlines", "Softlines")
-            .otherwise("Others"))
+    return (F.when(cluster.isin(*KIDS_CLUSTERS), KIDS_BUCKET).when(cluster.isin(*HOME_CLUSTERS), HOME_BUCKET)
+            .when(cluster == GROCERY, GROCERY).when(family == SOFTLINES, SOFTLINES).otherwise(OTHERS))
 
 
 def interval_class(description: Column) -> Column:
     """Class of an interval run; the brackets are literal text."""
-    return (F.when(F.contains(description, F.lit(IN_MARKER)), "IN CI")
-            .when(F.contains(description, F.lit(EIGHT_MARKER)), "8 countries CI")
-            .otherwise("other countries CI"))
+    india, eight, rest = INTERVAL_CLASSES
+    return (F.when(F.contains(description, F.lit(IN_MARKER)), india)
+            .when(F.contains(description, F.lit(EIGHT_MARKER)), eight).otherwise(rest))
 
 
 def tenure_band(tenures: Column, day: Column, cohort_month: Column) -> Column:

@@ -52,9 +52,10 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     short = {c: F.left(F.col(c), F.lit(3)) for c in ("country_code", "channel", "gl_rollup_code")}
     bounds = {c: F.to_date(F.col(c), "yyyy-MM-dd") for c in ("range_start", "range_end")}
     kind = F.col("ci_type")
+    india, eight, _ = labels.INTERVAL_CLASSES
     rows = (t["confidence_intervals"].filter(F.col("gl_rollup_code").isin(*p.rollups))
             .join(interval_runs(t, p), ["forecast_id", "forecast_date"])
-            .filter((kind == "8 countries CI") | ((kind == "IN CI") & (F.col("country_code") == p.country))))
+            .filter((kind == eight) | ((kind == india) & (F.col("country_code") == p.country))))
     shown = numbers(rows.withColumns({**short, **bounds}).select(*COLUMNS), *MEASURES)
     # the remaining columns make the order total, so equal leading keys can be split between tasks
     return shown.orderBy(*COLUMNS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import functools
 import tempfile
 import uuid
 
@@ -44,8 +44,12 @@ def shared_folder(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = os.environ.setdefault("TALLYLOOM_LOCAL_STAGE", tempfile.mkdtemp(prefix="tallyloom-"))
-    return root
+    return _local_folder()
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tallyloom-")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-
-from tallyloom.session import new_folder
+from pyspark.sql import DataFrame
 
 
 def refresh_path(df: DataFrame, path: str) -> DataFrame:
@@ -42,18 +41,12 @@ def publish_version(df: DataFrame, root: str, view: str) -> DataFrame:
     versions stay until the owner removes them.
     """
     spark = df.sparkSession
-    path = new_folder_below(spark, root)
+    path = f"{root.rstrip('/')}/version-{uuid.uuid4().hex}"
     df.write.parquet(path)
     spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} USING parquet OPTIONS (path '{path}')")
     return spark.table(view)
 
 
-def new_folder_below(spark: SparkSession, root: str | None) -> str:
-    if root is None:
-        return new_folder(spark, "version")
-    return f"{root.rstrip('/')}/{new_folder(spark, 'version').rsplit('/', 1)[1]}"
-
-
 def declared_view(df: DataFrame, view: str, columns: Sequence[str]) -> DataFrame:
     """Create or replace a view whose columns are fixed by name and order."""
     df.select(*columns).createOrReplaceTempView(view)
