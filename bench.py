@@ -1,7 +1,7 @@
 """Time the reports on the sample data.
 
 Prints one JSON line. Each report is built and written to the ``noop`` sink: one warm-up, then the median
-of ``BENCH_RUNS`` runs (3). ``queries`` derives the logical tables from the raw Parquet inside every run, as
+of ``BENCH_RUNS`` runs (2). ``queries`` derives the logical tables from the raw Parquet inside every run, as
 the registered queries do. With ``BENCH_STORED=1`` the same reports also run over logical tables that were
 written once (month folders), as on a cluster.
 """
@@ -25,7 +25,7 @@ from tallyloom.sources.schemas import SCHEMAS  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "2"))
 
 
 def run_once(name: str, tables: Tables) -> float:
