@@ -1,9 +1,13 @@
 """Registered queries of this subpackage, and the SQL of those that SQL can express."""
 
-from tallyloom.llm import op2_quality, op7_simhash
+from tallyloom.llm import op2_quality, op5_packing, op7_simhash, op8_multiprobe, op9_pieces, op10_kd_shards
 
 QUERIES = {
     "op2_quality_rules": op2_quality.query,
+    "op5_vector_packing": op5_packing.query,
     "op7_simhash_near_dedup": op7_simhash.query,
+    "op8_multiprobe_lsh": op8_multiprobe.query,
+    "op9_sentencepiece_prefix_table": op9_pieces.query,
+    "op10_kd_tree_shards": op10_kd_shards.query,
 }
 SQL = {}
