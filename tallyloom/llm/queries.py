@@ -1,13 +1,22 @@
 """Registered queries of this subpackage, and the SQL of those that SQL can express."""
 
-from tallyloom.llm import op2_quality, op5_packing, op7_simhash, op8_multiprobe, op9_pieces, op10_kd_shards
+import corpus_pipeline
+from tallyloom.llm import (op1_secrets, op2_quality, op3_token_rollups, op4_pseudonyms, op5_packing, op6_perspectives, op7_simhash, op8_multiprobe,
+                           op9_pieces, op10_kd_shards)
 
 QUERIES = {
+    "op1_secret_forest": op1_secrets.query,
     "op2_quality_rules": op2_quality.query,
+    "op3_token_rollups": op3_token_rollups.query,
+    "op4_feistel_pseudonyms": op4_pseudonyms.query,
     "op5_vector_packing": op5_packing.query,
+    "op6_perspective_rotation": op6_perspectives.query,
     "op7_simhash_near_dedup": op7_simhash.query,
     "op8_multiprobe_lsh": op8_multiprobe.query,
     "op9_sentencepiece_prefix_table": op9_pieces.query,
     "op10_kd_tree_shards": op10_kd_shards.query,
+    "pipeline": corpus_pipeline.run,
 }
-SQL = {}
+SQL = {"op6_perspective_rotation": op6_perspectives.SQL}
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -1,0 +1,67 @@
+import re
+
+from pyspark.sql import functions as F
+
+from tallyloom.llm import op1_secrets as op
+from tests.llm.tables import awkward_documents, empty_documents
+
+CANDIDATE = re.compile(op.CANDIDATE)
+HEX = "0b96a8c8d79c4a5085c919698889f59b72ab7bb6"
+
+
+def test_candidates_against_python(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = docs.collect()
+    want = {(r.doc_id, m.start(), m.group()) for r in rows for m in CANDIDATE.finditer(r.text or "")}
+    got = op.candidates(docs).collect()
+    assert {(r.doc_id, r.start, r.value) for r in got} == want and want
+    texts = {r.doc_id: r.text for r in rows}
+    assert all(texts[r.doc_id][:r.start].endswith(r.before) and texts[r.doc_id][r.start + len(r.value):].startswith(r.after) for r in got)
+
+
+def labelled(spark, n, first):
+    """Secrets and look-alikes whose context says nothing: only the value tells them apart."""
+    secret = F.substring(F.sha2(F.concat(F.lit("s"), "id"), 256), 1, 40)
+    word = F.concat(F.lit("the"), F.repeat(F.lit("ingand"), 4), (F.col("id") % 90 + 10).cast("string"), F.lit("tion"))
+    df = spark.range(first, first + n).withColumn("label", (F.col("id") % 2).cast("double"))
+    return df.select(F.col("id").alias("doc_id"), F.lit("a/b.py").alias("source"), "label",
+                     F.concat(F.lit("some words "), F.when(F.col("label") == 1, secret).otherwise(word), F.lit(" go on")).alias("text"))
+
+
+def test_held_out_accuracy(spark):
+    seen = op.features(op.candidates(labelled(spark, 400, 0), keep=("doc_id", "source", "label")))
+    model = op.train(seen, F.col("doc_id"))
+    held = op.score(op.features(op.candidates(labelled(spark, 400, 10_000), keep=("doc_id", "source", "label"))), model).collect()
+    assert len(held) == 400 and sum(r.secret == (r.label == 1) for r in held) >= 396
+
+
+def test_query_removes_card_numbers_and_keeps_tokens(spark):
+    sf = "/root/testdata/sf0.1"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = op.query(spark, sf).collect()
+    kinds = {True: [], False: []}
+    for r in rows:
+        text = docs[r.doc_id]
+        assigned = re.search(r"(?i)(token|password)\s*=\s*\"?$", text[:r.start]) or text[r.start:].startswith("AKIA")
+        kinds[bool(assigned)].append(r.secret)
+    assert all(kinds[True]) and not any(kinds[False]) and kinds[True] and kinds[False]
+
+
+def test_redaction(spark):
+    rows = [(1, f'x token = "{HEX}" y token = "{HEX[::-1]}"', "a"), (2, "card 4539148803436467 stays", "a"), (2, "card 4539148803436467 stays", "a"),
+            (3, None, None), (None, f"é password={HEX[:18]} z", "a"), (4, "", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("label", F.lit("clash"))
+    got = op.redact(df.drop("label"))
+    assert got.columns == ["doc_id", "text", "source"]
+    assert sorted(str((r.doc_id, r.text)) for r in got.collect()) == sorted(map(str, [
+        (1, 'x token = "[SECRET]" y token = "[SECRET]"'), (2, "card 4539148803436467 stays"), (2, "card 4539148803436467 stays"),
+        (3, None), (None, "é password=[SECRET] z"), (4, "")]))
+
+
+def test_awkward_and_empty(spark):
+    docs = awkward_documents(spark)
+    assert op.scan(docs).count() == 0
+    assert op.redact(docs).count() == docs.count() and op.redact(docs).columns == docs.columns
+    assert op.scan(empty_documents(spark)).count() == 0 and op.redact(empty_documents(spark)).count() == 0
+    one = spark.createDataFrame([(1, f"token = {HEX}", "a"), (1, f"token = {HEX}", "a")], "doc_id long, text string, source string")
+    assert [(r.start, r.score, r.secret) for r in op.scan(one).collect()] == [(8, None, True)] * 2
