@@ -100,10 +100,10 @@ def calibrate(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", st
     grid = measured.sparkSession.createDataFrame(
         [(r, i + 1, len(cuts) - i, c) for r, (_, cuts) in RULES.items() for i, c in enumerate(cuts)],
         "rule string, step int, least int, cutoff double")  # a row above the cutoff of a step is above all stricter ones
-    at = (held.join(F.broadcast(grid), "rule").groupBy("stratum", "rule", "step", "cutoff").agg(*[
+    at = stage(held.join(F.broadcast(grid), "rule").groupBy("stratum", "rule", "step", "cutoff").agg(*[
         F.sum(F.expr(f"CASE WHEN good {sign} 0 {cut} THEN n ELSE 0 END")).alias(name) for name, sign, cut in (
-            ("good_all", ">", ""), ("good_out", ">", "AND passed >= least"), ("bad_all", "<=", ""), ("bad_out", "<=", "AND passed >= least"))]))
-    strata = at.select("stratum").distinct().agg(F.count(F.lit(1)).alias("strata"))
+            ("good_all", ">", ""), ("good_out", ">", "AND passed >= least"), ("bad_all", "<=", ""), ("bad_out", "<=", "AND passed >= least"))]), "cutoff-counts")
+    strata = at.select("stratum").distinct().count()
     share = risk.max_false_rejection / len(RULES)
     tail = F.expr(f"""CASE WHEN good_all = 0 OR good_out >= good_all * {share!r} THEN 1D ELSE aggregate(sequence(0L, good_out),
         named_struct('t', 0D, 's', 0D), (a, j) -> named_struct(
@@ -111,8 +111,8 @@ def calibrate(measured: DataFrame, labels: DataFrame, id_col: str = "doc_id", st
           's', a.s + exp(CASE WHEN j = 0 THEN good_all * ln(1D - {share!r}) ELSE a.t + ln((good_all - j + 1D) / j) + ln({share!r} / (1D - {share!r})) END)),
         a -> a.s) END""")
     so_far = W.partitionBy("stratum", "rule").orderBy("step")
-    tested = (at.crossJoin(F.broadcast(strata)).withColumn("p", tail)  # one row on the right
-              .withColumn("certified", F.max("p").over(so_far) <= F.lit(risk.delta) / (len(RULES) * F.col("strata")))
+    tested = (at.withColumn("p", tail)
+              .withColumn("certified", F.max("p").over(so_far) <= F.lit(risk.delta / len(RULES) / max(strata, 1)))
               .withColumn("gain", F.expr(f"CASE WHEN bad_all > 0 THEN bad_out / bad_all ELSE 0D END - {risk.price!r} * good_out / good_all")))
     best = tested.where("certified AND gain > 0").groupBy("stratum", "rule").agg(
         F.max(F.struct("gain", (-F.col("step")).alias("lax"), "cutoff")).alias("b"))
