@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from tallyloom.operators.staging import stage
 
 DIGIT = 64
-CLOSE = 1e-9
+#: Scores are first compared in single precision; what lies this close below the k-th, as a share of the norms, is reranked too.
+CLOSE = 1e-5
 #: Queries whose partial lists are merged in one group.
 MERGED_QUERIES = 512
 
@@ -90,13 +91,15 @@ class Hashes:
 
 
 def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
+    kind = vectors.schema[vector_col].dataType.simpleString()
+    kind = kind if kind == "array<float>" else "array<double>"  # floats travel as floats
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(kind).alias("v"))
     sound = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     return rows.where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(F.coalesce(sound, F.lit(False)))
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", dim: int | None = None,
-            tables: int = 6, functions: int = 8, width: float = 2.0, probes: int = 256, cell_rows: int = 4096) -> DataFrame:
+            tables: int = 3, functions: int = 6, width: float = 2.0, probes: int = 128, cell_rows: int = 4096) -> DataFrame:
     """``(query_id, rank, id, score)``: the ``k`` nearest found of every query row, itself left out.
 
     ``is_query`` is a condition on the column ``id``. ``width`` is in units of the largest norm.
@@ -106,18 +109,19 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     """
     rows = _valid(vectors, id_col, vector_col)
     lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("queries"), F.max(F.sqrt(F.aggregate(
-        "v", F.lit(0.0), lambda a, x: a + x * x))).alias("norm"))
+        "v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))).alias("norm"))
     found = (lengths if dim is None else lengths.where(F.col("d") == dim)).orderBy(F.desc("n"), F.desc("d")).first()
     spark = vectors.sparkSession
     if found is None:
         return spark.createDataFrame([], "query_id bigint, rank int, id bigint, score double")
     dim, norm = found.d, found.norm
     rows = rows.where(F.size("v") == dim)
+    kind = rows.schema["v"].dataType.simpleString()
     hashes, sets = Hashes(dim, tables, functions, width), perturbations(functions, probes)
     cells = max(1, -(-found.n // cell_rows))
 
     def filled(v: pd.Series, query: bool) -> np.ndarray:
-        x = np.stack(v.to_numpy()) / norm
+        x = np.stack(v.to_numpy()).astype(float) / norm
         rest = np.zeros(len(x)) if query else np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))
         length = np.linalg.norm(x, axis=1)
         return np.column_stack([x / length[:, None] if query else x, rest])
@@ -144,8 +148,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
                     out += [(t, c, b["id"].iat[i], b["v"].iat[i], codes[at == c]) for c in np.unique(at)]
                 yield pd.DataFrame(out, columns=["t", "cell", "query_id", "q", "codes"])
 
-    indexed = rows.mapInPandas(index, "t int, cell int, code bigint, id bigint, v array<double>")
-    asked = rows.where(is_query).mapInPandas(visits, "t int, cell int, query_id bigint, q array<double>, codes array<bigint>")
+    indexed = rows.mapInPandas(index, f"t int, cell int, code bigint, id bigint, v {kind}")
+    asked = rows.where(is_query).mapInPandas(visits, f"t int, cell int, query_id bigint, q {kind}, codes array<bigint>")
     indexed, asked = (stage(df, "ann") for df in (indexed, asked))
     blocks = lambda n: F.greatest(F.ceil(n / cell_rows), F.lit(1)).cast("int")
     sizes = (indexed.groupBy("t", "cell").agg(blocks(F.count(F.lit(1))).alias("row_blocks"))
@@ -160,18 +164,21 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
         out = []
         if not len(index_rows) or not len(query_rows):
             return pd.DataFrame(out, columns=["query_id", "ids", "scores"])
-        x, ids = np.stack(index_rows["v"].to_numpy()), index_rows["id"].to_numpy()
+        x, ids = np.stack(index_rows["v"].to_numpy()).astype(float), index_rows["id"].to_numpy()
+        rough = (x / norm).astype(np.float32).T.copy()
         codes, at = np.unique(index_rows["code"].to_numpy(), return_inverse=True)
         for start in range(0, len(query_rows), 256):
             part = query_rows.iloc[start:start + 256]
-            q, qid = np.stack(part["q"].to_numpy()), part["query_id"].to_numpy()
+            q, qid = np.stack(part["q"].to_numpy()).astype(float), part["query_id"].to_numpy()
+            unit = q / np.abs(q).max(axis=1, keepdims=True)
+            close = CLOSE * np.linalg.norm(unit, axis=1, keepdims=True).astype(np.float32)
             visited = np.stack([np.isin(codes, c, assume_unique=True) for c in part["codes"]])
-            scores = np.where(visited[:, at] & (qid[:, None] != ids[None, :]), q @ x.T, -np.inf)
+            scores = np.where(visited[:, at] & (qid[:, None] != ids[None, :]), unit.astype(np.float32) @ rough, np.float32(-np.inf))
             if scores.shape[1] > k:
-                least = np.partition(scores, -k, axis=1)[:, -k][:, None] - CLOSE
+                least = np.partition(scores, -k, axis=1)[:, -k][:, None] - close
             else:
-                least = np.full((len(q), 1), -np.inf)
-            i, j = np.nonzero((scores >= least) & (scores > -np.inf))
+                least = np.full((len(q), 1), np.float32(-np.inf))
+            i, j = np.nonzero((scores >= least) & (scores > -np.inf))  # every tie and near tie goes to the exact measure
             exact = (q[i] * x[j]).sum(axis=1)
             order = np.lexsort((ids[j], -exact, i))
             i, j, exact = i[order], j[order], exact[order]
