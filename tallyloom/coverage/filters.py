@@ -95,10 +95,10 @@ def filter_forecast_horizon(t):
 
 
 @case("filter_up_to_latest_actual", """SELECT country_code, target_day, count(*) AS lines FROM orders_forecast_adjusted
-JOIN (SELECT country_code, max(order_day) AS last_day FROM orders_actuals WHERE channel = 'mkt' GROUP BY ALL) USING (country_code)
+JOIN (SELECT country_code, max(order_day) AS last_day FROM orders_actuals GROUP BY ALL) USING (country_code)
 WHERE target_day <= last_day GROUP BY ALL""")
 def filter_up_to_latest_actual(t):
-    last = category_yoy.last_days(t["orders_actuals"].filter(F.col("channel") == "mkt"))
+    last = category_yoy.last_days(t["orders_actuals"])
     daily = t["orders_forecast_adjusted"].groupBy("country_code", "target_day").agg(F.count("*").alias("lines"))
     return daily.join(last, "country_code").filter(F.col("target_day") <= F.col("max_order_day")).drop("max_order_day")
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.coverage.registry import case, dbl
 from tallyloom.coverage.tables_and_columns import ALL_MODES, FX, RECENT, num, rates
-from tallyloom.functions import calendar, measures
+from tallyloom.functions import measures
 from tallyloom.operators.joins import beside_prior_year, full_pair, range_join, rates_of, specific_or_default, wildcard_left, with_rate
 from tallyloom.operators.selection import latest_id_per, only_value
 from tallyloom.operators.staging import stage
@@ -25,11 +25,10 @@ def join_inner_on(t):
 
 
 @case("join_inner_using", f"""SELECT country_code, channel, gl_rollup, gl_product_group, day AS target_day, {dbl("p")} AS units_fcst, {dbl("s")} AS units_act
-FROM (SELECT country_code, channel, gl_rollup, gl_product_group, target_day AS day, sum(net_ordered_units) AS p FROM orders_forecast_adjusted
-  WHERE forecast_id = 5006 GROUP BY ALL)
+FROM (SELECT country_code, channel, gl_rollup, gl_product_group, target_day AS day, sum(net_ordered_units) AS p FROM orders_forecast_adjusted GROUP BY ALL)
 NATURAL JOIN (SELECT country_code, channel, gl_rollup, gl_product_group, order_day AS day, sum(net_ordered_units) AS s FROM orders_actuals GROUP BY ALL)""")
 def join_inner_using(t):
-    planned = (t["orders_forecast_adjusted"].filter(F.col("forecast_id") == 5006).groupBy(*KEYS, "target_day")
+    planned = (t["orders_forecast_adjusted"].groupBy(*KEYS, "target_day")
                .agg(num(F.sum("net_ordered_units")).alias("units_fcst")))
     sold = (t["orders_actuals"].withColumnRenamed("order_day", "target_day").groupBy(*KEYS, "target_day")
             .agg(num(F.sum("net_ordered_units")).alias("units_act")))
@@ -37,8 +36,8 @@ def join_inner_using(t):
 
 
 @case("join_left_on", """SELECT r.run_id, r.country_code, r.customer_group, r.plan_status, r.plan_type, r.target_day, r.member_count, x.cancel_rate
-FROM member_runs r LEFT JOIN member_rates x ON (x.run_id, x.country_code, x.customer_group, x.plan_status, x.plan_type, x.target_day)
-  = (r.run_id, r.country_code, r.customer_group, r.plan_status, r.plan_type, r.target_day) AND x.cancel_rate > 0.008""")
+FROM member_runs r LEFT JOIN member_rates x ON x.run_id = r.run_id AND x.country_code = r.country_code AND x.customer_group = r.customer_group
+  AND x.plan_status = r.plan_status AND x.plan_type = r.plan_type AND x.target_day = r.target_day AND x.cancel_rate > 0.008""")
 def join_left_on(t):
     keys = ["run_id", "country_code", "customer_group", "plan_status", "plan_type", "target_day"]
     runs = t["member_runs"].alias("r")
@@ -58,10 +57,8 @@ def join_left_using(t):
 
 
 @case("join_full_using", f"""WITH names AS (SELECT gl_product_group, max(gl_name) AS gl_name FROM gl_names WHERE gl_name <> 'Unknown' GROUP BY ALL),
-f AS (SELECT country_code, gl_product_group, gl_name, target_day, sum(shipped_units) AS u FROM shipment_forecasts LEFT JOIN names USING (gl_product_group)
-  WHERE portfolio_id = '20010501a' GROUP BY ALL),
-a AS (SELECT country_code, gl_product_group, gl_name, target_day, sum(shipped_units) AS u FROM shipment_actuals LEFT JOIN names USING (gl_product_group)
-  WHERE target_day >= DATE '2000-06-01' GROUP BY ALL)
+f AS (SELECT country_code, gl_product_group, gl_name, target_day, sum(shipped_units) AS u FROM shipment_forecasts LEFT JOIN names USING (gl_product_group) GROUP BY ALL),
+a AS (SELECT country_code, gl_product_group, gl_name, target_day, sum(shipped_units) AS u FROM shipment_actuals LEFT JOIN names USING (gl_product_group) GROUP BY ALL)
 SELECT country_code, gl_product_group, gl_name, target_day, {dbl("f.u")} AS units_fcst, {dbl("a.u")} AS units_act
 FROM f FULL OUTER JOIN a USING (country_code, gl_product_group, gl_name, target_day)""")
 def join_full_using(t):
@@ -72,8 +69,8 @@ def join_full_using(t):
         sums = rows.groupBy("country_code", "gl_product_group", "target_day").agg(num(F.sum("shipped_units")).alias(name))
         return sums.join(names, "gl_product_group", "left")
 
-    planned = summed(t["shipment_forecasts"].filter(F.col("portfolio_id") == "20010501a"), "units_fcst")
-    shipped = summed(t["shipment_actuals"].filter(calendar.on_or_after(F.col("target_day"), "2000-06-01")), "units_act")
+    planned = summed(t["shipment_forecasts"], "units_fcst")
+    shipped = summed(t["shipment_actuals"], "units_act")
     return full_pair(planned, shipped, keys)
 
 
@@ -170,14 +167,14 @@ def join_visible_products(t):
 
 
 @case("join_latest_actual_date", """WITH ends AS (
-  SELECT 'Shipments' AS ship_order, country_code, max(target_day) AS latest_act FROM shipment_actuals WHERE gl_product_group < 990 GROUP BY ALL
-  UNION SELECT 'Orders', country_code, max(order_day) FROM orders_actuals WHERE gl_product_group < 990 GROUP BY ALL)
+  SELECT 'Shipments' AS ship_order, country_code, max(target_day) AS latest_act FROM shipment_actuals GROUP BY ALL
+  UNION SELECT 'Orders', country_code, max(order_day) FROM orders_actuals GROUP BY ALL)
 SELECT ship_order, country_code, latest_act, count(*) AS lines FROM (
   SELECT 'Shipments' AS ship_order, country_code FROM shipment_forecasts UNION ALL SELECT 'Orders', country_code FROM orders_forecast_adjusted)
 LEFT JOIN ends USING (ship_order, country_code) GROUP BY ALL""")
 def join_latest_actual_date(t):
     def fresh(name, forecast, actual, day):
-        last = (actual.filter(F.col("gl_product_group") < 990).groupBy("country_code").agg(F.max(day).alias("latest_act")))
+        last = actual.groupBy("country_code").agg(F.max(day).alias("latest_act"))
         lines = forecast.groupBy("country_code").agg(F.count("*").alias("lines"))
         return (lines.join(last, "country_code", "left")
                 .select(F.lit(name).alias("ship_order"), "country_code", "latest_act", "lines"))

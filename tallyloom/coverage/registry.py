@@ -30,6 +30,11 @@ def case(name: str, sql: str) -> Callable[[Callable[[Tables], DataFrame]], Calla
     return register
 
 
+def listed(values: tuple) -> str:
+    """A fixed list as an SQL list."""
+    return "(" + ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in values) + ")"
+
+
 def dbl(expression: str) -> str:
     """Correctly rounded DECIMAL -> DOUBLE in DuckDB (its direct cast divides and may miss the last bit)."""
     return f"CAST(CAST({expression} AS VARCHAR) AS DOUBLE)"

@@ -28,9 +28,12 @@ def converted_total(total: Column) -> Column:
     """A sum in the target currency.
 
     Sums of DECIMAL(18,s) are DECIMAL(28,s); times a DECIMAL(12,6) rate they would pass 38 digits and lose
-    scale. 25 digits hold any total (19 before the point) and keep the product exact; a larger one raises.
+    scale. 25 digits hold any total (19 before the point) and keep the product exact; a larger one raises,
+    whether ANSI mode is on or off.
     """
-    return total.cast("decimal(25,6)") * F.col("fx_rate")
+    narrow = total.try_cast("decimal(25,6)")
+    lost = F.raise_error(F.lit("a total has more than 19 digits before the point")).cast("decimal(25,6)")
+    return F.when(total.isNotNull() & narrow.isNull(), lost).otherwise(narrow) * F.col("fx_rate")
 
 
 def net_flow(start: Column, convert_in: Column, cancel: Column, convert_out: Column) -> Column:

@@ -59,14 +59,20 @@ def specific_or_default(df: DataFrame, lookup: DataFrame, value: str, country: s
             .withColumn(value, F.coalesce(*choice)).drop("_specific", "_default"))
 
 
-def range_join(df: DataFrame, ranges: DataFrame, value: Column, low: str, high: str,
-               width: int = 16) -> DataFrame:
+def range_join(df: DataFrame, ranges: DataFrame, value: Column, low: str, high: str) -> DataFrame:
     """Inner join on ``value BETWEEN low AND high`` as an equi join.
 
-    Each range is repeated for every slot of ``width`` it touches, and a value looks in its own slot
-    only, so each match is found once. Integer or decimal values both work.
+    Each range is repeated for every slot it touches, and a value looks in its own slot only, so each match is found
+    once. Slots are as wide as the ranges' starts are apart on average, and the last one begins at or before the largest start and has
+    no end: an open-ended range touches as many slots as there are starts above its own, whatever its ``high``. Integer or decimal values
+    both work; a range with a NULL bound matches nothing.
     """
-    slot = lambda c: F.floor(c / F.lit(width)).cast("long")
+    starts = ranges.agg(F.min(low).alias("least"), F.max(low).alias("most"), F.count(low).alias("n")).first()
+    least, most = int(starts["least"] or 0), int(starts["most"] or 0)
+    width = max(1, (most - least) // max(1, starts["n"]))
+    top = (most - least) // width
+    slot = lambda c: F.least(F.greatest(F.floor((c.cast("double") - least) / width), F.lit(0)), F.lit(top)).cast("long")
+    ranges = ranges.filter(F.col(low) <= F.col(high))
     spread = ranges.withColumn("_slot", F.explode(F.sequence(slot(F.col(low)), slot(F.col(high)))))
     probe = df.withColumn("_value", value).withColumn("_slot", slot(F.col("_value")))
     return (probe.join(spread, "_slot")

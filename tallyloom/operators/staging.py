@@ -1,22 +1,16 @@
 """Named intermediate results, and the size rule for broadcast sides.
 
-No operator broadcasts on trust. There are two ways a join side becomes a broadcast:
-
-* it is read from storage (a dimension table, or a list put there by :func:`stage`). The planner
-  then knows its file size, broadcasts below ``spark.sql.autoBroadcastJoinThreshold`` and uses a
-  shuffle join above it;
-* its row count is bounded by construction, and :func:`at_most` checks that bound.
+No operator broadcasts on trust. A join side becomes a broadcast because it is read from storage (a
+dimension table, or a list put there by :func:`stage`): the planner then knows its file size, broadcasts
+below ``spark.sql.autoBroadcastJoinThreshold`` and uses a shuffle join above it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tallyloom.session import new_folder
 
-BROADCAST_ROWS = 10_000
-
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as a table in the shared folder and return a scan of it.
@@ -28,11 +22,3 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def at_most(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast for a side that cannot hold more than ``rows`` rows.
-
-    ``rows`` comes from the query itself: an aggregate whose key is restricted to a constant list, a
-    one-row aggregate. Above ``limit`` the frame is returned without a hint.
-    """
-    return F.broadcast(df) if rows <= limit else df

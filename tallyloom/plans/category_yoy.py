@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar, labels
 from tallyloom.operators.joins import beside_prior_year, rates_of, specific_or_default, with_rate
-from tallyloom.operators.staging import at_most
+from tallyloom.operators.staging import stage
 from tallyloom.plans.common import kept_products, numbers, order_revenue
 from tallyloom.sources.tables import Tables
 
@@ -61,7 +61,7 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     paired = beside_prior_year(priced, "order_day", KEYS,
                                {"act_units": F.col("net_ordered_units"), "act_gms": order_revenue()}, current, prior)
     # Region rows of last_days_with_regions carry region codes and cannot match a country.
-    newest = at_most(last_days(t["orders_actuals"].filter(in_scope)), len(p.countries))
+    newest = stage(last_days(t.days("orders_actuals", (p.current_from, None)).filter(in_scope)), "last-days")
     age = F.datediff(F.col("max_order_day"), F.col("target_day"))
     shown = (paired.join(newest, "country_code").filter(F.col("target_day") <= F.col("max_order_day"))
              .withColumn("t7", F.when(age < p.trailing_days, 1).otherwise(0))

@@ -63,7 +63,7 @@ def _sales(t: Tables, p: Params, ids: DataFrame) -> DataFrame:
 
 def _tenures(t: Tables, p: Params, ids: DataFrame) -> DataFrame:
     first_day = F.col("target_day") == F.try_to_date(F.col("forecast_date"), "yyyyMMdd")
-    return (_forecast_rows(t["segment_forecast"], p, ids).filter(
+    return (_forecast_rows(t.days("segment_forecast", (p.members_since, None)), p, ids).filter(
         (F.col("channel") == "ret") & (F.col("subchannel") == "ret") & (F.col("gl_rollup") == "med")
         & (F.col("gl_product_group") == TENURE_PRODUCT) & first_day)
         .groupBy("portfolio_id", *SEGMENT).agg(F.countDistinct("tenure").alias("tenure_count")))

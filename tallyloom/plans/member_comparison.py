@@ -59,7 +59,7 @@ def daily(t: Tables, p: Params) -> DataFrame:
     planned = (t.days("member_runs", (p.since, None)).filter(wanted & (F.col("customer_group") != p.skipped_group))
                .join(stage(runs(t, p), "member-runs"), "run_id").select(*columns))
     # whole weeks only: actuals end at the last Saturday
-    last = largest(t["member_actuals"].filter(calendar.weekday(day) == SATURDAY), "target_day")
+    last = largest(t.days("member_actuals", (p.since, None)).filter(calendar.weekday(day) == SATURDAY), "target_day")
     actual = (t.days("member_actuals", (p.since, last)).filter(wanted)
               .withColumn("portfolio_id", F.lit("Actuals")).select(*columns))
     return planned.union(actual)

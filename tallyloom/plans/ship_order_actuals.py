@@ -66,8 +66,7 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     scenario = largest(reference, "fx_scenario")
     rates = rates_of(t["fx_rates"], scenario, p.target_country, p.countries)
     all_rates = rates_of(t["fx_rates"], scenario, p.target_country)
-    # the label is cut to 40 characters, so longer names that start alike are one data type
-    names = reference.select("dataset_date", F.left("data_type_name", F.lit(40)).alias("data_type_name")).distinct()
+    names = reference.select("dataset_date", "data_type_name").distinct()
     dates = names.select("dataset_date").distinct()
     kept = kept_products(p.max_group)
     day = F.col("target_day")
@@ -114,6 +113,8 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
 
     final_orders = order_forecasts("orders_forecast_adjusted", "Adjusted", "Final")
     system_orders = order_forecasts("orders_forecast_daily", "Baseline", "System")
-    # Each branch is grouped by its key and carries its own stream and type: a set union has nothing to merge.
-    everything = orders.union(shipments).union(ship_forecasts).union(final_orders).union(system_orders)
+    # Actuals are grouped by their keys and carry their own stream and type. Forecast labels are cut to 40 characters, so names
+    # that start alike can meet: equal rows count once, as in a set union.
+    forecasts = ship_forecasts.union(final_orders).union(system_orders).distinct()
+    everything = orders.union(shipments).union(forecasts)
     return numbers(everything, *MEASURES)

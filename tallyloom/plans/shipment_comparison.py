@@ -57,7 +57,7 @@ def facts(t: Tables, p: Params) -> DataFrame:
     visible = _labelled(t["gl_names"].filter(F.col("visible_gl_product_group").isNotNull()))
     actual = F.lit("Actuals")
     # actuals end at the last Saturday of the shipments, for orders too
-    last = largest(t["shipment_actuals"].filter(calendar.weekday(day) == SATURDAY), "target_day")
+    last = largest(t.days("shipment_actuals", (p.since, None)).filter(calendar.weekday(day) == SATURDAY), "target_day")
     current, finished = (p.since, None), (p.since, last)
 
     ship_revenue = measures.market_revenue(F.col("country_code"), F.col("channel"),

@@ -11,7 +11,7 @@ from tallyloom.functions import calendar, labels, measures
 from tallyloom.operators.grains import final_and_system
 from tallyloom.operators.joins import full_pair, rates_of, with_rate
 from tallyloom.operators.selection import latest_id_per, newest, ranked
-from tallyloom.operators.staging import at_most, stage
+from tallyloom.operators.staging import stage
 from tallyloom.plans.common import canonical_names, kept_products, numbers
 from tallyloom.sources import sinks
 from tallyloom.sources.tables import Tables
@@ -116,7 +116,7 @@ def _stream(name: str, forecast: DataFrame, actual: DataFrame, rows: DataFrame,
     planned = (forecast.drop("dataset_date").join(names, "gl_product_group", "left").repartition(*KEYS).distinct())
     paired = full_pair(planned, actual.join(names, "gl_product_group", "left"), KEYS)
     last = rows.groupBy("country_code").agg(F.max("target_day").alias("latest_act"))
-    return (paired.join(at_most(last, len(p.countries)), "country_code", "left")
+    return (paired.join(stage(last, "last-days"), "country_code", "left")
             .withColumn("ship_order", F.lit(name)).withColumn("region", labels.region(F.col("country_code"))))
 
 

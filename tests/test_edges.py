@@ -10,7 +10,7 @@ from tallyloom.functions import calendar, labels, measures
 from tallyloom.operators.grains import final_and_system, multi_grain
 from tallyloom.operators.joins import beside_prior_year, full_pair, range_join, rates_of, specific_or_default, wildcard_left, with_rate
 from tallyloom.operators.selection import latest_id_per, latest_versions, newest, newest_rows, only_value, top_ranked
-from tallyloom.operators.staging import at_most, stage
+from tallyloom.operators.staging import stage
 
 D = dt.date
 
@@ -102,11 +102,21 @@ def test_full_pair_does_not_match_null_keys(spark):
 def test_range_join_equals_the_plain_condition(spark):
     ranges = spark.createDataFrame([(0, 1, "a"), (2, 40, "b"), (30, 999, "c"), (-20, -3, "d")], "lo int, hi int, n string")
     values = spark.range(-25, 1005).select(F.col("id").cast("int").alias("v"))
-    got = rows(range_join(values, ranges, F.col("v"), "lo", "hi", width=7), "v", "n")
+    got = rows(range_join(values, ranges, F.col("v"), "lo", "hi"), "v", "n")
     want = [(v, n) for v in range(-25, 1005) for lo, hi, n in ((0, 1, "a"), (2, 40, "b"), (30, 999, "c"), (-20, -3, "d")) if lo <= v <= hi]
     assert got == sorted(want, key=str)
 
 
+def test_range_join_is_bounded_with_open_ends(spark):
+    bounds = [(0, 1, "a"), (2, 40, "b"), (30, 2_147_483_647, "open"), (None, 5, "no start"), (7, None, "no end"), (9, 8, "empty")]
+    ranges = spark.createDataFrame(bounds, "lo int, hi int, n string")
+    values = spark.createDataFrame([(0,), (35,), (2_147_483_647,), (None,), (-5,)], "v int")
+    found = range_join(values, ranges, F.col("v"), "lo", "hi")
+    assert rows(found, "v", "n") == sorted([(0, "a"), (35, "b"), (35, "open"), (2_147_483_647, "open")], key=str)
+    spread = spark.range(1000).select((F.col("id") * 50).cast("int").alias("lo"), (F.col("id") * 50 + 49).cast("int").alias("hi"))
+    assert range_join(spark.range(50_000), spread, F.col("id"), "lo", "hi").count() == 50_000
+
+
 def test_prior_year_partner(spark):
     data = [("a", D(2001, 1, 7), 1), ("a", D(2000, 1, 9), 2), ("a", D(2000, 1, 9), 3), (None, D(2001, 1, 7), 5), (None, D(2000, 1, 9), 7),
             ("b", D(2000, 1, 9), 9)]
@@ -198,11 +208,15 @@ def test_multi_grain_counts_days_once(spark):
         ("Quarterly", D(2001, 1, 1), 7, 2), ("Quarterly", D(2001, 7, 1), 8, 1), ("Yearly", D(2001, 1, 1), 15, 3)], key=str)
 
 
-def test_broadcast_needs_a_bound(spark):
-    df = spark.range(3)
-    hinted = at_most(df, 3)._jdf.queryExecution().logical().toString()
-    plain = at_most(df, 3, limit=2)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted and "broadcast" not in plain
+def test_total_beyond_the_decimal_raises(spark):
+    df = spark.createDataFrame([("12345678901234567890.5",)], "v string").select(F.col("v").cast("decimal(38,6)").alias("v"), F.lit(1).alias("fx_rate"))
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            with pytest.raises(Exception, match="more than 19 digits"):
+                df.select(measures.converted_total(F.col("v"))).collect()
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
 
 
 def test_stage_survives_and_knows_its_size(spark):
