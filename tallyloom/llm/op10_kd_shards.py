@@ -1,10 +1,10 @@
 """K-d tree sharding: weighted medians along the widest metadata dimension until the leaves reach the target bytes.
 
 Only ids, sizes and coordinates of the rows are read after the first pass, from a table in the shared folder. Every
-dimension is scaled to 20 bits over its global range (strings by their first bytes); 32 bits of a hash of the row's
+dimension is scaled to 12 bits over its global range (strings by their first bytes); 32 bits of a hash of the row's
 number break ties, so that a value held by a third of all rows can be split like any other. Per level of the tree and
 for all its nodes together: one aggregation gives each node's range in every dimension, the widest is taken, and the
-cut that gives both sides their share of the bytes is found by a radix search over histograms of at most 1024 bins a node
+cut that gives both sides their share of the bytes is found by a radix search over histograms of at most 8192 bins a node
 (weights summed map-side). The driver sees one row per node. A node that stands for ``k`` leaves is cut
 ``k // 2 : k - k // 2``, so any number of leaves gets near-equal bytes.
 
@@ -25,11 +25,11 @@ from pyspark.sql import Window as W
 from tallyloom.operators.staging import stage
 
 OVERHEAD = 16
-COORDINATE_BITS = 20
+COORDINATE_BITS = 12
 TIE_BITS = 32
-DIGIT_BITS = 10
+DIGIT_BITS = 13
 #: Share of a leaf's bytes by which a cut may miss the median.
-TOLERANCE = 2e-4
+TOLERANCE = 1e-3
 ROWS_PER_BUCKET = 100_000
 
 
@@ -68,8 +68,8 @@ def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
         return F.shiftleft(at.cast("long"), TIE_BITS).bitwiseOR(tie)
 
     keyed = rows.select("id", "size", "text_crc32", "uid", tie.alias("tie"), F.array(*[key(n) for n in names] or [tie]).alias("keys"))
-    tree, leaves = _grow(keyed, len(names) or 1, shards, total / shards)
-    placed = keyed.select("id", "size", "text_crc32", "uid", "tie", _lookup(leaves, _descend(tree)).alias("shard"))
+    tree, rows = _grow(keyed, len(names) or 1, shards, total / shards)
+    placed = rows.select("id", "size", "text_crc32", "uid", "tie", _lookup([t["first"] for t in tree], F.col("node")).alias("shard"))
     buckets = max(1, -(-spans["n"] // (ROWS_PER_BUCKET * shards)))
     placed = placed.withColumn("bucket", (F.col("tie") % buckets).cast("int"))
     before = F.sum("n").over(W.partitionBy("shard").orderBy("bucket")) - F.col("n")
@@ -83,30 +83,20 @@ def _lookup(values: list, at: Column) -> Column:
     return F.array(*[F.lit(v) for v in values])[at]
 
 
-def _descend(tree: list[dict]) -> Column:
-    """Number of the node in which a row ends; each level is one bound expression."""
-    node = F.lit(0)
-    for level in range(1 + max((t["level"] for t in tree if "cut" in t), default=-1)):
-        node = F.transform(F.array(node), _step([t for t in tree if t["level"] <= level + 1]))[0]
-    return node
+def _child(tree: list[dict]) -> Column:
+    """Number of the node below ``node`` in which a row lies; a leaf stays itself."""
+    at = F.col("node")
+    left, right = ([t.get(side, i) for i, t in enumerate(tree)] for side in ("left", "right"))
+    below = F.col("keys")[_lookup([t.get("dim", 0) for t in tree], at)] < _lookup([t.get("cut", 0) for t in tree], at)
+    return F.when(below, _lookup(left, at)).otherwise(_lookup(right, at))
 
 
-def _step(known: list[dict]):
-    left, right = ([t.get(side, i) for i, t in enumerate(known)] for side in ("left", "right"))
-
-    def child(at: Column) -> Column:
-        key = F.col("keys")[_lookup([t.get("dim", 0) for t in known], at)]
-        return F.when(key < _lookup([t.get("cut", 0) for t in known], at), _lookup(left, at)).otherwise(_lookup(right, at))
-
-    return child
-
-
-def _grow(keyed: DataFrame, dims: int, shards: int, leaf_bytes: float) -> tuple[list[dict], list[int]]:
-    """The tree's nodes (bounded by the number of leaves) and the first leaf of each."""
+def _grow(keyed: DataFrame, dims: int, shards: int, leaf_bytes: float) -> tuple[list[dict], DataFrame]:
+    """The tree's nodes (bounded by the number of leaves) and the rows with the ``node`` of their leaf, written once a level."""
     tree = [{"level": 0, "first": 0, "leaves": shards}]
-    level = 0
+    level, keyed = 0, keyed.withColumn("node", F.lit(0))
     while active := [i for i, t in enumerate(tree) if t["level"] == level and t["leaves"] > 1]:
-        rows = keyed.select("size", "keys", _descend(tree).alias("node")).where(F.col("node").isin(active))
+        rows = keyed.select("size", "keys", "node").where(F.col("node").isin(active))
         coordinate = [F.shiftright(F.col("keys")[d], TIE_BITS) for d in range(dims)]
         ranges = rows.groupBy("node").agg(F.sum("size").alias("bytes"), *[
             (F.max(c) - F.min(c)).alias(f"w{d}") for d, c in enumerate(coordinate)]).collect()
@@ -119,8 +109,9 @@ def _grow(keyed: DataFrame, dims: int, shards: int, leaf_bytes: float) -> tuple[
             k, first, found = tree[i]["leaves"], tree[i]["first"], search.get(i, {"dim": 0, "cut": 0})
             tree[i] |= {"dim": found["dim"], "cut": found["cut"], "left": len(tree), "right": len(tree) + 1}
             tree += [{"level": level + 1, "first": first, "leaves": k // 2}, {"level": level + 1, "first": first + k // 2, "leaves": k - k // 2}]
+        keyed = stage(keyed.withColumn("node", _child(tree)), "shard-level")
         level += 1
-    return tree, [t["first"] for t in tree]
+    return tree, keyed
 
 
 def _cut(rows: DataFrame, search: dict[int, dict], leaf_bytes: float) -> None:
