@@ -11,7 +11,7 @@ from tallyloom.operators.joins import beside_prior_year, full_pair, range_join,
 from tallyloom.operators.selection import latest_id_per, only_value
 from tallyloom.operators.staging import stage
 from tallyloom.plans import member_comparison
-from tallyloom.plans.common import canonical_names, latest_sets
+from tallyloom.plans.common import latest_sets
 
 KEYS = ["country_code", "channel", "gl_rollup", "gl_product_group"]
 
@@ -56,22 +56,17 @@ def join_left_using(t):
     return t["member_actuals"].join(shock, keys, "left").select(*keys, "member_count", "shock")
 
 
-@case("join_full_using", f"""WITH names AS (SELECT gl_product_group, max(gl_name) AS gl_name FROM gl_names WHERE gl_name <> 'Unknown' GROUP BY ALL),
-f AS (SELECT country_code, gl_product_group, gl_name, target_day, sum(shipped_units) AS u FROM shipment_forecasts LEFT JOIN names USING (gl_product_group) GROUP BY ALL),
-a AS (SELECT country_code, gl_product_group, gl_name, target_day, sum(shipped_units) AS u FROM shipment_actuals LEFT JOIN names USING (gl_product_group) GROUP BY ALL)
+@case("join_full_using", f"""WITH f AS (SELECT country_code, gl_product_group, gl_name, target_day, sum(shipped_units) AS u FROM shipment_forecasts GROUP BY ALL),
+a AS (SELECT country_code, gl_product_group, gl_name, target_day, sum(shipped_units) AS u FROM shipment_actuals GROUP BY ALL)
 SELECT country_code, gl_product_group, gl_name, target_day, {dbl("f.u")} AS units_fcst, {dbl("a.u")} AS units_act
 FROM f FULL OUTER JOIN a USING (country_code, gl_product_group, gl_name, target_day)""")
 def join_full_using(t):
     keys = ["country_code", "gl_product_group", "gl_name", "target_day"]
-    names = canonical_names(t["gl_names"])
 
     def summed(rows, name):
-        sums = rows.groupBy("country_code", "gl_product_group", "target_day").agg(num(F.sum("shipped_units")).alias(name))
-        return sums.join(names, "gl_product_group", "left")
+        return rows.groupBy(*keys).agg(num(F.sum("shipped_units")).alias(name))
 
-    planned = summed(t["shipment_forecasts"], "units_fcst")
-    shipped = summed(t["shipment_actuals"], "units_act")
-    return full_pair(planned, shipped, keys)
+    return full_pair(summed(t["shipment_forecasts"], "units_fcst"), summed(t["shipment_actuals"], "units_act"), keys)
 
 
 @case("join_fx_rate", f"""SELECT country_code, order_day, {dbl("sum(net_ordered_gms * fx_rate)")} AS gms_usd
@@ -158,9 +153,9 @@ def join_recent_portfolios(t):
 
 
 @case("join_visible_products", f"""SELECT gl_product_group, gl_name, {dbl("sum(net_ordered_units)")} AS units FROM orders_actuals
-JOIN gl_names USING (gl_product_group) WHERE visible_gl_product_group IS NOT NULL GROUP BY ALL""")
+JOIN visible_products USING (gl_product_group) WHERE visible_gl_product_group IS NOT NULL GROUP BY ALL""")
 def join_visible_products(t):
-    visible = t["gl_names"].filter(F.col("visible_gl_product_group").isNotNull()).select("gl_product_group", "gl_name")
+    visible = t["visible_products"].filter(F.col("visible_gl_product_group").isNotNull()).select("gl_product_group", "gl_name")
     # sums per product first: the names repeat a product, and only a few rows are left to repeat
     sums = t["orders_actuals"].groupBy("gl_product_group").agg(num(F.sum("net_ordered_units")).alias("units"))
     return sums.join(visible, "gl_product_group").select("gl_product_group", "gl_name", "units")

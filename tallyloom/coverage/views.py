@@ -32,23 +32,34 @@ VIEWS: dict[str, str] = {
     CASE forecast_id % 3 WHEN 0 THEN 'run [IN,INT,WW]' WHEN 1 THEN 'run [CA,DE,ES,EU,FR,INT,IT,JP,NA,UK,US,WW]'
       ELSE 'run [MX]' END AS forecast_description
   FROM portfolio_metadata""",
-    "gl_names": """SELECT DISTINCT gl_product_group, CONCAT('Group ', CAST(gl_product_group AS VARCHAR)) AS gl_name,
-    CASE WHEN gl_product_group = 700 THEN NULL ELSE gl_product_group END AS visible_gl_product_group
-  FROM base_sales WHERE gl_product_group <> 510
-  UNION ALL SELECT 14, 'A group', 14 UNION ALL SELECT 510, 'Unknown', 510""",
+    "gl_names": """SELECT DISTINCT gl_product_group, CONCAT('Group ', CAST(gl_product_group AS VARCHAR)) AS gl_name
+  FROM base_sales WHERE gl_product_group NOT IN (364, 510)
+  UNION ALL VALUES (14, 'A group'), (364, 'Unknown'), (510, 'Unknown')""",
+    "visible_products": """SELECT DISTINCT gl_product_group, CONCAT('Shown ', CAST(gl_product_group AS VARCHAR)) AS gl_name,
+    CASE WHEN gl_product_group <> 700 THEN gl_product_group END AS visible_gl_product_group FROM base_sales""",
     "orders_actuals": """SELECT country_code, channel, gl_rollup, gl_product_group, category_code, prime_group, order_day,
     units AS net_ordered_units, net AS net_ops, gross AS net_ordered_gms FROM base_sales""",
-    "shipment_actuals": """SELECT country_code, channel, channel AS subchannel, gl_rollup, gl_product_group, prime_group,
-    DATE '2001-07-01' AS dataset_date, ship_day AS target_day,
+    "shipment_actuals_all": """SELECT country_code, channel, channel AS subchannel, gl_rollup, gl_product_group,
+    CASE WHEN gl_product_group IN (364, 510) THEN 'Unknown' WHEN gl_product_group = 14 AND channel = 'mkt' THEN 'A group'
+      WHEN gl_product_group <> 467 THEN CONCAT('Group ', CAST(gl_product_group AS VARCHAR(10))) END AS gl_name, prime_group,
+    dataset_date, ship_day AS target_day,
     CAST(date_trunc('week', CAST(ship_day + 1 AS TIMESTAMP)) AS DATE) - 1 AS target_week,
     CAST(date_trunc('month', CAST(ship_day AS TIMESTAMP)) AS DATE) AS target_month,
-    units AS shipped_units, net AS product_revenue_amt, gross AS gross_gms_amt FROM base_sales""",
+    units AS shipped_units, net AS product_revenue_amt, gross AS gross_gms_amt,
+    CAST(net * 1.25 AS DECIMAL(18,6)) AS product_revenue_usd, CAST(gross * 1.25 AS DECIMAL(18,6)) AS gross_gms_usd
+  FROM base_sales JOIN (VALUES (DATE '2001-07-01', DATE '9999-01-01'), (DATE '2001-05-01', DATE '2001-05-01')) AS d(dataset_date, ended)
+    ON ship_day < ended""",
+    "shipment_actuals": "FROM shipment_actuals_all WHERE dataset_date = DATE '2001-07-01'",
     "shipment_forecasts": f"""SELECT p.portfolio_id, p.portfolio_status, p.is_latest_publish, p.dataset_date, p.forecast_id,
     CASE WHEN b.line % 3 = 0 THEN 'promo_event' ELSE 'baseline' END AS initiative,
     CASE WHEN b.line % 3 = 0 THEN 'Event' ELSE 'Baseline' END AS initiative_type,
-    b.country_code, b.channel, b.channel AS subchannel, b.gl_rollup, b.gl_product_group, b.prime_group, b.ship_day AS target_day,
+    b.country_code, b.channel, b.channel AS subchannel, b.gl_rollup, b.gl_product_group,
+    CASE WHEN b.gl_product_group IN (364, 510) THEN 'Unknown' WHEN b.gl_product_group = 14 AND b.channel = 'mkt' THEN 'A group'
+      WHEN b.gl_product_group <> 467 THEN CONCAT('Group ', CAST(b.gl_product_group AS VARCHAR(10))) END AS gl_name, b.prime_group, b.ship_day AS target_day,
     CAST(b.units * p.factor AS DECIMAL(18,4)) AS shipped_units, CAST(b.net * p.factor AS DECIMAL(18,6)) AS product_revenue_amt,
-    CAST(b.gross * p.factor AS DECIMAL(18,6)) AS gross_gms_amt
+    CAST(b.gross * p.factor AS DECIMAL(18,6)) AS gross_gms_amt,
+    CAST(CAST(b.net * p.factor AS DECIMAL(18,6)) * 1.25 AS DECIMAL(18,6)) AS product_revenue_usd,
+    CAST(CAST(b.gross * p.factor AS DECIMAL(18,6)) * 1.25 AS DECIMAL(18,6)) AS gross_gms_usd
   FROM base_sales b JOIN portfolio_metadata p ON b.ship_day >= p.dataset_date - 400 AND (b.order_key + p.forecast_id) % 4 <> 0""",
     "orders_forecast_daily": f"""SELECT p.forecast_id + k.off AS forecast_id, k.forecast_type, p.dataset_date, {_KEYS},
     b.prime_group, b.order_day AS target_day, CAST(b.units * p.factor AS DECIMAL(18,4)) AS net_ordered_units,

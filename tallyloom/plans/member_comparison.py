@@ -79,4 +79,5 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
 
 def refresh(t: Tables, p: Params, root: str) -> DataFrame:
     """Replace the stored result of the run mode."""
-    return sinks.refresh_path(report(t, p), f"{root}/{sinks.target_name('members', p.mode)}")
+    target = sinks.target_name("members", p.mode)
+    return sinks.publish_version(report(t, p), f"{root}/{target}", target)

@@ -37,10 +37,10 @@ def _order_sums() -> dict[str, Column]:
 
 
 def _shipment_sums() -> dict[str, Column]:
-    net, gross = F.col("product_revenue_amt"), F.col("gross_gms_amt")
-    basis = measures.channel_revenue(F.col("channel"), net, gross)
-    return {"units": F.col("shipped_units"), "prv_gms_usd": measures.converted(basis),
-            "gms_usd": measures.converted(gross), "prv_usd": measures.converted(net)}
+    """Shipments carry their amounts in the target currency."""
+    net, gross = F.col("product_revenue_usd"), F.col("gross_gms_usd")
+    return {"units": F.col("shipped_units"), "prv_gms_usd": measures.channel_revenue(F.col("channel"), net, gross),
+            "gms_usd": gross, "prv_usd": net}
 
 
 def _summed(df: DataFrame, keys: list[str], sums: dict[str, Column]) -> DataFrame:
@@ -65,7 +65,6 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     reference = t["dataset_reference"]
     scenario = largest(reference, "fx_scenario")
     rates = rates_of(t["fx_rates"], scenario, p.target_country, p.countries)
-    all_rates = rates_of(t["fx_rates"], scenario, p.target_country)
     names = reference.select("dataset_date", "data_type_name").distinct()
     dates = names.select("dataset_date").distinct()
     kept = kept_products(p.max_group)
@@ -91,17 +90,17 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     orders = _tagged(_summed(with_rate(ordered.withColumnRenamed("order_day", "target_day"), rates), order_keys, _order_sums()),
                      "Orders", F.lit("Actuals"), day, blank)
 
-    actuals = t["shipment_actuals"]
-    shipped = t.days("shipment_actuals", past).filter(
+    actuals = t["shipment_actuals_all"]
+    shipped = t.days("shipment_actuals_all", past).filter(
         kept & (F.col("dataset_date") == largest(actuals, "dataset_date")))
-    shipments = _tagged(_summed(with_rate(shipped, all_rates, "left"), ship_keys, _shipment_sums()),
+    shipments = _tagged(_summed(shipped, ship_keys, _shipment_sums()),
                         "Shipments", F.lit("Actuals"), day, sub)
 
     published = F.col("portfolio_status") == "PRODUCTION"
     ids = chosen(t["shipment_forecasts"].filter(published), "portfolio_id")
     planned = t.days("shipment_forecasts", future).filter(published & kept & ahead).join(ids, ["dataset_date", "portfolio_id"])
     ship_forecasts = _tagged(
-        final_and_system(with_rate(planned, all_rates, "left"), [*dataset, *ship_keys], _shipment_sums(),
+        final_and_system(planned, [*dataset, *ship_keys], _shipment_sums(),
                          F.col("initiative_type") == "Baseline", tag="kind"),
         "Shipments", forecast_type(F.col("kind")), forecast_refresh, sub)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -12,7 +13,7 @@ from tallyloom.operators.grains import multi_grain
 from tallyloom.operators.joins import rates_of
 from tallyloom.operators.selection import largest, latest_id_per, only_value
 from tallyloom.operators.staging import stage
-from tallyloom.plans.common import canonical_names, kept_products, numbers
+from tallyloom.plans.common import kept_products, numbers
 from tallyloom.plans.member_comparison import INTERNAL, SATURDAY, portfolios
 from tallyloom.sources import sinks
 from tallyloom.sources.tables import Tables
@@ -34,28 +35,38 @@ class Params:
     max_group: int = 991
 
 
-def _branch(df: DataFrame, revenue: Column, units: str, tags: dict[str, Column]) -> DataFrame:
-    """Common columns; the texts are cut here, because rows whose cut texts are equal belong together."""
-    texts = [F.left(F.col(k), F.lit(TEXT)).alias(k) for k in KEYS]
-    return df.withColumn("gl_product_group", F.col("label")).withColumns(tags).select(
-        *texts, "target_day", F.col("scenario").alias("fx_scenario"), measures.converted(revenue).alias("gms"),
-        F.col(units).alias("shu"))
+SHIP_KEYS = ("portfolio_id", "country_code", "channel", "subchannel", "gl_rollup", "gl_product_group", "gl_name", "prime_group",
+             "initiative", "initiative_type")
+ORDER_KEYS = ("portfolio_id", "country_code", "channel", "gl_rollup", "gl_product_group", "prime_group")
+
+
+def _cells(rows: DataFrame, keys: tuple[str, ...], tags: dict[str, Column], revenue: Column, units: str) -> DataFrame:
+    """Sums in local currency per raw key and cell, the part of a week inside one month, named by its first day.
 
+    Sums are linear: rates, names and cut texts are attached to the cells instead of to every fact row.
+    """
+    day = F.col("target_day")
+    first = F.greatest(calendar.week_start(day), F.trunc(day, "month"))
+    return (rows.withColumns(tags).withColumn("target_day", first).groupBy(*keys, "target_day")
+            .agg(F.sum(revenue).alias("gms"), F.sum(units).alias("shu")))
 
-def _labelled(names: DataFrame) -> DataFrame:
-    """Code and printed label, made on the short side of the join instead of on every fact row."""
-    return names.select("gl_product_group", labels.product_label(F.col("gl_product_group"), F.col("gl_name")).alias("label"))
 
+def _branch(cells: DataFrame, rates: DataFrame, tags: dict[str, Column]) -> DataFrame:
+    """Common columns; the texts are cut here, because rows whose cut texts are equal belong together."""
+    texts = [F.left(F.col(k), F.lit(TEXT)).alias(k) for k in KEYS]
+    label = labels.product_label(F.col("gl_product_group"), F.col("gl_name"))
+    return cells.join(rates, "country_code").withColumn("gl_product_group", label).withColumns(tags).select(
+        *texts, "target_day", F.col("scenario").alias("fx_scenario"), measures.converted_total(F.col("gms")).alias("gms"), "shu")
 
-def facts(t: Tables, p: Params) -> DataFrame:
-    """The four sources with common columns, one row per fact row."""
+
+def cells(t: Tables, p: Params) -> DataFrame:
+    """The four sources with common columns, aggregated to cells."""
     kept = kept_products(p.max_group)
     day = F.col("target_day")
     rates = rates_of(t["fx_rates"], only_value(t["fx_scenario"], "scenario"), p.target_country)
     ids = stage(portfolios(t, p.mode, p.listed_since), "portfolios")
-    names = _labelled(canonical_names(t["gl_names"]))
-    visible = _labelled(t["gl_names"].filter(F.col("visible_gl_product_group").isNotNull()))
-    actual = F.lit("Actuals")
+    visible = t["visible_products"].filter(F.col("visible_gl_product_group").isNotNull()).select("gl_product_group", "gl_name")
+    actual = {"portfolio_id": F.lit("Actuals")}
     # actuals end at the last Saturday of the shipments, for orders too
     last = largest(t.days("shipment_actuals", (p.since, None)).filter(calendar.weekday(day) == SATURDAY), "target_day")
     current, finished = (p.since, None), (p.since, last)
@@ -64,44 +75,42 @@ def facts(t: Tables, p: Params) -> DataFrame:
                                            F.col("product_revenue_amt"), F.col("gross_gms_amt"))
     order_revenue = measures.market_revenue(F.col("country_code"), F.col("channel"),
                                             F.col("net_ops"), F.col("net_ordered_gms"))
-    order_tags = {"type": F.lit(ORDERS), "subchannel": F.col("channel"), "initiative": F.lit(ORDER_INITIATIVE),
-                  "initiative_type": F.lit(ORDER_INITIATIVE)}
+    baseline = {"initiative": F.lit("Baseline"), "initiative_type": F.lit("Baseline")}
 
-    planned = (t.days("shipment_forecasts", current).filter(kept & (F.col("forecast_id") != p.excluded_forecast))
-               .join(ids, "portfolio_id").join(names, "gl_product_group", "left"))
-    shipped = (t.days("shipment_actuals", finished).filter(kept)
-               .join(names, "gl_product_group", "left"))
+    planned = t.days("shipment_forecasts", current).filter(kept & (F.col("forecast_id") != p.excluded_forecast)).join(ids, "portfolio_id")
+    shipped = t.days("shipment_actuals", finished).filter(kept)
 
     adjusted = F.col("forecast_type") == "Adjusted"
     newest = latest_id_per(t["orders_forecast_daily"].filter(adjusted), "dataset_date", "forecast_id").select("forecast_id").distinct()
     # one row per forecast id and listed portfolio it belongs to
     chosen = stage(newest.join(t["forecast_portfolios"], "forecast_id").join(ids, "portfolio_id"), "forecast-ids")
     ordered = (t.days("orders_forecast_daily", current).filter(adjusted & kept & calendar.on_or_after(F.col("dataset_date"), p.listed_since))
-               .join(chosen, "forecast_id").join(visible, "gl_product_group"))
-    sold = (t.days("orders_actuals", finished).filter(kept).withColumnRenamed("order_day", "target_day")
-            .join(visible, "gl_product_group"))
+               .join(chosen, "forecast_id"))
+    sold = t.days("orders_actuals", finished).filter(kept).withColumnRenamed("order_day", "target_day")
 
-    shipment = {"type": F.lit("Shipments")}
-    baseline = {"initiative": F.lit("Baseline"), "initiative_type": F.lit("Baseline")}
-    return (_branch(planned.join(rates, "country_code"), ship_revenue, "shipped_units", shipment)
-            .union(_branch(shipped.join(rates, "country_code"), ship_revenue, "shipped_units",
-                           {**shipment, **baseline, "portfolio_id": actual}))
-            .union(_branch(ordered.join(rates, "country_code"), order_revenue, "net_ordered_units", order_tags))
-            .union(_branch(sold.join(rates, "country_code"), order_revenue, "net_ordered_units",
-                           {**order_tags, "portfolio_id": actual})))
+    shipments = [_cells(planned, SHIP_KEYS, {}, ship_revenue, "shipped_units"),
+                 _cells(shipped, SHIP_KEYS, actual | baseline, ship_revenue, "shipped_units")]
+    orders = [_cells(ordered, ORDER_KEYS, {}, order_revenue, "net_ordered_units"),
+              _cells(sold, ORDER_KEYS, actual, order_revenue, "net_ordered_units")]
+    order_tags = {"type": F.lit(ORDERS), "subchannel": F.col("channel"), "initiative": F.lit(ORDER_INITIATIVE),
+                  "initiative_type": F.lit(ORDER_INITIATIVE)}
+    branches = [_branch(c, rates, {"type": F.lit("Shipments")}) for c in shipments]
+    branches += [_branch(c.join(visible, "gl_product_group"), rates, order_tags) for c in orders]
+    return functools.reduce(DataFrame.union, branches)
 
 
 def report(t: Tables, p: Params = Params()) -> DataFrame:
-    """The daily step of the job is skipped: sums over days of daily sums are sums over rows.
+    """The daily step of the job is skipped: sums over days of daily sums are sums over cells of days.
 
     The four sources differ in type, initiative or portfolio, so they need no deduplication.
     """
     # The rates hold one scenario, so its name is a key like any other (and not a maximum of texts, for
     # which Spark would sort the facts).
-    rolled = multi_grain(facts(t, p), "target_day", [*KEYS, "fx_scenario"], {"gms": F.col("gms"), "shu": F.col("shu")})
+    rolled = multi_grain(cells(t, p), "target_day", [*KEYS, "fx_scenario"], {"gms": F.col("gms"), "shu": F.col("shu")})
     return numbers(rolled, "gms", "shu")
 
 
 def refresh(t: Tables, p: Params, root: str) -> DataFrame:
     """Replace the stored result of the run mode."""
-    return sinks.refresh_path(report(t, p), f"{root}/{sinks.target_name('shipments', p.mode)}")
+    target = sinks.target_name("shipments", p.mode)
+    return sinks.publish_version(report(t, p), f"{root}/{target}", target)

@@ -17,7 +17,7 @@ from tallyloom.sources import sinks
 from tallyloom.sources.tables import Tables
 
 KEYS = ("country_code", "channel", "gl_rollup", "gl_product_group", "gl_name", "prime_group", "target_day")
-FACT_KEYS = tuple(k for k in KEYS if k != "gl_name")
+ORDER_KEYS = tuple(k for k in KEYS if k != "gl_name")  # orders take the name from the master list
 COLUMNS = ("ship_order", "latest_act", "region", "country_code", "channel", "gl_rollup", "gl_product_group", "gl_name",
            "prime_group", "target_day", "portfolio_id", "initiative", "units_fcst", "rev_fcst", "units_act", "rev_act")
 
@@ -82,10 +82,10 @@ def _shipments(t: Tables, p: Params, portfolios: DataFrame) -> tuple[DataFrame,
     planned = _with_class(p.rows(t, "shipment_forecasts", closed=True)
                           .join(chosen.select("portfolio_id", "dataset_date"), ["portfolio_id", "dataset_date"]))
     units, revenue = _shipment_measures()
-    forecast = final_and_system(planned, ["portfolio_id", "dataset_date", *FACT_KEYS],
+    forecast = final_and_system(planned, ["portfolio_id", "dataset_date", *KEYS],
                                 {"units_fcst": units, "rev_fcst": revenue}, F.col("initiative_type") == "Baseline")
     shipped = p.rows(t, "shipment_actuals", closed=False)
-    return forecast, _sums(_with_class(shipped), FACT_KEYS, units, revenue, "act"), shipped
+    return forecast, _sums(_with_class(shipped), KEYS, units, revenue, "act"), shipped
 
 
 def _orders(t: Tables, p: Params, portfolios: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -93,7 +93,7 @@ def _orders(t: Tables, p: Params, portfolios: DataFrame) -> tuple[DataFrame, Dat
     chosen = stage(ranked_forecasts(t, portfolios).filter((F.col("forecast_rank") <= p.portfolios) | pinned)
                    .select("dataset_date", "forecast_id", "forecast_type", "portfolio_id"), "forecast-ids")
     units, revenue = _order_measures(p)
-    keys = ("portfolio_id", "dataset_date", *FACT_KEYS)
+    keys = ("portfolio_id", "dataset_date", *ORDER_KEYS)
 
     def planned(fact: str, kind: str, name: str) -> DataFrame:
         rows = (p.rows(t, fact, closed=True).filter(F.col("forecast_type") == kind)
@@ -103,18 +103,20 @@ def _orders(t: Tables, p: Params, portfolios: DataFrame) -> tuple[DataFrame, Dat
 
     forecast = planned("orders_forecast_adjusted", "Adjusted", "Final").union(planned("orders_forecast_daily", "Baseline", "System"))
     sold = p.rows(t, "orders_actuals", closed=False).withColumnRenamed("order_day", "target_day")
-    return forecast, _sums(_with_class(sold), FACT_KEYS, units, revenue, "act"), sold
+    names = stage(canonical_names(t["gl_names"]), "names")
+    actual = _sums(_with_class(sold), ORDER_KEYS, units, revenue, "act")
+    return forecast.join(names, "gl_product_group", "left"), actual.join(names, "gl_product_group", "left"), sold
 
 
-def _stream(name: str, forecast: DataFrame, actual: DataFrame, rows: DataFrame, names: DataFrame, p: Params) -> DataFrame:
+def _stream(name: str, forecast: DataFrame, actual: DataFrame, rows: DataFrame) -> DataFrame:
     """Pair one stream's forecast and actual, and attach its freshness.
 
     Forecast rows that differ in dataset only count once. They are merged before the join: the actual
     side is unique per key, so the order does not matter, and the narrower side is deduplicated.
     """
     # hashed by the join keys first: that serves the distinct (on more columns) and the join, one exchange
-    planned = (forecast.drop("dataset_date").join(names, "gl_product_group", "left").repartition(*KEYS).distinct())
-    paired = full_pair(planned, actual.join(names, "gl_product_group", "left"), KEYS)
+    planned = forecast.drop("dataset_date").repartition(*KEYS).distinct()
+    paired = full_pair(planned, actual, KEYS)
     last = rows.groupBy("country_code").agg(F.max("target_day").alias("latest_act"))
     return (paired.join(stage(last, "last-days"), "country_code", "left")
             .withColumn("ship_order", F.lit(name)).withColumn("region", labels.region(F.col("country_code"))))
@@ -122,15 +124,14 @@ def _stream(name: str, forecast: DataFrame, actual: DataFrame, rows: DataFrame,
 
 def report(t: Tables, p: Params = Params()) -> DataFrame:
     portfolios = stage(ranked_portfolios(t), "portfolios")
-    names = canonical_names(t["gl_names"])
-    both = (_stream("Shipments", *_shipments(t, p, portfolios), names, p).select(*COLUMNS)
-            .union(_stream("Orders", *_orders(t, p, portfolios), names, p).select(*COLUMNS)))
+    both = (_stream("Shipments", *_shipments(t, p, portfolios)).select(*COLUMNS)
+            .union(_stream("Orders", *_orders(t, p, portfolios)).select(*COLUMNS)))
     rates = rates_of(t["fx_rates"], p.scenario, p.target_country, p.countries)
     priced = with_rate(both, rates, "left")
     money = {c: measures.converted_total(F.col(c)) for c in ("rev_fcst", "rev_act")}
     return numbers(priced.withColumns(money).select(*COLUMNS), "units_fcst", "rev_fcst", "units_act", "rev_act")
 
 
-def create_view(t: Tables, p: Params, view: str) -> DataFrame:
-    """The report as a view with its declared columns."""
-    return sinks.declared_view(report(t, p), view, COLUMNS)
+def create_view(t: Tables, p: Params, root: str, view: str) -> DataFrame:
+    """The report as a catalog view with its declared columns, over a version below ``root``."""
+    return sinks.publish_version(report(t, p), root, view, COLUMNS)

@@ -148,10 +148,27 @@ def _scaled(c: str, scale: int) -> Column:
 
 def _gl_names(t: Tables) -> DataFrame:
     code = F.col("gl_product_group")
-    named = (t["base_sales"].filter(code != 510).select("gl_product_group").distinct()
-             .select(code, F.concat(F.lit("Group "), code.cast("string")).alias("gl_name"),
-                     F.when(code != 700, code).alias("visible_gl_product_group")))
-    return named.union(t.spark.sql("SELECT * FROM (VALUES (14, 'A group', 14), (510, 'Unknown', 510)) AS t(a, b, c)"))
+    named = (t["base_sales"].filter(~code.isin(364, 510)).select("gl_product_group").distinct()
+             .select(code, F.concat(F.lit("Group "), code.cast("string")).alias("gl_name")))
+    return named.union(t.spark.sql("SELECT * FROM (VALUES (14, 'A group'), (364, 'Unknown'), (510, 'Unknown')) AS t(a, b)"))
+
+
+def _visible_products(t: Tables) -> DataFrame:
+    code = F.col("gl_product_group")
+    return (t["base_sales"].select("gl_product_group").distinct()
+            .select(code, F.concat(F.lit("Shown "), code.cast("string")).alias("gl_name"),
+                    F.when(code != 700, code).alias("visible_gl_product_group")))
+
+
+def _ship_name() -> Column:
+    """The facts' own product name: two for one product, 'Unknown' for two, none for one."""
+    code = F.col("gl_product_group")
+    return (F.when(code.isin(364, 510), "Unknown").when((code == 14) & (F.col("channel") == "mkt"), "A group")
+            .when(code != 467, F.concat(F.lit("Group "), code.cast("string"))))
+
+
+def _usd(amount: Column) -> Column:
+    return (amount * F.lit("1.25").cast("decimal(3,2)")).cast("decimal(18,6)")
 
 
 def _orders_actuals(t: Tables) -> DataFrame:
@@ -160,13 +177,20 @@ def _orders_actuals(t: Tables) -> DataFrame:
         F.col("units").alias("net_ordered_units"), F.col("net").alias("net_ops"), F.col("gross").alias("net_ordered_gms"))
 
 
-def _shipment_actuals(t: Tables) -> DataFrame:
+def _shipment_actuals_all(t: Tables) -> DataFrame:
+    """Two datasets; the older one ends earlier."""
     day = F.col("ship_day")
-    return t["base_sales"].select(
-        "country_code", "channel", F.col("channel").alias("subchannel"), "gl_rollup", "gl_product_group", "prime_group",
-        _day("2001-07-01").alias("dataset_date"), day.alias("target_day"), calendar.week_start(day).alias("target_week"),
+    dates = F.when(day < _day("2001-05-01"), F.array(_day("2001-07-01"), _day("2001-05-01"))).otherwise(F.array(_day("2001-07-01")))
+    return t["base_sales"].withColumn("dataset_date", F.explode(dates)).select(
+        "country_code", "channel", F.col("channel").alias("subchannel"), "gl_rollup", "gl_product_group", _ship_name().alias("gl_name"),
+        "prime_group", "dataset_date", day.alias("target_day"), calendar.week_start(day).alias("target_week"),
         F.trunc(day, "month").alias("target_month"), F.col("units").alias("shipped_units"),
-        F.col("net").alias("product_revenue_amt"), F.col("gross").alias("gross_gms_amt"))
+        F.col("net").alias("product_revenue_amt"), F.col("gross").alias("gross_gms_amt"),
+        _usd(F.col("net")).alias("product_revenue_usd"), _usd(F.col("gross")).alias("gross_gms_usd"))
+
+
+def _shipment_actuals(t: Tables) -> DataFrame:
+    return t["shipment_actuals_all"].filter(F.col("dataset_date") == _day("2001-07-01"))
 
 
 def _shipment_forecasts(t: Tables) -> DataFrame:
@@ -175,9 +199,10 @@ def _shipment_forecasts(t: Tables) -> DataFrame:
         "p.portfolio_id", "p.portfolio_status", "p.is_latest_publish", "p.dataset_date", "p.forecast_id",
         F.when(event, "promo_event").otherwise("baseline").alias("initiative"),
         F.when(event, "Event").otherwise("Baseline").alias("initiative_type"),
-        "country_code", "channel", F.col("channel").alias("subchannel"), "gl_rollup", "gl_product_group", "prime_group",
-        F.col("ship_day").alias("target_day"), _scaled("units", 4).alias("shipped_units"),
-        _scaled("net", 6).alias("product_revenue_amt"), _scaled("gross", 6).alias("gross_gms_amt"))
+        "country_code", "channel", F.col("channel").alias("subchannel"), "gl_rollup", "gl_product_group", _ship_name().alias("gl_name"),
+        "prime_group", F.col("ship_day").alias("target_day"), _scaled("units", 4).alias("shipped_units"),
+        _scaled("net", 6).alias("product_revenue_amt"), _scaled("gross", 6).alias("gross_gms_amt"),
+        _usd(_scaled("net", 6)).alias("product_revenue_usd"), _usd(_scaled("gross", 6)).alias("gross_gms_usd"))
 
 
 def _orders_forecast_daily(t: Tables) -> DataFrame:
@@ -278,9 +303,9 @@ def _forecast_metadata(t: Tables) -> DataFrame:
 
 
 _DERIVED = {
-    "base_sales": _base_sales, "gl_names": _gl_names, "forecast_metadata": _forecast_metadata,
+    "base_sales": _base_sales, "gl_names": _gl_names, "visible_products": _visible_products, "forecast_metadata": _forecast_metadata,
     "forecast_portfolios": lambda t: t["portfolio_metadata"].select("forecast_id", "portfolio_id"),
-    "orders_actuals": _orders_actuals, "shipment_actuals": _shipment_actuals, "shipment_forecasts": _shipment_forecasts,
+    "orders_actuals": _orders_actuals, "shipment_actuals": _shipment_actuals, "shipment_actuals_all": _shipment_actuals_all, "shipment_forecasts": _shipment_forecasts,
     "orders_forecast_daily": _orders_forecast_daily,
     "orders_forecast_adjusted": lambda t: t["orders_forecast_daily"].filter(F.col("forecast_type") == "Adjusted"),
     "confidence_intervals": _confidence_intervals, "speed_facts": _speed_facts, "segment_forecast": _segment_forecast,

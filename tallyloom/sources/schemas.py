@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 _SALES_KEYS = "country_code string, channel string, gl_rollup string, gl_product_group int"
-_SHIP_KEYS = "country_code string, channel string, subchannel string, gl_rollup string, gl_product_group int, prime_group string"
+_SHIP_KEYS = ("country_code string, channel string, subchannel string, gl_rollup string, gl_product_group int, gl_name string, "
+              "prime_group string")
+_SHIP_ACTUALS = (f"{_SHIP_KEYS}, dataset_date date, target_day date, target_week date, target_month date, shipped_units decimal(12,2), "
+                 "product_revenue_amt decimal(18,4), gross_gms_amt decimal(18,4), product_revenue_usd decimal(18,6), "
+                 "gross_gms_usd decimal(18,6)")
 _SEGMENT = "country_code string, customer_group string, plan_status string, plan_type string"
 _FLOWS = "member_count bigint, start_count bigint, cancel_count bigint, convert_in_count bigint, convert_out_count bigint"
 _FORECAST_MONEY = "decimal(18,6)"
@@ -23,7 +27,8 @@ SCHEMAS: dict[str, str] = {
                 "updated_date date",
     "fx_scenario": "scenario string",
     "dataset_reference": "dataset_date date, data_type_name string, fx_scenario string",
-    "gl_names": "gl_product_group int, gl_name string, visible_gl_product_group int",
+    "gl_names": "gl_product_group int, gl_name string",  # master list, several names per product
+    "visible_products": "gl_product_group int, gl_name string, visible_gl_product_group int",
     "promise_extension": "country_code string, gl_product_group int, category_code string, promise_extension string",
     "boss_categories": "country_code string, gl_product_group int, category_code string, boss string",
     "category_mapping": "category_desc string, semantic_cluster string",
@@ -37,11 +42,12 @@ SCHEMAS: dict[str, str] = {
                       "net_ordered_units decimal(12,2), net_ops decimal(18,4), net_ordered_gms decimal(18,4)",
     "orders_forecast_daily": _ORDER_FORECAST,
     "orders_forecast_adjusted": _ORDER_FORECAST,
-    "shipment_actuals": f"{_SHIP_KEYS}, dataset_date date, target_day date, target_week date, target_month date, "
-                        "shipped_units decimal(12,2), product_revenue_amt decimal(18,4), gross_gms_amt decimal(18,4)",
+    "shipment_actuals": _SHIP_ACTUALS,  # rows of the newest dataset
+    "shipment_actuals_all": _SHIP_ACTUALS,  # rows of every dataset
     "shipment_forecasts": "portfolio_id string, portfolio_status string, is_latest_publish string, dataset_date date, "
                           f"forecast_id int, initiative string, initiative_type string, {_SHIP_KEYS}, target_day date, "
-                          f"shipped_units decimal(18,4), product_revenue_amt {_FORECAST_MONEY}, gross_gms_amt {_FORECAST_MONEY}",
+                          f"shipped_units decimal(18,4), product_revenue_amt {_FORECAST_MONEY}, gross_gms_amt {_FORECAST_MONEY}, "
+                          f"product_revenue_usd {_FORECAST_MONEY}, gross_gms_usd {_FORECAST_MONEY}",
     "confidence_intervals": "forecast_id int, forecast_date date, range_start string, range_end string, grain string, "
                             "country_code string, channel string, gl_rollup_code string, quantile decimal(2,1), "
                             "shipped_units decimal(18,4), shipped_units_percentile_value decimal(18,4), "
@@ -66,6 +72,7 @@ DAY_OF: dict[str, str] = {
     "orders_forecast_daily": "target_day",
     "orders_forecast_adjusted": "target_day",
     "shipment_actuals": "target_day",
+    "shipment_actuals_all": "target_day",
     "shipment_forecasts": "target_day",
     "speed_facts": "snapshot_day",
     "segment_forecast": "target_day",

@@ -1,4 +1,4 @@
-"""Publishing results: full refresh of a path or table, switchable versions, fixed-column views."""
+"""Publishing results: full refresh of a table, and versions behind a catalog view with fixed columns."""
 
 from __future__ import annotations
 
@@ -8,12 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def refresh_path(df: DataFrame, path: str) -> DataFrame:
-    """Replace all rows of a Parquet folder; running it again gives the same rows."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def refresh_table(df: DataFrame, table: str) -> DataFrame:
     """Replace all rows of a catalog table, keeping its definition; it is created if missing.
 
@@ -34,20 +28,18 @@ def target_name(base: str, mode: str) -> str:
     return f"{base}_{mode.lower()}"
 
 
-def publish_version(df: DataFrame, root: str, view: str) -> DataFrame:
-    """Write a new version folder, then point ``view`` at it.
+def publish_version(df: DataFrame, root: str, view: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Write a new version folder below ``root``, then point the catalog's ``view`` at it, with fixed columns.
 
-    For targets with live readers: a Parquet overwrite is visible half-done, a view switch is not. Old
-    versions stay until the owner removes them.
+    Other sessions see the view, and see the old rows or the new ones, never a half-written folder; a
+    refresh that fails leaves the old version. Old versions stay for the readers that have begun, until
+    the owner removes them. A stored view cannot hold a DataFrame's plan, so dates that follow the current
+    day are those of the refresh.
     """
     spark = df.sparkSession
+    names = list(columns or df.columns)
     path = f"{root.rstrip('/')}/version-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} USING parquet OPTIONS (path '{path}')")
+    df.select(*names).write.parquet(path)
+    listed = ", ".join(f"`{c}`" for c in names)
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT {listed} FROM parquet.`{path}`")
     return spark.table(view)
-
-
-def declared_view(df: DataFrame, view: str, columns: Sequence[str]) -> DataFrame:
-    """Create or replace a view whose columns are fixed by name and order."""
-    df.select(*columns).createOrReplaceTempView(view)
-    return df.sparkSession.table(view)

@@ -6,11 +6,13 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom.coverage import CASES
 from tallyloom.functions import calendar, labels, measures
 from tallyloom.operators.grains import final_and_system, multi_grain
 from tallyloom.operators.joins import beside_prior_year, full_pair, range_join, rates_of, specific_or_default, wildcard_left, with_rate
 from tallyloom.operators.selection import latest_id_per, latest_versions, newest, newest_rows, only_value, top_ranked
 from tallyloom.operators.staging import stage
+from tallyloom.sources.sample import sample_tables
 
 D = dt.date
 
@@ -223,3 +225,24 @@ def test_stage_survives_and_knows_its_size(spark):
     staged = stage(spark.range(5).withColumn("t", F.lit("x")), "unit")
     assert staged.count() == 5 and staged.columns == ["id", "t"]
     assert int(str(staged._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 100_000
+
+
+def test_shipments_keep_the_names_of_the_facts_and_older_datasets_change_nothing(spark, sf_dir):
+    t = sample_tables(spark, sf_dir)
+    both = t["shipment_actuals_all"]
+    assert both.select("dataset_date").distinct().count() == 2 and t["shipment_actuals"].select("dataset_date").distinct().count() == 1
+    newest = t.replaced(shipment_actuals_all=both.filter("dataset_date = DATE '2001-07-01'"))
+    for build in (CASES["report_wbr"].build, CASES["report_shipment_comparison"].build, CASES["report_ship_order_actuals"].build):
+        assert sorted(map(str, build(t).collect())) == sorted(map(str, build(newest).collect()))
+    labels = {r[0] for r in CASES["report_shipment_comparison"].build(t).filter("type = 'Shipments'").select("gl_product_group").distinct().collect()}
+    assert {"14 - A group", "14 - Group 14", "364 - Unknown", "510 - Unknown"} <= labels
+
+
+def test_the_comparison_joins_rates_after_its_first_aggregation(spark, sf_dir):
+    plan = CASES["report_shipment_comparison"].build(sample_tables(spark, sf_dir))._jdf.queryExecution().optimizedPlan().toString()
+    operators = [line.lstrip(" :+-") for line in plan.splitlines()]
+    joins = [i for i, o in enumerate(operators) if o.startswith("Join Inner, (country_code")]
+    assert len(joins) == 4
+    for i in joins:
+        below = next(o for o in operators[i + 1:] if not o.startswith(("Project", "Join", "Filter")))
+        assert below.startswith("Aggregate")

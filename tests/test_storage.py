@@ -97,7 +97,8 @@ def test_refresh_twice_gives_the_same_rows(spark, sf_dir, tmp_path):
     first = sorted(map(tuple, member_comparison.refresh(t, params, str(tmp_path)).collect()))
     second = sorted(map(tuple, member_comparison.refresh(t, params, str(tmp_path)).collect()))
     assert first == second and first
-    assert (tmp_path / "members_internal").is_dir()
+    assert len(list((tmp_path / "members_internal").iterdir())) == 2
+    assert spark.newSession().table("members_internal").count() == len(first)
 
 
 def test_shipment_refresh(spark, sf_dir, tmp_path):
@@ -120,6 +121,7 @@ def test_versions_switch(spark, tmp_path):
     old = sinks.publish_version(spark.range(2), str(tmp_path), "published")
     new = sinks.publish_version(spark.range(5), str(tmp_path), "published")
     assert spark.table("published").count() == new.count() == 5 and old.count() == 2
+    assert spark.newSession().table("published").count() == 5
     assert len(list(tmp_path.iterdir())) == 2
 
 
@@ -129,9 +131,9 @@ def test_target_names():
         sinks.target_name("members", "a; b")
 
 
-def test_declared_view(spark, sf_dir):
+def test_declared_view(spark, sf_dir, tmp_path):
     _, params = REPORTS["report_wbr"]
-    assert wbr.create_view(sample_tables(spark, sf_dir), params, "weekly_review").columns == list(wbr.COLUMNS)
+    assert wbr.create_view(sample_tables(spark, sf_dir), params, str(tmp_path), "weekly_review").columns == list(wbr.COLUMNS)
 
 
 def test_shared_folder_is_the_configured_one(spark):
