@@ -40,6 +40,8 @@ CANDIDATE = re.compile(
     r"|(?P<phone>(?<![0-9+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,5}){1,4})(?![0-9])"
     r"|(?P<email>(?<![\w.%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)")
 MAY_MATCH = re.compile("[0-9@]")
+#: Fixed lengths of country codes: one digit, two digits by zone, three digits; else the digits before a separator, two at most.
+COUNTRY_CODE = re.compile(r"(\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})|\+[0-9]{1,2})(.*)", re.S)
 
 
 class Feistel:
@@ -141,7 +143,7 @@ class Pseudonyms:
         return _fill(found, country + f"{98 - _iban_rest(country, body):02d}" + body)
 
     def _phone(self, found: str) -> str | None:
-        code, rest = re.match(r"(\+[0-9]{1,3}?(?=[ .(-])|\+[0-9]{1,2})(.*)", found, re.S).groups()
+        code, rest = COUNTRY_CODE.match(found).groups()
         digits = re.sub("[^0-9]", "", rest)
         if not 6 <= len(digits) <= 14:
             return None

@@ -71,3 +71,10 @@ def test_awkward_and_empty(spark, tmp_path):
     assert sorted(str((r.doc_id, r.text)) for r in got) == sorted(str((r.doc_id, r.text)) for r in docs.collect())
     assert all(r.found == [] for r in got)
     assert op.pseudonymize(empty_documents(spark), KEY).count() == 0
+
+
+def test_a_telephone_number_is_linked_however_it_is_separated():
+    names = op.Pseudonyms(b"k" * 16)
+    for forms in (("+1 212-555-0147", "+12125550147", "+1 (212) 555.0147"), ("+358 40 1234567", "+358401234567"), ("+49 30 1234567", "+49301234567")):
+        assert len({"".join(c for c in names.text(x)[0] if c.isdigit()) for x in forms}) == 1
+        assert all(names.text(x)[0] != x and len(names.text(x)[1]) == 1 for x in forms)
