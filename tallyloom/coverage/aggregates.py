@@ -32,9 +32,9 @@ def agg_sum(t):
 @case("agg_sum_case", f"""SELECT order_day, {dbl("sum(net_ops * fx_rate) FILTER (channel = 'ret')")} AS retail, {dbl("sum(net_ordered_gms * fx_rate) FILTER (channel <> 'ret')")} AS other
 FROM orders_actuals JOIN {FX} USING (country_code) GROUP BY ALL""")
 def agg_sum_case(t):
-    retail = F.col("channel") == measures.RETAIL
+    retail, revenue = F.col("channel") == measures.RETAIL, measures.converted(order_revenue())
     return with_rate(t["orders_actuals"], rates(t)).groupBy("order_day").agg(
-        num(F.sum(F.when(retail, order_revenue()))).alias("retail"), num(F.sum(F.when(~retail, order_revenue()))).alias("other"))
+        num(F.sum(F.when(retail, revenue))).alias("retail"), num(F.sum(F.when(~retail, revenue))).alias("other"))
 
 
 @case("agg_sum_product_capped", """SELECT marketplace_id, snapshot_day, CAST(sum(gv_count * if(gvs_prod_int < 35, gvs_prod_int, 35)) AS BIGINT) AS gvs_prod_sum

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar, labels
-from tallyloom.operators.joins import beside_prior_year, rates_of, specific_or_default, with_rate
+from tallyloom.operators.joins import beside_prior_year, rates_of, specific_or_default
 from tallyloom.operators.staging import stage
-from tallyloom.plans.common import kept_products, numbers, order_revenue
+from tallyloom.plans.common import kept_products, numbers, order_revenue, priced
 from tallyloom.sources.tables import Tables
 
 KEYS = ("country_code", "channel", "prime_group", "gl_custom_group", "gl_boss_group")
@@ -57,9 +57,9 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     in_scope = F.col("country_code").isin(*p.countries)
     orders = (t.days("orders_actuals", (p.current_from, None), (p.prior_from, p.prior_to))
               .filter(in_scope & kept_products(p.max_group)))
-    priced = with_rate(with_groups(orders, t), rates_of(t["fx_rates"], p.scenario, p.target_country))
-    paired = beside_prior_year(priced, "order_day", KEYS,
+    paired = beside_prior_year(with_groups(orders, t), "order_day", KEYS,
                                {"act_units": F.col("net_ordered_units"), "act_gms": order_revenue()}, current, prior)
+    paired = priced(paired, rates_of(t["fx_rates"], p.scenario, p.target_country), "act_gms_cy", "act_gms_py")
     # Region rows of last_days_with_regions carry region codes and cannot match a country.
     newest = stage(last_days(t.days("orders_actuals", (p.current_from, None)).filter(in_scope)), "last-days")
     age = F.datediff(F.col("max_order_day"), F.col("target_day"))

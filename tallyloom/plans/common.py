@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import labels, measures
+from tallyloom.operators.joins import with_rate
 from tallyloom.operators.selection import latest_versions
 
 SEGMENT = ("country_code", "customer_group", "plan_status", "plan_type")
@@ -17,9 +18,16 @@ def kept_products(max_group: int) -> Column:
 
 
 def order_revenue() -> Column:
-    """Order revenue under the channel rule, in the target currency."""
-    basis = measures.channel_revenue(F.col("channel"), F.col("net_ops"), F.col("net_ordered_gms"))
-    return measures.converted(basis)
+    """Order revenue under the channel rule, in local currency."""
+    return measures.channel_revenue(F.col("channel"), F.col("net_ops"), F.col("net_ordered_gms"))
+
+
+def priced(groups: DataFrame, rates: DataFrame, *totals: str) -> DataFrame:
+    """Groups with the totals converted; countries without a rate go.
+
+    Sums are linear, so the rate meets the groups instead of every fact row.
+    """
+    return with_rate(groups, rates).withColumns({c: measures.converted_total(F.col(c)) for c in totals}).drop("fx_rate")
 
 
 def canonical_names(gl_names: DataFrame) -> DataFrame:

@@ -7,11 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions import calendar, measures
-from tallyloom.operators.joins import rates_of, with_rate
+from tallyloom.functions import calendar
+from tallyloom.operators.joins import rates_of
 from tallyloom.operators.selection import latest_id_per, only_value, portfolio_list, recent_portfolios
 from tallyloom.operators.staging import stage
-from tallyloom.plans.common import kept_products, numbers
+from tallyloom.plans.common import kept_products, numbers, priced
 from tallyloom.sources.tables import Tables
 
 
@@ -28,7 +28,7 @@ class Params:
 
 
 def portfolios(t: Tables, p: Params) -> DataFrame:
-    listed = t["shipment_forecasts"]
+    listed = t.versions("shipment_forecasts")
     return recent_portfolios(
         t["portfolio_pins"],
         portfolio_list(listed, p.tests, "TEST", p.since, tiebreak=False),
@@ -41,19 +41,19 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     kept = kept_products(p.max_group)
     days = (p.first_day, p.last_day)
     grain = ("country_code", "channel", "gl_rollup", "target_day")
-    shipped = with_rate(t.days("shipment_forecasts", days).filter(kept).join(stage(portfolios(t, p), "portfolios"), "portfolio_id"), rates)
-    shipments = shipped.groupBy("initiative", "portfolio_id", *grain).agg(
-        F.sum("shipped_units").alias("shu"), F.sum(measures.converted(F.col("product_revenue_amt"))).alias("prv"),
-        F.sum(measures.converted(F.col("gross_gms_amt"))).alias("gms")).select(
+    ids = stage(portfolios(t, p), "portfolios")
+    shipped = t.days("shipment_forecasts", days).filter(kept).join(ids, "portfolio_id").groupBy("initiative", "portfolio_id", *grain).agg(
+        F.sum("shipped_units").alias("shu"), F.sum("product_revenue_amt").alias("prv"), F.sum("gross_gms_amt").alias("gms"))
+    shipments = priced(shipped, rates, "prv", "gms").select(
         "initiative", F.lit("shipments").alias("type"), "portfolio_id", *grain, "shu", "prv", "gms")
 
     adjusted = F.col("forecast_type") == "Adjusted"
-    ids = stage(latest_id_per(t["orders_forecast_daily"].filter(adjusted), "dataset_date", "forecast_id").select("forecast_id").distinct(), "forecast-ids")
-    ordered = with_rate(t.days("orders_forecast_daily", days).filter(adjusted & kept & calendar.on_or_after(F.col("dataset_date"), p.since))
-                        .join(ids, "forecast_id", "left_semi"), rates)
-    orders = ordered.groupBy("dataset_date", *grain).agg(
-        F.sum("net_ordered_units").alias("shu"), F.sum(measures.converted(F.col("net_ops"))).alias("prv"),
-        F.sum(measures.converted(F.col("net_ordered_gms"))).alias("gms")).select(
+    newest = stage(latest_id_per(t.versions("orders_forecast_daily").filter(adjusted), "dataset_date", "forecast_id")
+                   .select("forecast_id").distinct(), "forecast-ids")
+    ordered = (t.days("orders_forecast_daily", days).filter(adjusted & kept & calendar.on_or_after(F.col("dataset_date"), p.since))
+               .join(newest, "forecast_id", "left_semi").groupBy("dataset_date", *grain)
+               .agg(F.sum("net_ordered_units").alias("shu"), F.sum("net_ops").alias("prv"), F.sum("net_ordered_gms").alias("gms")))
+    orders = priced(ordered, rates, "prv", "gms").select(
         F.lit("orders_final_forecast").alias("initiative"), F.lit("orders (OSA)").alias("type"),
         F.date_format("dataset_date", "yyyy-MM-dd").alias("portfolio_id"), *grain, "shu", "prv", "gms")
     return numbers(shipments.union(orders), "shu", "prv", "gms")

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar, labels
-from tallyloom.operators.joins import rates_of, with_rate
+from tallyloom.operators.joins import rates_of
 from tallyloom.operators.staging import stage
-from tallyloom.plans.common import canonical_names, kept_products, numbers, order_revenue
+from tallyloom.plans.common import canonical_names, kept_products, numbers, order_revenue, priced
 from tallyloom.sources.tables import Tables
 
 KEYS = ("country_code", "channel", "gl_product_group", "gl_rollup", "order_day")
@@ -37,14 +37,14 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     rates = rates_of(t["fx_rates"], p.scenario, p.target_country)
     kept = kept_products(p.max_group)
     year = (calendar.year_start(p.year), calendar.year_end(p.year))
-    actual = with_rate(t.days("orders_actuals", year).filter(kept), rates)
+    actual = t.days("orders_actuals", year).filter(kept)
     last_day = stage(actual.groupBy("country_code").agg(F.max("order_day").alias("max_order_day")), "last-days")
-    by_day = actual.groupBy(*KEYS).agg(F.sum("net_ordered_units").alias("ordered_units_act"),
-                                       F.sum(order_revenue()).alias("gms_act"))
+    by_day = priced(actual.groupBy(*KEYS).agg(F.sum("net_ordered_units").alias("ordered_units_act"),
+                                              F.sum(order_revenue()).alias("gms_act")), rates, "gms_act")
     planned = (t.days("orders_forecast_adjusted", year).filter(p.wanted_forecast() & kept)
                .withColumnRenamed("target_day", "order_day"))
-    forecast = with_rate(planned, rates).groupBy("dataset_date", *KEYS).agg(
-        F.sum("net_ordered_units").alias("ordered_units_fcst"), F.sum(order_revenue()).alias("gms_fcst"))
+    forecast = priced(planned.groupBy("dataset_date", *KEYS).agg(
+        F.sum("net_ordered_units").alias("ordered_units_fcst"), F.sum(order_revenue()).alias("gms_fcst")), rates, "gms_fcst")
     # the cut comes before the big join: fewer days to pair
     cut = (forecast.join(last_day, "country_code")
            .filter(F.col("order_day") <= F.col("max_order_day")))

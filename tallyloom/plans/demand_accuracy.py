@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar, labels
-from tallyloom.operators.joins import beside_prior_year, rates_of, with_rate
-from tallyloom.plans.common import canonical_names, kept_products, numbers, order_revenue
+from tallyloom.operators.joins import beside_prior_year, rates_of
+from tallyloom.plans.common import canonical_names, kept_products, numbers, order_revenue, priced
 from tallyloom.sources.tables import Tables
 
 KEYS = ("country_code", "channel", "gl_rollup", "gl_product_group")
@@ -31,16 +31,17 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     rates = rates_of(t["fx_rates"], p.scenario, p.target_country)
     kept = kept_products(p.max_group) & F.col("country_code").isin(*p.countries)
     planned = t.days("orders_forecast_adjusted", (p.since, None)).filter((F.col("forecast_id") == p.forecast_id) & kept)
-    forecast = with_rate(planned, rates).groupBy("dataset_date", *KEYS, "target_day").agg(
-        F.sum("net_ordered_units").alias("fcst_units"), F.sum(order_revenue()).alias("fcst_gms"))
+    forecast = priced(planned.groupBy("dataset_date", *KEYS, "target_day").agg(
+        F.sum("net_ordered_units").alias("fcst_units"), F.sum(order_revenue()).alias("fcst_gms")), rates, "fcst_gms")
 
     # A prior day matters only if its partner can be current, so the scan stops a year before `since`.
     oldest = dt.date.fromisoformat(p.since) - dt.timedelta(days=LONGEST_YEAR)
     day = F.col("order_day")
-    sold = with_rate(t.days("orders_actuals", (oldest, None)).filter(kept), rates)
+    sold = t.days("orders_actuals", (oldest, None)).filter(kept)
     actual = beside_prior_year(
         sold, "order_day", KEYS, {"units": F.col("net_ordered_units"), "gms": order_revenue()},
         current=calendar.on_or_after(day, p.since), prior=calendar.on_or_after(day, oldest))
+    actual = priced(actual, rates, "gms_cy", "gms_py")
     joined = (forecast.join(actual, [*KEYS, "target_day"])
               .join(canonical_names(t["gl_names"]), "gl_product_group"))
     shown = joined.select(

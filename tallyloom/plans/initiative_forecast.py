@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar, measures
-from tallyloom.operators.joins import rates_of, with_rate
-from tallyloom.plans.common import kept_products, numbers
+from tallyloom.operators.joins import rates_of
+from tallyloom.plans.common import kept_products, numbers, priced
 from tallyloom.sources.tables import Tables
 
 
@@ -29,12 +29,12 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     rows = t.days("shipment_forecasts", (calendar.year_start(p.first_year), None)).filter(
         calendar.on_or_after(F.col("dataset_date"), p.since) & kept_products(p.max_group) & (F.col("forecast_id") != p.excluded_forecast)
         & (F.col("initiative_type") == p.initiative_type))
-    priced = with_rate(rows, rates_of(t["fx_rates"], p.scenario, p.target_country))
     revenue = measures.market_revenue(F.col("country_code"), F.col("channel"),
                                       F.col("product_revenue_amt"), F.col("gross_gms_amt"))
-    result = priced.groupBy(
+    sums = rows.groupBy(
         "portfolio_id", "country_code", "channel", "subchannel", "gl_rollup", "gl_product_group",
         "initiative_type", "initiative", F.month(day).alias("target_month"),
         F.quarter(day).alias("target_quarter"), F.year(day).alias("target_year")).agg(
-        F.sum(measures.converted(revenue)).alias("gms"), F.sum("shipped_units").alias("shu"))
+        F.sum(revenue).alias("gms"), F.sum("shipped_units").alias("shu"))
+    result = priced(sums, rates_of(t["fx_rates"], p.scenario, p.target_country), "gms")
     return numbers(result, "gms", "shu")

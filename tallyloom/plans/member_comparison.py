@@ -35,7 +35,7 @@ class Params:
 
 def portfolios(t: Tables, mode: str, since: str, tests: int = 5, published: int = 5, drafts: int = 1) -> DataFrame:
     """Pinned and newest published portfolios; internal runs also see tests and the newest draft."""
-    listed = t["shipment_forecasts"]
+    listed = t.versions("shipment_forecasts")
     lists = [portfolio_list(listed, published, "PRODUCTION", since, latest_only=True)]
     if mode == INTERNAL:
         lists.append(portfolio_list(listed, tests, "TEST", since))

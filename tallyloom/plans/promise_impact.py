@@ -11,6 +11,9 @@ from tallyloom.functions import labels
 from tallyloom.operators.joins import range_join, specific_or_default
 from tallyloom.sources.tables import Tables
 
+FACT_KEYS = ("marketplace_id", "fn_channel", "gl_product_group", "category_code", "category_desc", "wbr_gl_description", "wbr_gl_family",
+             "in_country", "in_region", "gvs_prod_int", "snapshot_day")
+
 
 @dataclass(frozen=True)
 class Params:
@@ -21,7 +24,8 @@ class Params:
 
 def report(t: Tables, p: Params = Params()) -> DataFrame:
     markets = t["marketplaces"].select(F.col("id").alias("marketplace_id"), "region", F.col("country").alias("country_code"))
-    views = t["speed_facts"].join(markets, "marketplace_id")
+    # summed by all that the lookups need first: they meet groups instead of view rows
+    views = t["speed_facts"].groupBy(*FACT_KEYS).agg(F.sum("gv_count").alias("gv_count")).join(markets, "marketplace_id")
     speed = F.coalesce("gvs_prod_int", F.lit(p.unknown_speed))
     bucketed = range_join(views, t["speed_buckets"], speed, "range_min", "range_max")
     clustered = bucketed.join(t["category_mapping"].select("category_desc", "semantic_cluster").distinct(),

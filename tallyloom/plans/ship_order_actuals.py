@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar, labels, measures
 from tallyloom.operators.grains import final_and_system
-from tallyloom.operators.joins import rates_of, with_rate
+from tallyloom.operators.joins import rates_of
 from tallyloom.operators.selection import largest, latest_id_per
 from tallyloom.operators.staging import stage
-from tallyloom.plans.common import kept_products, numbers, order_revenue
+from tallyloom.plans.common import kept_products, numbers, order_revenue, priced
 from tallyloom.sources.tables import Tables
 
 FORECAST_REFRESH = 10_000  # days before the dataset date: marks a row as a forecast
@@ -32,8 +32,8 @@ class Params:
 
 
 def _order_sums() -> dict[str, Column]:
-    return {"units": F.col("net_ordered_units"), "prv_gms_usd": order_revenue(),
-            "gms_usd": measures.converted(F.col("net_ordered_gms")), "prv_usd": measures.converted(F.col("net_ops"))}
+    """Orders are converted after the sum."""
+    return {"units": F.col("net_ordered_units"), "prv_gms_usd": order_revenue(), "gms_usd": F.col("net_ordered_gms"), "prv_usd": F.col("net_ops")}
 
 
 def _shipment_sums() -> dict[str, Column]:
@@ -74,8 +74,8 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     ahead = day >= calendar.horizon_start(F.col("dataset_date"))
     blank, sub = F.lit(""), F.col("subchannel")
 
-    def chosen(fact: DataFrame, identifier: str) -> DataFrame:
-        ids = latest_id_per(fact.join(dates, "dataset_date", "left_semi"), "dataset_date", identifier)
+    def chosen(versions: DataFrame, identifier: str) -> DataFrame:
+        ids = latest_id_per(versions.join(dates, "dataset_date", "left_semi"), "dataset_date", identifier)
         return stage(ids.join(names, "dataset_date"), "dataset-ids")
 
     def forecast_type(kind: Column) -> Column:
@@ -87,7 +87,7 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     dataset = ["dataset_date", "data_type_name"]
 
     ordered = t.days("orders_actuals", past).filter(kept)
-    orders = _tagged(_summed(with_rate(ordered.withColumnRenamed("order_day", "target_day"), rates), order_keys, _order_sums()),
+    orders = _tagged(priced(_summed(ordered.withColumnRenamed("order_day", "target_day"), order_keys, _order_sums()), rates, *MEASURES[1:]),
                      "Orders", F.lit("Actuals"), day, blank)
 
     actuals = t["shipment_actuals_all"]
@@ -97,7 +97,7 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
                         "Shipments", F.lit("Actuals"), day, sub)
 
     published = F.col("portfolio_status") == "PRODUCTION"
-    ids = chosen(t["shipment_forecasts"].filter(published), "portfolio_id")
+    ids = chosen(t.versions("shipment_forecasts").filter(published), "portfolio_id")
     planned = t.days("shipment_forecasts", future).filter(published & kept & ahead).join(ids, ["dataset_date", "portfolio_id"])
     ship_forecasts = _tagged(
         final_and_system(planned, [*dataset, *ship_keys], _shipment_sums(),
@@ -106,8 +106,8 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
 
     def order_forecasts(fact: str, kind: str, name: str) -> DataFrame:
         rows = (t.days(fact, future).filter(kept & ahead & (F.col("forecast_type") == kind))
-                .join(chosen(t[fact], "forecast_id"), ["dataset_date", "forecast_id"]))
-        return _tagged(_summed(with_rate(rows, rates), [*dataset, *order_keys], _order_sums()),
+                .join(chosen(t.versions(fact), "forecast_id"), ["dataset_date", "forecast_id"]))
+        return _tagged(priced(_summed(rows, [*dataset, *order_keys], _order_sums()), rates, *MEASURES[1:]),
                        "Orders", forecast_type(F.lit(name)), forecast_refresh, blank)
 
     final_orders = order_forecasts("orders_forecast_adjusted", "Adjusted", "Final")

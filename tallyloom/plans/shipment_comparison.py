@@ -81,7 +81,7 @@ def cells(t: Tables, p: Params) -> DataFrame:
     shipped = t.days("shipment_actuals", finished).filter(kept)
 
     adjusted = F.col("forecast_type") == "Adjusted"
-    newest = latest_id_per(t["orders_forecast_daily"].filter(adjusted), "dataset_date", "forecast_id").select("forecast_id").distinct()
+    newest = latest_id_per(t.versions("orders_forecast_daily").filter(adjusted), "dataset_date", "forecast_id").select("forecast_id").distinct()
     # one row per forecast id and listed portfolio it belongs to
     chosen = stage(newest.join(t["forecast_portfolios"], "forecast_id").join(ids, "portfolio_id"), "forecast-ids")
     ordered = (t.days("orders_forecast_daily", current).filter(adjusted & kept & calendar.on_or_after(F.col("dataset_date"), p.listed_since))

@@ -45,14 +45,14 @@ class Params:
 
 def ranked_portfolios(t: Tables) -> DataFrame:
     """Published portfolios, newest dataset first."""
-    published = t["shipment_forecasts"].filter(
+    published = t.versions("shipment_forecasts").filter(
         (F.col("portfolio_status") == "PRODUCTION") & (F.col("is_latest_publish") == "Y"))
     return ranked(published.select("portfolio_id", "dataset_date").distinct(), newest("dataset_date"), name="portfolio_rank")
 
 
 def ranked_forecasts(t: Tables, portfolios: DataFrame) -> DataFrame:
     """Last order forecast of each dataset that has a portfolio, ranked within its type."""
-    kinds = [latest_id_per(t[fact], "dataset_date", "forecast_id").withColumn("forecast_type", F.lit(kind))
+    kinds = [latest_id_per(t.versions(fact), "dataset_date", "forecast_id").withColumn("forecast_type", F.lit(kind))
              for fact, kind in (("orders_forecast_daily", "Baseline"), ("orders_forecast_adjusted", "Adjusted"))]
     listed = kinds[0].union(kinds[1]).join(portfolios.select("portfolio_id", "dataset_date"), "dataset_date")
     return ranked(listed, newest("dataset_date"), ["forecast_type"], "forecast_rank")

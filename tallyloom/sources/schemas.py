@@ -66,6 +66,13 @@ SCHEMAS: dict[str, str] = {
     "member_shock": f"{_SEGMENT}, target_day date, member_count bigint",
 }
 
+# Columns that name the versions of a fact. Their distinct rows are a short list, stored beside the fact.
+VERSION_OF: dict[str, tuple[str, ...]] = {
+    "shipment_forecasts": ("portfolio_id", "portfolio_status", "is_latest_publish", "dataset_date"),
+    "orders_forecast_daily": ("forecast_type", "dataset_date", "forecast_id"),
+    "orders_forecast_adjusted": ("forecast_type", "dataset_date", "forecast_id"),
+}
+
 # Day column by which a stored fact is split into month folders.
 DAY_OF: dict[str, str] = {
     "orders_actuals": "order_day",

@@ -8,11 +8,14 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tallyloom.sources.schemas import DAY_OF, SCHEMAS
+from tallyloom.operators.staging import stage
+from tallyloom.sources.schemas import DAY_OF, SCHEMAS, VERSION_OF
 
 
 MONTH = "month"  # folder column of a stored fact
+VERSIONS = "versions"  # folder of the stored version lists
 Bound = str | dt.date | Column | None
 
 
@@ -63,15 +66,25 @@ class Tables(Mapping):
             wanted = wanted | part
         return df.filter(wanted).drop(MONTH)
 
+    def versions(self, name: str) -> DataFrame:
+        """Distinct :data:`VERSION_OF` rows of a fact: read from the list stored beside it, else by one pass over the fact.
+
+        Reports take all their ranks and newest ids from this list, so the fact is not read once per list.
+        """
+        if f"{VERSIONS}/{name}" in self._makers:
+            return self._frame(f"{VERSIONS}/{name}")
+        return stage(self[name].select(*VERSION_OF[name]).distinct(), VERSIONS)
+
     def __iter__(self) -> Iterator[str]:
-        return iter(self._makers)
+        return (k for k in self._makers if not k.startswith(VERSIONS))
 
     def __len__(self) -> int:
-        return len(self._makers)
+        return sum(1 for _ in self)
 
     def replaced(self, **frames: DataFrame) -> "Tables":
         """The same set with some tables given as frames."""
-        return Tables(self.spark, {**self._makers, **{k: (lambda _, d=d: d) for k, d in frames.items()}})
+        kept = {k: m for k, m in self._makers.items() if k.removeprefix(f"{VERSIONS}/") not in frames}
+        return Tables(self.spark, kept | {k: (lambda _, d=d: d) for k, d in frames.items()})
 
 
 def catalog_tables(spark: SparkSession, names: Mapping[str, str]) -> Tables:
@@ -85,7 +98,12 @@ def stored_tables(spark: SparkSession, root: str) -> Tables:
         if name not in DAY_OF:
             return lambda t: t.spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}")
         return lambda t: t.spark.read.schema(f"{SCHEMAS[name]}, {MONTH} date").parquet(f"{root}/{name}")
-    return Tables(spark, {n: reader(n) for n in SCHEMAS})
+
+    def lister(name: str) -> Callable[[Tables], DataFrame]:
+        types = {c.name: c for c in StructType.fromDDL(SCHEMAS[name])}
+        schema = StructType([types[c] for c in VERSION_OF[name]])
+        return lambda t: t.spark.read.schema(schema).parquet(f"{root}/{VERSIONS}/{name}")
+    return Tables(spark, {n: reader(n) for n in SCHEMAS} | {f"{VERSIONS}/{n}": lister(n) for n in VERSION_OF})
 
 
 def store(tables: Tables, root: str, names: Sequence[str] | None = None,
@@ -95,7 +113,7 @@ def store(tables: Tables, root: str, names: Sequence[str] | None = None,
     Codes are trimmed here, once: blank-padded codes would not compare equal later on. Rows are
     spread over ``files_per_month`` tasks per month by a hash of the row, so a busy month (or country,
     or product) does not end in one task. The hash, unlike a random salt, is the same when a lost task
-    is run again.
+    is run again. The version list of a fact (:data:`VERSION_OF`) is written with it.
     """
     for name in names or tables:
         df = tables[name]
@@ -107,6 +125,9 @@ def store(tables: Tables, root: str, names: Sequence[str] | None = None,
             salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_month))
             (df.withColumn(MONTH, month).repartition(MONTH, salt)
              .write.mode("overwrite").partitionBy(MONTH).parquet(path))
+            if name in VERSION_OF:
+                written = df.sparkSession.read.schema(df.schema).parquet(path)
+                written.select(*VERSION_OF[name]).distinct().coalesce(1).write.mode("overwrite").parquet(f"{root}/{VERSIONS}/{name}")
         else:
             df.write.mode("overwrite").parquet(path)
     return root

@@ -10,7 +10,7 @@ from tallyloom.plans import member_comparison, shipment_comparison, wbr
 from tallyloom.session import new_folder, shared_folder
 from tallyloom.sources import sinks
 from tallyloom.sources.sample import sample_tables
-from tallyloom.sources.schemas import DAY_OF, SCHEMAS
+from tallyloom.sources.schemas import DAY_OF, SCHEMAS, VERSION_OF
 from tallyloom.sources.tables import catalog_tables, store, stored_tables
 
 
@@ -141,3 +141,18 @@ def test_shared_folder_is_the_configured_one(spark):
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         assert shared_folder(spark) == configured.rstrip("/")
+
+
+def test_version_lists_are_read_beside_the_facts(spark, stored):
+    for name, columns in VERSION_OF.items():
+        listed = stored.versions(name)
+        assert all("/versions/" in f for f in listed.inputFiles())
+        assert sorted(map(str, listed.collect())) == sorted(map(str, stored[name].select(*columns).distinct().collect()))
+    assert "versions/shipment_forecasts" not in set(stored) and len(stored) == len(set(stored))
+    other = stored.replaced(orders_forecast_daily=stored["orders_forecast_daily"].limit(0))
+    assert other.versions("orders_forecast_daily").count() == 0
+
+
+def test_ranks_do_not_read_the_facts(stored):
+    for plan in (member_comparison.portfolios(stored, member_comparison.INTERNAL, "2001-01-01"), wbr.ranked_portfolios(stored)):
+        assert not [f for f in plan.inputFiles() if "/month=" in f]
