@@ -5,8 +5,9 @@ dimension is scaled to 12 bits over its global range (strings by their first byt
 number break ties, so that a value held by a third of all rows can be split like any other. Per level of the tree and
 for all its nodes together: one aggregation gives each node's range in every dimension, the widest is taken, and the
 cut that gives both sides their share of the bytes is found by a radix search over histograms of at most 8192 bins a node
-(weights summed map-side). The driver sees one row per node. A node that stands for ``k`` leaves is cut
-``k // 2 : k - k // 2``, so any number of leaves gets near-equal bytes.
+(weights summed map-side). A level's nodes are a table in the shared folder that the rows join, broadcast only while the
+planner knows it to be small, so the number of leaves has no bound on the driver. A node that stands for ``k`` leaves is
+cut ``k // 2 : k - k // 2``, so any number of leaves gets near-equal bytes.
 
 Rows get gapless places in their leaf from counts of small hash buckets and numbers within a bucket; no leaf is sorted as a
 whole. Everything is DataFrame functions.
@@ -51,7 +52,7 @@ def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
     names = [f"x{i}" for i in range(len(dimensions))]
     rows = stage(docs.select(
         F.col(id_col).alias("id"), (F.octet_length(text).cast("long") + OVERHEAD).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-        *[_number(docs, d).alias(n) for d, n in zip(dimensions, names)], F.monotonically_increasing_id().alias("uid")), "shard-rows")
+        *[_number(docs, d).alias(n) for d, n in zip(dimensions, names)], F.monotonically_increasing_id().alias("uid"), F.lit(0).alias("first")), "shard-rows")
     spans = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"),
                      *[f(F.nanvl(n, F.lit(None))).alias(f"{n}_{k}") for n in names for k, f in (("lo", F.min), ("hi", F.max))]).first()
     total = spans["bytes"] or 0
@@ -67,9 +68,9 @@ def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
         at = F.floor((F.coalesce(F.nanvl(n, F.lit(lo)), F.lit(lo)) - F.lit(lo)) / F.lit(hi - lo) * top)
         return F.shiftleft(at.cast("long"), TIE_BITS).bitwiseOR(tie)
 
-    keyed = rows.select("id", "size", "text_crc32", "uid", tie.alias("tie"), F.array(*[key(n) for n in names] or [tie]).alias("keys"))
-    tree, rows = _grow(keyed, len(names) or 1, shards, total / shards)
-    placed = rows.select("id", "size", "text_crc32", "uid", "tie", _lookup([t["first"] for t in tree], F.col("node")).alias("shard"))
+    keyed = rows.select("id", "size", "text_crc32", "uid", "first", tie.alias("tie"), F.array(*[key(n) for n in names] or [tie]).alias("keys"))
+    rows = _grow(keyed, len(names) or 1, shards, total / shards)
+    placed = rows.select("id", "size", "text_crc32", "uid", "tie", F.col("first").alias("shard"))
     buckets = max(1, -(-spans["n"] // (ROWS_PER_BUCKET * shards)))
     placed = placed.withColumn("bucket", (F.col("tie") % buckets).cast("int"))
     before = F.sum("n").over(W.partitionBy("shard").orderBy("bucket")) - F.col("n")
@@ -79,61 +80,42 @@ def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
             .select(F.col("id").alias(id_col), "size", "text_crc32", F.col("shard").cast("int"), (F.col("before") + F.col("within")).alias("slot")))
 
 
-def _lookup(values: list, at: Column) -> Column:
-    return F.array(*[F.lit(v) for v in values])[at]
-
-
-def _child(tree: list[dict]) -> Column:
-    """Number of the node below ``node`` in which a row lies; a leaf stays itself."""
-    at = F.col("node")
-    left, right = ([t.get(side, i) for i, t in enumerate(tree)] for side in ("left", "right"))
-    below = F.col("keys")[_lookup([t.get("dim", 0) for t in tree], at)] < _lookup([t.get("cut", 0) for t in tree], at)
-    return F.when(below, _lookup(left, at)).otherwise(_lookup(right, at))
-
-
-def _grow(keyed: DataFrame, dims: int, shards: int, leaf_bytes: float) -> tuple[list[dict], DataFrame]:
-    """The tree's nodes (bounded by the number of leaves) and the rows with the ``node`` of their leaf, written once a level."""
-    tree = [{"level": 0, "first": 0, "leaves": shards}]
-    level, keyed = 0, keyed.withColumn("node", F.lit(0))
-    while active := [i for i, t in enumerate(tree) if t["level"] == level and t["leaves"] > 1]:
-        rows = keyed.select("size", "keys", "node").where(F.col("node").isin(active))
-        coordinate = [F.shiftright(F.col("keys")[d], TIE_BITS) for d in range(dims)]
-        ranges = rows.groupBy("node").agg(F.sum("size").alias("bytes"), *[
-            (F.max(c) - F.min(c)).alias(f"w{d}") for d, c in enumerate(coordinate)]).collect()
-        search = {}
-        for r in ranges:
-            k = tree[r.node]["leaves"]
-            search[r.node] = {"dim": max(range(dims), key=lambda d: (r[f"w{d}"], -d)), "goal": r.bytes * (k // 2) / k, "prefix": 0, "below": 0.0}
-        _cut(rows, search, leaf_bytes)
-        for i in active:
-            k, first, found = tree[i]["leaves"], tree[i]["first"], search.get(i, {"dim": 0, "cut": 0})
-            tree[i] |= {"dim": found["dim"], "cut": found["cut"], "left": len(tree), "right": len(tree) + 1}
-            tree += [{"level": level + 1, "first": first, "leaves": k // 2}, {"level": level + 1, "first": first + k // 2, "leaves": k - k // 2}]
-        keyed = stage(keyed.withColumn("node", _child(tree)), "shard-level")
-        level += 1
-    return tree, keyed
-
-
-def _cut(rows: DataFrame, search: dict[int, dict], leaf_bytes: float) -> None:
-    """Sets each node's ``cut``: the key below which its goal of bytes lies, within the tolerance."""
+def _grow(keyed: DataFrame, dims: int, shards: int, leaf_bytes: float) -> DataFrame:
+    """``keyed`` with ``first``, the first leaf below the node of a row, narrowed to its own leaf; written once a level."""
+    rows = keyed.withColumn("leaves", F.lit(shards))
+    half, right = F.expr("CAST(leaves DIV 2 AS INT)"), F.expr("keys[dim] >= cut")
+    for _ in range((shards - 1).bit_length()):
+        at = rows.join(_cuts(rows, dims, leaf_bytes).select("first", "dim", "cut"), "first", "left")
+        rows = stage(at.select(*[c for c in keyed.columns if c != "first"], F.when(right, F.col("first") + half).otherwise(F.col("first")).alias("first"),
+                               F.when(right, F.col("leaves") - half).when(~right, half).otherwise(F.col("leaves")).alias("leaves")), "shard-level")
+    return rows
+
+
+def _cuts(rows: DataFrame, dims: int, leaf_bytes: float) -> DataFrame:
+    """Every node of ``rows`` that has more than one leaf: its dimension ``dim`` and the key ``cut`` below which its goal of bytes lies."""
+    coordinate = [F.shiftright(F.col("keys")[d], TIE_BITS) for d in range(dims)]
+    ranges = rows.where("leaves > 1").groupBy("first", "leaves").agg(
+        F.sum("size").cast("double").alias("bytes"), F.array(*[F.max(c) - F.min(c) for c in coordinate]).alias("widths"))
+    nodes = stage(ranges.select(
+        "first", (F.array_position("widths", F.array_max("widths")) - 1).cast("int").alias("dim"), F.expr("bytes * (leaves DIV 2) / leaves").alias("goal"),
+        F.lit(0).cast("long").alias("prefix"), F.lit(0.0).alias("below"), F.lit(None).cast("long").alias("cut")), "shard-nodes")
     shift = COORDINATE_BITS + TIE_BITS
-    while todo := [n for n, s in search.items() if "cut" not in s]:
+    while shift and not nodes.where("cut IS NULL").isEmpty():
         step = min(DIGIT_BITS, shift)
-        pick = lambda name, zero: _lookup([search[n][name] if n in search else zero for n in range(max(search) + 1)], F.col("node"))
-        digits = (rows.where(F.col("node").isin(todo)).select("node", "size", F.col("keys")[pick("dim", 0)].alias("key"))
-                  .where(F.shiftright("key", shift) == pick("prefix", 0)))
-        bins = digits.groupBy("node", F.shiftright("key", shift - step).alias("bin")).agg(F.sum("size").alias("bytes"))
-        ordered = W.partitionBy("node").orderBy("bin")
-        bins = bins.withColumn("upto", F.sum("bytes").over(ordered) + pick("below", 0.0))
-        crossing = (bins.where(F.col("upto") >= pick("goal", 0.0)).groupBy("node")
-                    .agg(F.min_by(F.struct("bin", "bytes", "upto"), "bin").alias("c")).select("node", "c.*").collect())
         shift -= step
-        for r in crossing:
-            s, below = search[r.node], r.upto - r.bytes
-            if shift == 0 or r.bytes <= TOLERANCE * leaf_bytes:
-                s["cut"] = (r.bin + (r.upto - s["goal"] < s["goal"] - below)) << shift
-            else:
-                s["prefix"], s["below"] = r.bin, float(below)
+        open_nodes = nodes.where("cut IS NULL")
+        digits = (rows.join(open_nodes.select("first", "dim", "prefix"), "first").select("first", "size", "prefix", F.expr("keys[dim]").alias("key"))
+                  .where(F.shiftright("key", shift + step) == F.col("prefix")))
+        bins = digits.groupBy("first", F.shiftright("key", shift).alias("bin")).agg(F.sum("size").alias("bytes"))
+        bins = bins.withColumn("upto", F.sum("bytes").over(W.partitionBy("first").orderBy("bin")))
+        crossing = (bins.join(open_nodes.select("first", "goal", "below"), "first").where("upto + below >= goal").groupBy("first")
+                    .agg(F.min_by(F.struct("bin", "bytes", (F.col("upto") + F.col("below")).alias("upto")), "bin").alias("c")))
+        near = F.lit(True) if shift == 0 else F.col("c.bytes") <= F.lit(TOLERANCE * leaf_bytes)
+        nearer_above = F.expr("CAST(c.upto - goal < goal - (c.upto - c.bytes) AS BIGINT)")
+        nodes = stage(nodes.join(crossing, "first", "left").select(
+            "first", "dim", "goal", F.coalesce("c.bin", "prefix").alias("prefix"), F.coalesce(F.expr("c.upto - c.bytes"), "below").alias("below"),
+            F.coalesce("cut", F.when(near, F.shiftleft(F.col("c.bin") + nearer_above, shift))).alias("cut")), "shard-nodes")
+    return nodes
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
