@@ -45,7 +45,7 @@ FEATURES = ("length", "changes", "vowel_pairs", "distinct_share", "digit_share",
 
 
 def candidates(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
-    """``keep``, ``start`` (characters before it), ``value``, ``before`` and ``after`` of every candidate."""
+    """``keep``, ``ordinal`` (its number in the text), ``start`` (characters before it), ``value``, ``before`` and ``after`` of every candidate."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(*keep, text.alias("_text")).where(F.col("_text").rlike(CANDIDATE))
     rows = rows.select(*keep, F.split("_text", CANDIDATE, -1).alias("_gaps"), F.regexp_extract_all("_text", F.lit(CANDIDATE), F.lit(0)).alias("_values"))
@@ -54,7 +54,7 @@ def candidates(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] =
     starts = F.aggregate(lengths, zero, lambda a, x: F.struct((a.at + x.gap + x.own).alias("at"), F.array_append(a.starts, a.at + x.gap).alias("starts")),
                          lambda a: a.starts)
     found = F.transform(F.col("_values"), lambda v, i: F.struct(
-        F.col("_starts")[i].alias("start"), v.alias("value"), F.right(F.col("_gaps")[i], F.lit(CONTEXT)).alias("before"),
+        i.alias("ordinal"), F.col("_starts")[i].alias("start"), v.alias("value"), F.right(F.col("_gaps")[i], F.lit(CONTEXT)).alias("before"),
         F.left(F.col("_gaps")[i + 1], F.lit(CONTEXT)).alias("after")))
     return rows.withColumn("_starts", starts).select(*keep, F.explode(found).alias("_f")).select(*keep, "_f.*")
 
@@ -140,18 +140,19 @@ def scan(docs: DataFrame, id_col: str = "doc_id", path_col: str = "source", text
 def redact(docs: DataFrame, id_col: str = "doc_id", path_col: str = "source", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with the secrets that are kept as findings replaced by ``mark``; the same columns and rows.
 
-    Only rows with a candidate are numbered, written aside and joined with their findings; the others pass through.
+    Only rows with a candidate are numbered, written aside and joined with their findings; the others pass through. A text is
+    put together again from the pieces between its candidates, in time linear in its length.
     """
     suspect = F.coalesce(F.col(text_col).cast("string").rlike(CANDIDATE), F.lit(False))
     held = stage(docs.where(suspect).withColumn("_uid", F.monotonically_increasing_id()), "suspects")
-    secrets = (scan(held, id_col, path_col, text_col, ("_uid",)).where("secret")
-               .groupBy("_uid").agg(F.array_sort(F.collect_list(F.struct("start", F.char_length("value").alias("length")))).alias("_spans")))
-    text = F.col(text_col)
-    start = F.struct(F.lit(0).alias("end"), F.array().cast("array<string>").alias("parts"))
-    cut = F.aggregate("_spans", start, lambda a, s: F.struct(
-        (s.start + s.length).alias("end"), F.array_append(F.array_append(a.parts, F.substring(text, a.end + 1, s.start - a.end)), F.lit(mark)).alias("parts")),
-        lambda a: F.concat(F.array_join(a.parts, ""), F.substring(text, a.end + 1, F.char_length(text))))
-    clean = held.join(secrets, "_uid", "left").withColumn(text_col, F.when(F.col("_spans").isNull(), text).otherwise(cut))
+    verdicts = (scan(held, id_col, path_col, text_col, ("_uid",)).groupBy("_uid")
+                .agg(F.array_sort(F.collect_list(F.struct("ordinal", "secret"))).alias("_verdicts")))
+    text = F.col(text_col).cast("string")
+    values = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
+    left = F.zip_with(values, "_verdicts", lambda v, x: F.when(x.secret, F.lit(mark)).otherwise(v))
+    joined = F.array_join(F.zip_with(F.split(text, CANDIDATE, -1), left, lambda gap, v: F.concat(gap, F.coalesce(v, F.lit("")))), "")
+    clean = held.join(verdicts, "_uid", "left").withColumn(
+        text_col, F.when(F.exists("_verdicts", lambda x: x.secret), joined).otherwise(F.col(text_col)))
     return docs.where(~suspect).unionByName(clean.select(*docs.columns))
 
 
