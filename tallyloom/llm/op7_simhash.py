@@ -39,11 +39,11 @@ FREE_BITS = 14
 BLOCK = 1 << 16
 
 
-def fingerprint(raw: bytes | None, words: int) -> int:
-    """SimHash of the word shingles of ``raw`` (bytes, A-Z lower-cased), as an unsigned integer."""
+def shingle_hashes(raw: bytes | None, words: int) -> np.ndarray:
+    """Hashes of the word shingles of ``raw`` (bytes, A-Z lower-cased), in order; none for a blank text."""
     parts = raw.lower().split() if raw else []
     if not parts:
-        return 0
+        return np.empty(0, np.uint64)
     text = b" ".join(parts)
     ends = [e - 1 for e in accumulate(len(p) + 1 for p in parts)]
     starts = [0, *(e + 1 for e in ends[:-1])]
@@ -52,7 +52,12 @@ def fingerprint(raw: bytes | None, words: int) -> int:
     else:
         spans = zip(starts, ends[words - 1:])
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(text[s:e], SEED) for s, e in spans), np.uint64)
+    return np.fromiter((digest(text[s:e], SEED) for s, e in spans), np.uint64)
+
+
+def fingerprint(raw: bytes | None, words: int) -> int:
+    """SimHash of the word shingles of ``raw``, as an unsigned integer."""
+    hashes = shingle_hashes(raw, words)
     ones = np.zeros(64, np.int64)
     for at in range(0, len(hashes), BLOCK):
         block = hashes[at:at + BLOCK].astype("<u8").view(np.uint8).reshape(-1, 8)
