@@ -12,8 +12,8 @@ sign is none. At most ``MAX_LABELLED`` findings are used, chosen by a hash of th
 covers all rows. Findings of a document are bounded by its text; no group of documents is ever gathered.
 
 Defined results: a null or empty text has no candidates; a null path has no path features; repeated rows are scanned as often
-as they occur (told apart by ``uid``, the number of the row in the given table); without labels of both classes there is no forest and no
-finding is removed (score null); further columns are ignored; an empty table gives an empty result.
+as they occur (told apart by ``uid``, the number of the row in the given table); without labels of both classes there is no forest, the
+score is null and the verdict follows the label (null: undecided, a finding that is not redacted); further columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -122,9 +122,9 @@ def _assembled(featured: DataFrame) -> DataFrame:
 
 
 def score(featured: DataFrame, model: RandomForestClassificationModel | None, removed_below: float = REMOVED_BELOW) -> DataFrame:
-    """``featured`` with ``score`` (share of the forest for "secret") and ``secret``."""
+    """``featured`` with ``score`` (share of the forest for "secret") and ``secret``; without a forest ``secret`` follows ``label``."""
     if model is None:
-        return featured.withColumns({"score": F.lit(None).cast("double"), "secret": F.lit(True)})
+        return featured.withColumns({"score": F.lit(None).cast("double"), "secret": F.col("label") == 1})
     scored = model.transform(_assembled(featured)).withColumn("score", F.round(vector_to_array("probability")[1], 9))
     return scored.drop("_x", "rawPrediction", "probability", "prediction").withColumn("secret", F.col("score") >= removed_below)
 

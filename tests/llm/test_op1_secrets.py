@@ -65,3 +65,14 @@ def test_awkward_and_empty(spark):
     assert op.scan(empty_documents(spark)).count() == 0 and op.redact(empty_documents(spark)).count() == 0
     one = spark.createDataFrame([(1, f"token = {HEX}", "a"), (1, f"token = {HEX}", "a")], "doc_id long, text string, source string")
     assert [(r.start, r.score, r.secret) for r in op.scan(one).collect()] == [(8, None, True)] * 2
+
+
+def test_one_class_leaves_clean_texts_unchanged(spark, sf_dir):
+    clean = ["card 4539148803436467 stays", "see com/apache/spark-docs/latest now", "plain abcdefghijklmnopqrstuvwxyz word", f"commit {HEX} was fine"]
+    df = spark.createDataFrame([(i, t, "a") for i, t in enumerate(clean)], "doc_id long, text string, source string")
+    assert [r.text for r in op.redact(df).orderBy("doc_id").collect()] == clean
+    assert {(r.score, r.secret) for r in op.scan(df).collect()} == {(None, False)}
+    undecided = spark.createDataFrame([(1, f'"{HEX}"', "a")], "doc_id long, text string, source string")
+    assert [r.secret for r in op.scan(undecided).collect()] == [None] and op.redact(undecided).first().text == f'"{HEX}"'
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")  # candidates, none of them assigned to a name
+    assert op.candidates(docs).count() and {(r.doc_id, r.text) for r in op.redact(docs).collect()} == {(r.doc_id, r.text) for r in docs.collect()}
