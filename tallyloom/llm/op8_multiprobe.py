@@ -7,8 +7,11 @@ order of perturbation sets over the ranks of the sorted boundary distances is wo
 distances, and then mapped onto each query's own. Candidates of all tables are merged by vector and reranked by
 the exact measure on the original vectors.
 
-Nearness is the inner product. Vectors are scaled to the largest norm and get one more component that fills them up to
-unit length (none for queries), so that the largest inner product is the smallest distance.
+Nearness is the inner product. Vectors are dealt to bands of norms within a factor of two, each with tables of its own; they
+are scaled to the largest norm of their band and get one more component that fills them up to unit length (none for queries), so
+that the largest inner product is the smallest distance. A query visits every band.
+
+A query that meets fewer than ``k`` candidates (or than there are others) is compared with all rows, in blocks.
 
 Every row is indexed. Buckets are dealt to cells by hash; a cell above ``cell_rows`` rows is split into blocks by a hash of
 the row, so a hot bucket does not land in one task, and a query meets the rows of its visited buckets in every block.
@@ -98,30 +101,40 @@ def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(F.coalesce(sound, F.lit(False)))
 
 
+def _norm():
+    return F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+
+
+def _band(largest: float):
+    """How often the norm can be doubled without passing the largest."""
+    return F.greatest(F.floor(F.log2(F.lit(largest) / _norm())), F.lit(0)).cast("int")
+
+
 def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", dim: int | None = None,
             tables: int = 3, functions: int = 6, width: float = 2.0, probes: int = 128, cell_rows: int = 4096) -> DataFrame:
     """``(query_id, rank, id, score)``: the ``k`` nearest found of every query row, itself left out.
 
-    ``is_query`` is a condition on the column ``id``. ``width`` is in units of the largest norm.
+    ``is_query`` is a condition on the column ``id``. ``width`` is in units of the largest norm of a band.
 
     The defaults suit vectors without any structure, whose 20th neighbour is hardly nearer than a random vector; such data
     make every index visit a large part of all buckets. Clustered vectors need fewer probes.
     """
     rows = _valid(vectors, id_col, vector_col)
-    lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("queries"), F.max(F.sqrt(F.aggregate(
-        "v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))).alias("norm"))
+    lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("queries"), F.max(_norm()).alias("norm"))
     found = (lengths if dim is None else lengths.where(F.col("d") == dim)).orderBy(F.desc("n"), F.desc("d")).first()
     spark = vectors.sparkSession
     if found is None:
         return spark.createDataFrame([], "query_id bigint, rank int, id bigint, score double")
     dim, norm = found.d, found.norm
-    rows = rows.where(F.size("v") == dim)
+    rows = rows.where(F.size("v") == dim).withColumn("band", _band(norm))
+    bands = {r.band: r.norm for r in rows.groupBy("band").agg(F.max(_norm()).alias("norm")).collect()}  # one number for each power of two in use
+    numbers = {b: i for i, b in enumerate(sorted(bands))}
     kind = rows.schema["v"].dataType.simpleString()
     hashes, sets = Hashes(dim, tables, functions, width), perturbations(functions, probes)
     cells = max(1, -(-found.n // cell_rows))
 
-    def filled(v: pd.Series, query: bool) -> np.ndarray:
-        x = np.stack(v.to_numpy()).astype(float) / norm
+    def filled(v: pd.Series, query: bool, by: np.ndarray | float = norm) -> np.ndarray:
+        x = np.stack(v.to_numpy()).astype(float) / by
         rest = np.zeros(len(x)) if query else np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))
         length = np.linalg.norm(x, axis=1)
         return np.column_stack([x / length[:, None] if query else x, rest])
@@ -132,10 +145,11 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            x = filled(b["v"], False)
+            x = filled(b["v"], False, b["band"].map(bands).to_numpy()[:, None])
+            number = b["band"].map(numbers).to_numpy()
             for t in range(tables):
                 codes = hashes.code(np.floor(hashes.places(x, t)))
-                yield pd.DataFrame({"t": np.int32(t), "cell": cell(codes), "code": codes, "id": b["id"], "v": b["v"]})
+                yield pd.DataFrame({"t": (number * tables + t).astype(np.int32), "cell": cell(codes), "code": codes, "id": b["id"], "v": b["v"]})
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -145,27 +159,21 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
                 for i, place in enumerate(hashes.places(x, t)):
                     codes = np.unique(hashes.probes(place, sets))
                     at = cell(codes)
-                    out += [(t, c, b["id"].iat[i], b["v"].iat[i], codes[at == c]) for c in np.unique(at)]
+                    out += [(number * tables + t, c, b["id"].iat[i], b["v"].iat[i], codes[at == c]) for c in np.unique(at) for number in numbers.values()]
                 yield pd.DataFrame(out, columns=["t", "cell", "query_id", "q", "codes"])
 
     indexed = rows.mapInPandas(index, f"t int, cell int, code bigint, id bigint, v {kind}")
     asked = rows.where(is_query).mapInPandas(visits, f"t int, cell int, query_id bigint, q {kind}, codes array<bigint>")
     indexed, asked = (stage(df, "ann") for df in (indexed, asked))
     blocks = lambda n: F.greatest(F.ceil(n / cell_rows), F.lit(1)).cast("int")
-    sizes = (indexed.groupBy("t", "cell").agg(blocks(F.count(F.lit(1))).alias("row_blocks"))
-             .join(asked.groupBy("t", "cell").agg(blocks(F.count(F.lit(1))).alias("query_blocks")), ["t", "cell"]))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = (indexed.join(sizes, ["t", "cell"]).withColumn("rb", F.pmod(F.hash("id", "code"), "row_blocks")).withColumn("qb", every("query_blocks"))
-            .drop("row_blocks", "query_blocks"))
-    right = (asked.join(sizes, ["t", "cell"]).withColumn("qb", F.pmod(F.hash("query_id"), "query_blocks")).withColumn("rb", every("row_blocks"))
-             .drop("row_blocks", "query_blocks"))
 
     def compare(index_rows: pd.DataFrame, query_rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         if not len(index_rows) or not len(query_rows):
             return pd.DataFrame(out, columns=["query_id", "ids", "scores"])
         x, ids = np.stack(index_rows["v"].to_numpy()).astype(float), index_rows["id"].to_numpy()
-        rough = (x / norm).astype(np.float32).T.copy()
+        rough = (x / np.linalg.norm(x, axis=1).max()).astype(np.float32).T.copy()
         codes, at = np.unique(index_rows["code"].to_numpy(), return_inverse=True)
         for start in range(0, len(query_rows), 256):
             part = query_rows.iloc[start:start + 256]
@@ -194,11 +202,31 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
         each["rank"] = (each.groupby("query_id").cumcount() + 1).astype(np.int32)
         return each[each["rank"] <= k][["query_id", "rank", "id", "score"]]
 
-    keys = ["t", "cell", "rb", "qb"]
-    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "query_id bigint, ids array<bigint>, scores array<double>")
-    groups = max(1, -(-found.queries // MERGED_QUERIES))
-    return (near.withColumn("g", F.pmod(F.xxhash64("query_id"), F.lit(groups))).groupBy("g")
-            .applyInPandas(merge, "query_id bigint, rank int, id bigint, score double"))
+    def answers(indexed: DataFrame, asked: DataFrame) -> DataFrame:
+        """The nearest among the rows of the visited buckets."""
+        sizes = (indexed.groupBy("t", "cell").agg(blocks(F.count(F.lit(1))).alias("row_blocks"))
+                 .join(asked.groupBy("t", "cell").agg(blocks(F.count(F.lit(1))).alias("query_blocks")), ["t", "cell"]))
+        left = (indexed.join(sizes, ["t", "cell"]).withColumn("rb", F.pmod(F.hash("id", "code"), "row_blocks"))
+                .withColumn("qb", every("query_blocks")).drop("row_blocks", "query_blocks"))
+        right = (asked.join(sizes, ["t", "cell"]).withColumn("qb", F.pmod(F.hash("query_id"), "query_blocks"))
+                 .withColumn("rb", every("row_blocks")).drop("row_blocks", "query_blocks"))
+        keys = ["t", "cell", "rb", "qb"]
+        near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "query_id bigint, ids array<bigint>, scores array<double>")
+        groups = max(1, -(-found.queries // MERGED_QUERIES))
+        return (near.withColumn("g", F.pmod(F.xxhash64("query_id"), F.lit(groups))).groupBy("g")
+                .applyInPandas(merge, "query_id bigint, rank int, id bigint, score double"))
+
+    reached = stage(answers(indexed, asked), "nearest")
+    others = rows.select("id").distinct().limit(k + 1).count() - 1
+    whole = reached.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(k, others)).select("query_id")
+    short = stage(rows.where(is_query).select(F.col("id").alias("query_id"), F.col("v").alias("q")).join(whole, "query_id", "left_anti"), "short")
+    if others < 1 or short.isEmpty():
+        return reached
+    # one bucket holds all rows, dealt to cells by their id; every query visits each cell
+    many = rows.select(F.lit(0).alias("t"), F.pmod(F.xxhash64("id"), F.lit(cells)).cast("int").alias("cell"), F.lit(0).cast("long").alias("code"), "id", "v")
+    all_cells = short.select(F.lit(0).alias("t"), F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"), "query_id", "q",
+                             F.array(F.lit(0).cast("long")).alias("codes"))
+    return reached.join(short.select("query_id").distinct(), "query_id", "left_anti").unionByName(answers(many, all_cells))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,3 +66,29 @@ def test_probe_order():
     codes = h.probes(place, sets)
     assert len(set(codes)) == 81 and codes[0] == h.code(np.floor(place)[None])[0]
     assert codes[1] in (h.code(np.floor(place)[None] + m)[0] for m in ([-1, 0, 0, 0], [0, 0, 1, 0]))
+
+
+@pytest.mark.parametrize("n", [2, 10, 15, 30])
+def test_tiny_tables_are_answered_whole(spark, n):
+    x = np.random.default_rng(n).standard_normal((n, 64))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in op.nearest(df, F.lit(True)).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.id)
+    assert set(got) == set(range(n)) and all(len(v) == min(20, n - 1) for v in got.values())
+    if n <= 21:
+        assert got == {q: [i for i, _ in w] for q, w in brute(list(range(n)), x, range(n)).items()}
+
+
+@pytest.mark.parametrize("times", [10, 100])
+def test_a_long_outlier_keeps_recall(spark, times):
+    rows = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").orderBy("vec_id").collect()
+    ids, x = [r.vec_id for r in rows], np.array([r.embedding for r in rows], float)
+    x[7] *= times
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, x)], "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in op.nearest(df, F.col("id") % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.id)
+    want = brute(ids, x, [i for i in ids if i % 20 == 0])
+    assert all(len(got[q]) == 20 for q in want)
+    assert sum(len(got[q] & {i for i, _ in w}) for q, w in want.items()) >= 0.9 * 20 * len(want)
