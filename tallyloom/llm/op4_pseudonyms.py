@@ -11,7 +11,8 @@ Texts are rewritten inside the tasks that read them; nothing is shuffled or gath
 
 Defined results: a null text stays null and an empty one empty, with no findings; null ids stay; repeated rows are
 rewritten alike; further columns are ignored; an empty table gives an empty result. Overlapping candidates: the leftmost
-wins, then the order above.
+wins, then the order above. A card or IBAN candidate may run into digits or capitals after it: its usual length (by country, or by
+the card's first digits) is tried first, then all of it, then shorter ends at separators.
 """
 
 from __future__ import annotations
@@ -44,6 +45,14 @@ MAY_MATCH = re.compile("[0-9@]")
 COUNTRY_CODE = re.compile(r"(\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})|\+[0-9]{1,2})(.*)", re.S)
 
 
+#: Signs of an IBAN by country, and the usual digits of a card by its first ones.
+IBAN_SIGNS = {c: int(n) for n, cs in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FI,FO,GL,NL,SD,FK 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL "
+    "24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST 26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA "
+    "30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU").split()) for c in cs.split(",")}
+CARD_DIGITS = re.compile("(?P<n16>4|5[1-5]|2[2-7]|6)|(?P<n15>3[47])|(?P<n14>3[068])")
+
+
 class Feistel:
     """A keyed permutation of ``range(size)`` for each format name."""
 
@@ -188,19 +197,50 @@ class Pseudonyms:
         signs = "".join(c for c in local if c.isalnum())
         return _fill(local, _mixed(signs, lambda v, n: self.move(v, n, "email"))) + "@" + host
 
+    def _ends(self, kind: str, found: str) -> Iterator[int]:
+        """Lengths of ``found`` to try: its usual one if a separator or its end is there, all of it, shorter ones at separators."""
+        ends = [len(found), *(m.start() for m in reversed(list(re.finditer("[ -]", found))))]
+        signs = {e: sum(c.isalnum() for c in found[:e]) for e in ends}
+        if kind == "card":
+            usual, least = (int(m.lastgroup[1:]) if (m := CARD_DIGITS.match(found)) else 0), 13
+        else:
+            usual, least = IBAN_SIGNS.get(found[:2], 0), 15
+        yield from sorted((e for e in ends if signs[e] >= least), key=lambda e: (signs[e] != usual, -e))
+
+    def _shortened(self, kind: str, found: str) -> tuple[int, str] | None:
+        """Length and pseudonym of the valid value that ``found`` begins with; a usual one that begins later goes before an unusual short one."""
+        for end in self._ends(kind, found):
+            if (new := self.value(kind, found[:end])) is not None:
+                unusual = end < len(found) and kind == "card" and not self._usual(found[:end])
+                if unusual and any(self._later(found, m.end()) for m in re.finditer("[ -]", found)):
+                    continue
+                return end, new
+        return None
+
+    def _usual(self, card: str) -> bool:
+        m = CARD_DIGITS.match(card)
+        return bool(m) and sum(c.isdigit() for c in card) == int(m.lastgroup[1:])
+
+    def _later(self, found: str, start: int) -> bool:
+        rest = found[start:]
+        return any(self._usual(rest[:e]) and self.value("card", rest[:e]) is not None for e in self._ends("card", rest))
+
     def text(self, text: str) -> tuple[str, list[tuple[str, int, int]]]:
         """The rewritten text and ``(kind, start, length)`` of the replaced values in the given one."""
         out, end, found = [], 0, []
         at = 0
         while m := CANDIDATE.search(text, at):
             kind = m.lastgroup if m.lastgroup != "sep" else "date"
-            new = self.value(kind, m.group())
+            if kind in ("card", "iban"):  # the pattern may have taken in what follows the value
+                length, new = self._shortened(kind, m.group()) or (0, None)
+            else:
+                length, new = m.end() - m.start(), self.value(kind, m.group())
             if new is None:
                 at = m.start() + 1  # an invalid candidate may hide a valid one
                 continue
             out += [text[end:m.start()], new]
-            found.append((kind, m.start(), m.end() - m.start()))
-            at = end = m.end()
+            found.append((kind, m.start(), length))
+            at = end = m.start() + length
         return "".join(out) + text[end:], found
 
 

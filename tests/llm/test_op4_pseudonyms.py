@@ -78,3 +78,16 @@ def test_a_telephone_number_is_linked_however_it_is_separated():
     for forms in (("+1 212-555-0147", "+12125550147", "+1 (212) 555.0147"), ("+358 40 1234567", "+358401234567"), ("+49 30 1234567", "+49301234567")):
         assert len({"".join(c for c in names.text(x)[0] if c.isdigit()) for x in forms}) == 1
         assert all(names.text(x)[0] != x and len(names.text(x)[1]) == 1 for x in forms)
+
+
+CARD, IBAN = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+
+
+@pytest.mark.parametrize("value,after", [(CARD, " 12/27"), (CARD, " 123"), (CARD, " 12"), (CARD, "-99"), ("3782 822463 10005", " 1234"), (IBAN, " EUR 100"), (IBAN, " EUROPE"),
+                                         (IBAN, " 2027"), (IBAN, " BIC GEBABEBB"), ("DE89 3704 0044 0532 0130 00", " EUR 5"), ("GB82 WEST 1234 5698 7654 32", " AB")])
+def test_values_before_digits_and_capitals(value, after):
+    names = op.Pseudonyms(KEY)
+    new, found = names.text(f"pay {value}{after}")
+    assert [(s, n) for _, s, n in found] == [(4, len(value))]
+    assert new == f"pay {names.text(value)[0]}{after}" and op.Pseudonyms(KEY, invert=True).text(new)[0] == f"pay {value}{after}"
+    assert all(names.text(f"{x} {CARD} 12/27")[1][-1][1:] == (len(x) + 1, len(CARD)) for x in ("12", "1234", "no 7"))
