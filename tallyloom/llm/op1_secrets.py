@@ -1,6 +1,7 @@
 """Secret scan whose false positives are removed by a random forest.
 
-Candidates are runs of key-like characters. Each gets features of its length, its character transitions (changes between
+Candidates are runs of key-like characters, and whole values of six signs or more, quoted or not, that are assigned to a secret-like
+name (a quoted value with a space in it is none). Each gets features of its length, its character transitions (changes between
 letters, digits and cases, vowels beside consonants, distinct characters), how much of it dictionary fragments cover, its
 path, and the words beside it. A random forest trained on labelled findings scores them; those below ``threshold`` are
 removed as false positives. Spark's own forest is used, so text never leaves the JVM and the trees are grown by distributed
@@ -34,6 +35,11 @@ REMOVED_BELOW = 0.5
 SIGNS = "A-Za-z0-9+/_-"
 CANDIDATE = f"(?<![{SIGNS}])(?:(?=[A-Za-z+/_-]*+[0-9])[{SIGNS}]{{16,}}+|[{SIGNS}]{{24,}}+)"
 NAMES = "token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential"
+#: The value assigned to a name, to the closing quote or the next space, without closing punctuation; before a run in the alternation, so it is whole.
+ASSIGNED = (f"(?<=[=:\\s\"'])(?<=[=:]\\s{{0,4}}[\"']?)(?<=(?i:{NAMES})[\"']?\\s{{0,4}}[=:]\\s{{0,4}}[\"']?)"
+            "(?:(?<=\")[^\"\\s]{6,}(?=\")|(?<=')[^'\\s]{6,}(?=')"
+            "|(?:(?<![\"'])|(?![^\"'\\n]*+[\"']))[^\\s\"'=:]\\S{4,}[^\\s,;.)\\]}>\"'])")
+FOUND = f"(?:{ASSIGNED}|{CANDIDATE})"
 PREFIXES = "^(?:AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}|^xox[abprs]-|^sk_live_|^glpat-"
 PATHS = {"path_test": "test|spec|fixture|mock", "path_docs": "example|sample|doc|readme|tutorial", "path_lock": "lock|vendor|node_modules|dist"}
 #: Frequent fragments of words, longest first within a language.
@@ -47,8 +53,8 @@ FEATURES = ("length", "changes", "vowel_pairs", "distinct_share", "digit_share",
 def candidates(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
     """``keep``, ``ordinal`` (its number in the text), ``start`` (characters before it), ``value``, ``before`` and ``after`` of every candidate."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(*keep, text.alias("_text")).where(F.col("_text").rlike(CANDIDATE))
-    rows = rows.select(*keep, F.split("_text", CANDIDATE, -1).alias("_gaps"), F.regexp_extract_all("_text", F.lit(CANDIDATE), F.lit(0)).alias("_values"))
+    rows = docs.select(*keep, text.alias("_text")).where(F.col("_text").rlike(FOUND))
+    rows = rows.select(*keep, F.split("_text", FOUND, -1).alias("_gaps"), F.regexp_extract_all("_text", F.lit(FOUND), F.lit(0)).alias("_values"))
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
     lengths = F.transform("_values", lambda v, i: F.struct(F.char_length(F.col("_gaps")[i]).alias("gap"), F.char_length(v).alias("own")))
     starts = F.aggregate(lengths, zero, lambda a, x: F.struct((a.at + x.gap + x.own).alias("at"), F.array_append(a.starts, a.at + x.gap).alias("starts")),
@@ -143,14 +149,14 @@ def redact(docs: DataFrame, id_col: str = "doc_id", path_col: str = "source", te
     Only rows with a candidate are numbered, written aside and joined with their findings; the others pass through. A text is
     put together again from the pieces between its candidates, in time linear in its length.
     """
-    suspect = F.coalesce(F.col(text_col).cast("string").rlike(CANDIDATE), F.lit(False))
+    suspect = F.coalesce(F.col(text_col).cast("string").rlike(FOUND), F.lit(False))
     held = stage(docs.where(suspect).withColumn("_uid", F.monotonically_increasing_id()), "suspects")
     verdicts = (scan(held, id_col, path_col, text_col, ("_uid",)).groupBy("_uid")
                 .agg(F.array_sort(F.collect_list(F.struct("ordinal", "secret"))).alias("_verdicts")))
     text = F.col(text_col).cast("string")
-    values = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(FOUND), F.lit(0))
     left = F.zip_with(values, "_verdicts", lambda v, x: F.when(x.secret, F.lit(mark)).otherwise(v))
-    joined = F.array_join(F.zip_with(F.split(text, CANDIDATE, -1), left, lambda gap, v: F.concat(gap, F.coalesce(v, F.lit("")))), "")
+    joined = F.array_join(F.zip_with(F.split(text, FOUND, -1), left, lambda gap, v: F.concat(gap, F.coalesce(v, F.lit("")))), "")
     clean = held.join(verdicts, "_uid", "left").withColumn(
         text_col, F.when(F.exists("_verdicts", lambda x: x.secret), joined).otherwise(F.col(text_col)))
     return docs.where(~suspect).unionByName(clean.select(*docs.columns))

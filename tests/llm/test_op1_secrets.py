@@ -76,3 +76,15 @@ def test_one_class_leaves_clean_texts_unchanged(spark, sf_dir):
     assert [r.secret for r in op.scan(undecided).collect()] == [None] and op.redact(undecided).first().text == f'"{HEX}"'
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")  # candidates, none of them assigned to a name
     assert op.candidates(docs).count() and {(r.doc_id, r.text) for r in op.redact(docs).collect()} == {(r.doc_id, r.text) for r in docs.collect()}
+
+
+def test_short_and_mixed_values_assigned_to_names(spark):
+    values = ['password = "Summer2024!x"', "pwd=hunter2", 'password = "aB3$kd9!Lm2#pQ7xYz"', "{'api_key': 'k9$Zq1'}", "PASSWD: s3cr3t-é", f"token = {HEX}"]
+    marked = ['password = "[SECRET]"', "pwd=[SECRET]", 'password = "[SECRET]"', "{'api_key': '[SECRET]'}", "PASSWD: [SECRET]", "token = [SECRET]"]
+    cards = [f"card {n} stays" for n in ("4539148803436467", "4111111111111111", "5555555555554444", "378282246310005", "6011111111111117", "4012888888881881")]
+    clean = [*cards, "the author: Somebody Else", "a password is needed here", "pwd=x1"]
+    rows = [(i, f"some text {t} and, more.", "a") for i, t in enumerate(values + clean)]
+    got = op.redact(spark.createDataFrame(rows, "doc_id long, text string, source string")).orderBy("doc_id").collect()
+    assert [r.text for r in got] == [f"some text {t} and, more." for t in marked + clean]
+    alone = spark.createDataFrame([(1, "pwd=hunter2, then", "a")], "doc_id long, text string, source string")
+    assert [(r.start, r.value, r.secret) for r in op.scan(alone).collect()] == [(4, "hunter2", True)] and op.redact(alone).first().text == "pwd=[SECRET], then"
