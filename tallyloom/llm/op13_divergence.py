@@ -41,7 +41,7 @@ from tallyloom.operators.staging import stage
 
 #: Terms are runs of ASCII letters and of all signs beyond ASCII; only A-Z are lower-cased. On UTF-8 bytes: what is no term byte becomes a space.
 TERM_BYTES = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c >= 0x80 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
-FLUSH = 400_000
+FLUSH = 80_000
 SLICE = 2048
 BLOCK = 256
 PART_ROWS = 8192
