@@ -4,7 +4,8 @@ Recognized, and replaced only where valid: payment card numbers (13 to 19 digits
 a country code, US social security numbers, IPv4 addresses, dates (ISO, or day and month with dots or slashes) and e-mail
 addresses. A value's digits become a number below the size of its format's domain; an eight-round Feistel network over
 the next even number of bits, walked until the result is below that size, permutes the domain; check digits are made
-anew. Separators, lengths, country codes, mail hosts and the order of year, month and day stay. Equal values get equal
+anew. Separators, country codes, mail hosts and the order of year, month and day stay, and lengths but for IPv4
+addresses. Dates stay in one of six classes (day to 9, to 12 or above; month to 9 or above). Equal values get equal
 pseudonyms in every document, however they are separated, and the key's owner can invert them (:meth:`Feistel.back`).
 
 Texts are rewritten inside the tasks that read them; nothing is shuffled or gathered.
@@ -53,6 +54,11 @@ IBAN_SIGNS = {c: int(n) for n, cs in (x.split(":") for x in (
 CARD_DIGITS = re.compile("(?P<n16>4|5[1-5]|2[2-7]|6)|(?P<n15>3[47])|(?P<n14>3[068])")
 
 
+def _date_class(day: dt.date) -> tuple[bool, bool, bool]:
+    """Dates that are written alike in every order of parts: day above 12, digits of the day, digits of the month."""
+    return day.day > 12, day.day > 9, day.month > 9
+
+
 class Feistel:
     """A keyed permutation of ``range(size)`` for each format name."""
 
@@ -176,6 +182,9 @@ class Pseudonyms:
         return ".".join(map(str, value.to_bytes(4, "big")))
 
     def _date(self, found: str) -> str | None:
+        """A date in its own order of parts, each part as wide as it was. Dates are permuted within their :func:`_date_class`, so that a
+        month-first date with slashes, told by a second number above 12, stays one, and a part of one digit stays one; and as the class does not depend on the
+        way a date is written, equal dates are linked however they are written."""
         parts = re.split("([-./])", found)
         numbers, sep = [int(x) for x in parts[::2]], parts[1]
         year, month, day = numbers if sep == "-" else reversed(numbers)
@@ -183,14 +192,13 @@ class Pseudonyms:
         if swapped:
             month, day = day, month
         try:
-            old = dt.date(year, month, day).toordinal()
+            new = old = dt.date(year, month, day)
         except ValueError:
             return None
-        new = dt.date.fromordinal(FIRST_DAY + self.move(old - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date"))
-        if sep == "-":
-            return new.isoformat()
-        first, second = (new.month, new.day) if swapped else (new.day, new.month)
-        return f"{first:02d}{sep}{second:02d}{sep}{new.year}"
+        while new is old or _date_class(new) != _date_class(old):  # the walk stays on its cycle, which leads back to the given date
+            new = dt.date.fromordinal(FIRST_DAY + self.move(new.toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, "date"))
+        made = [new.year, new.month, new.day] if sep == "-" else [new.month, new.day, new.year] if swapped else [new.day, new.month, new.year]
+        return sep.join(f"{n:0{len(x)}d}" for n, x in zip(made, parts[::2]))
 
     def _email(self, found: str) -> str | None:
         local, host = found.split("@")
