@@ -3,13 +3,17 @@
 A sequence has several capacities at once: tokens, number of segments, and tokens that bear loss. Items wait in a pool;
 the open sequence takes, again and again, the fitting item with the largest dot product of its demands with what the
 sequence has left, both as shares of the capacities, until nothing fits. If tokens are left then, the largest item
-is cut to fill them (``cut=True``), so padding only remains where the other limits bind and in a task's last sequence,
-which is cut into parts of a power of two tokens that need none.
+is cut to fill them (``cut=True``). A sequence that stays below the token limit, because another limit binds or the task ends, is dealt
+to sequences of a power of two tokens, which need no padding.
 
 Packing runs inside the tasks that read the texts, over pools of at most ``pool`` items; items longer than a sequence first
 give off whole sequences. Sequence numbers are the task's number and a counter, so a task that runs again packs alike and
 nothing is shuffled. A task holds its pool and one text, whatever the size of the table or of a group of copies.
 
+Instruction examples have a prompt column beside the text, which is the answer: the prompt's ids come first and bear no loss, the
+answer's and the closing id do, and the limit on loss-bearing tokens counts them. Special tokens of the vocabulary are recognized in texts as
+the tokenizer's own library does by default.
+
 Defined results: a null or empty text is one token, the closing id 0; repeated rows are packed as often as they occur; a
 null id stays null; further columns are ignored; an empty table gives no piece. Without ``cut`` an item above any capacity
 raises ``ValueError``.
@@ -27,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.tokens import ids as token_ids
+from tallyloom.llm.tokens import special_ids as specials  # noqa: F401
 
 CLOSING = b"\0\0\0\0"
 POOL = 512
@@ -134,13 +139,16 @@ def _powers(sequence: list[tuple]) -> Iterator[list[tuple]]:
         yield out
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text", limits: Limits = Limits()) -> DataFrame:
-    """Pieces of all documents (every token bears loss) with their place: id, ``start``, ``length``, ``ids`` (packed
-    little-endian integers), ``doc_tokens``, ``sequence_id``, ``offset``."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = f"id {rows.schema['id'].dataType.simpleString()}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
+def pack_documents(docs: DataFrame, vocabulary: str, special: dict[str, int] | None = None, id_col: str = "doc_id", text_col: str = "text",
+                   prompt_col: str | None = None, limits: Limits = Limits()) -> DataFrame:
+    """Pieces of all documents with their place: id, ``start``, ``length``, ``ids`` (packed little-endian integers), ``doc_tokens``,
+    ``loss`` (tokens of the piece that bear loss: all, or those after the document's prompt), ``sequence_id``, ``offset``."""
+    prompt = F.col(prompt_col).cast("string") if prompt_col else F.lit(None).cast("string")
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), prompt.alias("prompt"))
+    kind_of_id = rows.schema["id"].dataType.simpleString()
+    schema = f"id {kind_of_id}, start bigint, length bigint, ids binary, doc_tokens bigint, loss bigint, sequence_id bigint, offset bigint"
     arrow = pa.schema([("id", pa.null()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
-                       ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
+                       ("doc_tokens", pa.int64()), ("loss", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, packer, out = TaskContext.get().partitionId() << TASK_SHIFT, Packer(limits), []
@@ -149,11 +157,17 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
         def place(sequence: list[tuple]) -> None:
             nonlocal number
             offset = 0
-            for (doc, ids), start, length in sequence:
-                out.append((doc, start, length, ids[4 * start:4 * (start + length)], len(ids) // 4, number, offset))
+            for (doc, ids, silent), start, length in sequence:
+                loss = max(0, start + length - max(start, silent))
+                out.append((doc, start, length, ids[4 * start:4 * (start + length)], len(ids) // 4, loss, number, offset))
                 offset += length
             number += 1
 
+        def deal(sequence: list[tuple]) -> None:
+            full = sum(length for _, _, length in sequence) == limits.tokens
+            for part in [sequence] if full else _powers(sequence):
+                place(part)
+
         def batch() -> pa.RecordBatch:
             made = pa.RecordBatch.from_arrays([pa.array(c, kind if f.name == "id" else f.type) for c, f in zip(zip(*out), arrow)], arrow.names)
             out.clear()
@@ -161,20 +175,16 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
 
         for b in batches:
             kind = b.column(0).type
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = token_ids(text.as_py(), vocabulary) + CLOSING
-                n = len(ids) // 4
-                for sequence in packer.add((doc, ids), n, n):
-                    place(sequence)
+            for doc, text, prompt in zip(b.column(0).to_pylist(), b.column(1), b.column(2)):
+                first = token_ids(prompt.as_py(), vocabulary, special)
+                ids = first + token_ids(text.as_py(), vocabulary, special) + CLOSING
+                silent, n = len(first) // 4, len(ids) // 4
+                for sequence in packer.add((doc, ids, silent), n, n - silent):
+                    deal(sequence)
                 if len(out) >= 2000:
                     yield batch()
-        tail = list(packer.drain())
-        for sequence in tail:
-            if sum(length for _, _, length in sequence) == limits.tokens:
-                place(sequence)
-            else:
-                for part in _powers(sequence):
-                    place(part)
+        for sequence in packer.drain():
+            deal(sequence)
         if out:
             yield batch()
 
@@ -183,5 +193,5 @@ def pack_documents(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", tex
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op5: all documents in sequences of 1024 tokens, with the checksum of each piece's ids."""
-    pieces = pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), "byte_bpe_50k.tiktoken")
+    pieces = pack_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), "byte_bpe_50k.tiktoken", specials("byte_bpe_50k.json"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import base64
 import functools
+import json
+import re
 import sys
 from array import array
 
@@ -57,10 +59,30 @@ def packed(numbers: list[int]) -> bytes:
     return out.tobytes()
 
 
-def ids(text: str | None, vocabulary: str) -> bytes:
-    """Ids of a whole text by a rank file, packed."""
+@functools.cache
+def _splitter(strings: tuple[str, ...]) -> re.Pattern:
+    return re.compile("|".join(map(re.escape, sorted(strings, key=len, reverse=True))))
+
+
+def special_ids(name: str) -> dict[str, int]:
+    """Special tokens of a tokenizer file and their ids, all of the plain kind that matches anywhere in a text."""
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
+        raise ValueError("special tokens with conditions are not served")
+    return {t["content"]: t["id"] for t in added}
+
+
+def ids(text: str | None, vocabulary: str, special: dict[str, int] | None = None) -> bytes:
+    """Ids of a whole text by a rank file, packed; strings of ``special`` get their own id, and what lies between is encoded apart."""
     if not text:
         return b""
+    if special and any(s in text for s in special):
+        pattern, out, end = _splitter(tuple(special)), [], 0
+        for m in pattern.finditer(text):
+            out += [ids(text[end:m.start()], vocabulary), packed([special[m.group()]])]
+            end = m.end()
+        return b"".join(out) + ids(text[end:], vocabulary)
     encoding, parts = _ranked(vocabulary)
     first, *rest = text.split(" ")
     try:
