@@ -7,7 +7,8 @@ order of perturbation sets over the ranks of the sorted boundary distances is wo
 distances, and then mapped onto each query's own. Candidates of all tables are merged by vector and reranked by
 the exact measure on the original vectors.
 
-Nearness is the inner product. Vectors are dealt to bands of norms within a factor of two, each with tables of its own; they
+Nearness is the inner product. Vectors are dealt to bands of norms within a factor of two, each with tables of its own (norms are
+handled as logarithms and vectors divided by their largest component first, so denormal and huge components neither vanish nor overflow); they
 are scaled to the largest norm of their band and get one more component that fills them up to unit length (none for queries), so
 that the largest inner product is the smallest distance. A query visits every band.
 
@@ -16,11 +17,13 @@ A query that meets fewer than ``k`` candidates (or than there are others) is com
 Every row is indexed. Buckets are dealt to cells by hash; a cell above ``cell_rows`` rows is split into blocks by a hash of
 the row, so a hot bucket does not land in one task, and a query meets the rows of its visited buckets in every block.
 The queries of a cell are dealt to blocks as well, so no task holds an unbounded side. A block gives at most ``k`` rows a
-query; equal scores are kept whole until the tie is settled by the smaller id. Nothing is sampled.
+query, and Spark's own grouping and window, which combine before the exchange and spill, merge them. Equal scores are kept whole until the
+tie is settled by the smaller id. Nothing is sampled.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor do vectors of another
 length than ``dim`` (default: the most frequent length, the longer of equals) or with a null id; a row that repeats an id is
-a candidate once a distinct vector, with its best score; an empty table gives an empty result.
+a candidate once a distinct vector, with its best score; a product that overflows is infinite, and one that is no number ranks last; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,14 +35,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from tallyloom.operators.staging import stage
 
 DIGIT = 64
 #: Scores are first compared in single precision; what lies this close below the k-th, as a share of the norms, is reranked too.
 CLOSE = 1e-5
-#: Queries whose partial lists are merged in one group.
-MERGED_QUERIES = 512
+#: Queries whose visits are listed at a time.
+VISITING = 64
 
 
 def perturbations(functions: int, probes: int) -> np.ndarray:
@@ -101,13 +105,22 @@ def _valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(F.coalesce(sound, F.lit(False)))
 
 
-def _norm():
-    return F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+def _log_norm():
+    """Binary logarithm of the norm, finite for every vector that takes part."""
+    largest = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
+    squares = F.aggregate(F.transform(F.array(largest), lambda m: F.aggregate(
+        "v", F.lit(0.0), lambda a, x: a + (x.cast("double") / m) * (x.cast("double") / m))), F.lit(0.0), lambda a, x: a + x)
+    return F.log2(largest) + F.log2(squares) / 2
 
 
 def _band(largest: float):
     """How often the norm can be doubled without passing the largest."""
-    return F.greatest(F.floor(F.log2(F.lit(largest) / _norm())), F.lit(0)).cast("int")
+    return F.greatest(F.floor(F.lit(largest) - F.col("log_norm")), F.lit(0)).cast("int")
+
+
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows divided by their largest component."""
+    return x / np.abs(x).max(axis=1, keepdims=True)
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", dim: int | None = None,
@@ -119,25 +132,28 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     The defaults suit vectors without any structure, whose 20th neighbour is hardly nearer than a random vector; such data
     make every index visit a large part of all buckets. Clustered vectors need fewer probes.
     """
-    rows = _valid(vectors, id_col, vector_col)
-    lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("queries"), F.max(_norm()).alias("norm"))
+    rows = _valid(vectors, id_col, vector_col).withColumn("log_norm", _log_norm())
+    lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max("log_norm").alias("norm"))
     found = (lengths if dim is None else lengths.where(F.col("d") == dim)).orderBy(F.desc("n"), F.desc("d")).first()
     spark = vectors.sparkSession
     if found is None:
         return spark.createDataFrame([], "query_id bigint, rank int, id bigint, score double")
     dim, norm = found.d, found.norm
     rows = rows.where(F.size("v") == dim).withColumn("band", _band(norm))
-    bands = {r.band: r.norm for r in rows.groupBy("band").agg(F.max(_norm()).alias("norm")).collect()}  # one number for each power of two in use
+    bands = {r.band: r.norm for r in rows.groupBy("band").agg(F.max("log_norm").alias("norm")).collect()}  # one number for each power of two in use
     numbers = {b: i for i, b in enumerate(sorted(bands))}
     kind = rows.schema["v"].dataType.simpleString()
     hashes, sets = Hashes(dim, tables, functions, width), perturbations(functions, probes)
     cells = max(1, -(-found.n // cell_rows))
 
-    def filled(v: pd.Series, query: bool, by: np.ndarray | float = norm) -> np.ndarray:
-        x = np.stack(v.to_numpy()).astype(float) / by
-        rest = np.zeros(len(x)) if query else np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))
-        length = np.linalg.norm(x, axis=1)
-        return np.column_stack([x / length[:, None] if query else x, rest])
+    def filled(v: pd.Series, shorter: np.ndarray | None = None) -> np.ndarray:
+        """Queries at unit length; index rows ``2 ** shorter`` times as long as the longest of their band, filled up to unit length."""
+        x = _scaled(np.stack(v.to_numpy()).astype(float))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        if shorter is not None:
+            x *= np.exp2(shorter)[:, None]
+        rest = np.zeros(len(x)) if shorter is None else np.sqrt(np.maximum(0, 1 - (x * x).sum(axis=1)))
+        return np.column_stack([x, rest])
 
     def cell(codes: np.ndarray) -> np.ndarray:
         mixed = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -145,7 +161,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            x = filled(b["v"], False, b["band"].map(bands).to_numpy()[:, None])
+            x = filled(b["v"], np.minimum(0, b["log_norm"].to_numpy() - b["band"].map(bands).to_numpy()))
             number = b["band"].map(numbers).to_numpy()
             for t in range(tables):
                 codes = hashes.code(np.floor(hashes.places(x, t)))
@@ -153,14 +169,16 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            x = filled(b["v"], True)
-            for t in range(tables):
-                out = []
-                for i, place in enumerate(hashes.places(x, t)):
-                    codes = np.unique(hashes.probes(place, sets))
-                    at = cell(codes)
-                    out += [(number * tables + t, c, b["id"].iat[i], b["v"].iat[i], codes[at == c]) for c in np.unique(at) for number in numbers.values()]
-                yield pd.DataFrame(out, columns=["t", "cell", "query_id", "q", "codes"])
+            for start in range(0, len(b), VISITING):
+                part = b.iloc[start:start + VISITING]
+                x = filled(part["v"])
+                for t in range(tables):
+                    out = []
+                    for i, place in enumerate(hashes.places(x, t)):
+                        codes = np.unique(hashes.probes(place, sets))
+                        at = cell(codes)
+                        out += [(number * tables + t, c, part["id"].iat[i], part["v"].iat[i], codes[at == c]) for c in np.unique(at) for number in numbers.values()]
+                    yield pd.DataFrame(out, columns=["t", "cell", "query_id", "q", "codes"])
 
     indexed = rows.mapInPandas(index, f"t int, cell int, code bigint, id bigint, v {kind}")
     asked = rows.where(is_query).mapInPandas(visits, f"t int, cell int, query_id bigint, q {kind}, codes array<bigint>")
@@ -173,7 +191,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
         if not len(index_rows) or not len(query_rows):
             return pd.DataFrame(out, columns=["query_id", "ids", "scores"])
         x, ids = np.stack(index_rows["v"].to_numpy()).astype(float), index_rows["id"].to_numpy()
-        rough = (x / np.linalg.norm(x, axis=1).max()).astype(np.float32).T.copy()
+        x_unit = x / np.abs(x).max()
+        rough = (x_unit / np.linalg.norm(x_unit, axis=1).max()).astype(np.float32).T.copy()
         codes, at = np.unique(index_rows["code"].to_numpy(), return_inverse=True)
         for start in range(0, len(query_rows), 256):
             part = query_rows.iloc[start:start + 256]
@@ -187,20 +206,20 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
             else:
                 least = np.full((len(q), 1), np.float32(-np.inf))
             i, j = np.nonzero((scores >= least) & (scores > -np.inf))  # every tie and near tie goes to the exact measure
-            exact = (q[i] * x[j]).sum(axis=1)
+            with np.errstate(over="ignore", invalid="ignore"):
+                exact = (q[i] * x[j]).sum(axis=1)
             order = np.lexsort((ids[j], -exact, i))
             i, j, exact = i[order], j[order], exact[order]
             cuts = np.flatnonzero(np.diff(i)) + 1
             out += [(qid[rows[0]], n[:k], e[:k]) for rows, n, e in zip(*(np.split(c, cuts) for c in (i, ids[j], exact))) if len(rows)]
         return pd.DataFrame(out, columns=["query_id", "ids", "scores"])
 
-    def merge(lists: pd.DataFrame) -> pd.DataFrame:
-        sizes = lists["ids"].map(len)
-        each = pd.DataFrame({"query_id": np.repeat(lists["query_id"].to_numpy(), sizes), "id": np.concatenate(lists["ids"].to_numpy()),
-                             "score": np.concatenate(lists["scores"].to_numpy())})
-        each = each.sort_values(["query_id", "score", "id"], ascending=[True, False, True]).drop_duplicates(["query_id", "id"])
-        each["rank"] = (each.groupby("query_id").cumcount() + 1).astype(np.int32)
-        return each[each["rank"] <= k][["query_id", "rank", "id", "score"]]
+    def merge(lists: DataFrame) -> DataFrame:
+        each = lists.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("e")).select("query_id", F.col("e.ids").alias("id"), F.col("e.scores").alias("score"))
+        number = F.nanvl("score", F.lit(None).cast("double"))
+        best = each.groupBy("query_id", "id").agg(F.max(number).alias("number"))
+        ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc_nulls_last("number"), "id")))
+        return ranked.where(F.col("rank") <= k).select("query_id", "rank", "id", F.coalesce("number", F.lit(float("nan"))).alias("score"))
 
     def answers(indexed: DataFrame, asked: DataFrame) -> DataFrame:
         """The nearest among the rows of the visited buckets."""
@@ -212,9 +231,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
                  .withColumn("rb", every("row_blocks")).drop("row_blocks", "query_blocks"))
         keys = ["t", "cell", "rb", "qb"]
         near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "query_id bigint, ids array<bigint>, scores array<double>")
-        groups = max(1, -(-found.queries // MERGED_QUERIES))
-        return (near.withColumn("g", F.pmod(F.xxhash64("query_id"), F.lit(groups))).groupBy("g")
-                .applyInPandas(merge, "query_id bigint, rank int, id bigint, score double"))
+        return merge(near)
 
     reached = stage(answers(indexed, asked), "nearest")
     others = rows.select("id").distinct().limit(k + 1).count() - 1

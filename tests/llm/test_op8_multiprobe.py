@@ -58,6 +58,29 @@ def test_awkward_and_empty(spark):
     assert op.nearest(df.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+def test_finite_components_of_any_size(spark):
+    """Denormal, tiny and huge components take part; products may overflow to infinity, and one that is no number ranks last."""
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((60, 4))
+    x[1], x[2], x[3], x[4] = [5e-324, 0, 0, 0], [1e-300, -1e-300, 0, 0], [1e200, 0, 0, 0], [1.7e308, 1.7e308, 0, 1.0]
+    x[5], x[40] = [1e200, -1e200, 1e200, -1e200], [1e-200, 0, 0, 1e-200]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in op.nearest(df, F.col("id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.id, r.score))
+    with np.errstate(over="ignore", invalid="ignore"):
+        for q, found in got.items():
+            scores = (x[q] * x).sum(axis=1)
+            best = sorted((i for i in range(60) if i != q), key=lambda i: (np.isnan(scores[i]), -scores[i], i))[:20]
+            assert len(found) == 20 and len({i for i, _ in found} & set(best)) >= 18
+            assert all(s == scores[i] or np.isnan(s) and np.isnan(scores[i]) for i, s in found)
+        assert [i for i, _ in got[0]][:1] == [max((i for i in range(1, 60)), key=lambda i: ((x[0] * x[i]).sum(), -i))]
+        huge = {r.id: r.score for r in op.nearest(df, F.col("id") == 5, k=59).collect()}
+        assert len(huge) == 59 and np.isnan(huge[4]) and huge[3] == float("inf")
+    only = op.nearest(df.where("vec_id IN (1, 2, 3)"), F.lit(True)).collect()
+    assert len(only) == 6
+
+
 def test_probe_order():
     sets = op.perturbations(4, 200)
     assert not sets[0].any() and len(sets) == 3**4  # each function: stay, down or up
