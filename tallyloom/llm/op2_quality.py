@@ -14,7 +14,8 @@ Everything is DataFrame functions. A text is measured once, inside its row; only
 
 Defined results: a null text has no words and fails the base rules; a null stratum value is a stratum of its own; several
 labels of one id count as good if any is good; labels with a null id or a null label are not used; a repeated row is
-judged as often as it occurs; empty labels certify nothing; further columns pass through :func:`judge` untouched.
+judged as often as it occurs; empty labels certify nothing; further columns pass through :func:`judge` untouched, whatever they are called
+(but for ``kept``, which it sets). The labels that choose among the cutoffs also certify them; that is sound because all are certified together.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tallyloom.llm.names import unused
 from tallyloom.operators.staging import stage
 
 SPACE = "[\\x20\\x09-\\x0D]"
@@ -51,17 +53,22 @@ class Risk:
 
 
 def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the base measures and ``base_failed``; one pass, no shuffle."""
+    """``docs`` with the base measures and ``base_failed``; one pass, no shuffle. A column of one of these names would be lost, so it raises
+    ``ValueError``: rename it, or give only the columns that are needed."""
+    lost = {c.lower() for c in docs.columns} & {*MEASURES, "base_failed"}
+    if lost:
+        raise ValueError(f"columns with the names of measures: {sorted(lost)}")
+    held, = unused(docs, "of_words")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(" \t\n\x0b\x0c\r"))) > 0)
     words = F.array_remove(F.split(text, SPACE + "+"), "")
     out = docs.withColumns({
-        "_of_words": _let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), F.char_length(F.array_join(w, "")).cast("long").alias("chars"),
+        held: _let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), F.char_length(F.array_join(w, "")).cast("long").alias("chars"),
                                                     _repeated(w).alias("repeated"))),
         "n_symbols": F.char_length(text).cast("long") - F.char_length(F.regexp_replace(text, f"[{SYMBOLS}]+", "")),
         "n_dup_lines": _let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long"))})
-    return (out.withColumns({"n_words": F.col("_of_words.n"), "word_chars": F.col("_of_words.chars"), "n_repeat_words": F.col("_of_words.repeated")})
-            .drop("_of_words").withColumn("base_failed", F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")))
+    return (out.withColumns({"n_words": F.col(f"{held}.n"), "word_chars": F.col(f"{held}.chars"), "n_repeat_words": F.col(f"{held}.repeated")})
+            .drop(held).withColumn("base_failed", F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")))
 
 
 def _let(value: Column, body) -> Column:
@@ -124,12 +131,13 @@ def judge(measured: DataFrame, cutoffs: DataFrame, stratum_col: str = "lang") ->
     cutoffs = stage(cutoffs, "cutoffs")
     if cutoffs.count() <= BROADCAST_STRATA:
         cutoffs = F.broadcast(cutoffs)
-    cutoffs = cutoffs.select(F.col("stratum").alias("_stratum"), *[F.col(r).alias(f"_cut_{r}") for r in RULES])
-    joined = measured.join(cutoffs, F.col(stratum_col).cast("string").eqNullSafe(F.col("_stratum")), "left")
+    stratum, *cuts = unused(measured, "stratum", *[f"cut_{r}" for r in RULES])
+    cutoffs = cutoffs.select(F.col("stratum").alias(stratum), *[F.col(r).alias(c) for r, c in zip(RULES, cuts)])
+    joined = measured.join(cutoffs, F.col(stratum_col).cast("string").eqNullSafe(F.col(stratum)), "left")
     out = F.lit(False)
-    for r in RULES:
-        out = out | F.coalesce(_score(r) > F.col(f"_cut_{r}"), F.lit(False))
-    return joined.withColumn("kept", ~F.col("base_failed") & ~out).drop("_stratum", *[f"_cut_{r}" for r in RULES])
+    for r, cut in zip(RULES, cuts):
+        out = out | F.coalesce(_score(r) > F.col(cut), F.lit(False))
+    return joined.withColumn("kept", ~F.col("base_failed") & ~out).drop(stratum, *cuts)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
