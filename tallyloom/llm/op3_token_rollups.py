@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.tokens import ids
+from tallyloom.llm.skew import join_counted
 from tallyloom.operators.staging import stage
 from tallyloom.session import new_folder
 
@@ -97,7 +98,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = F.coalesce("revised_tokens", "text_tokens")
     revised = counted.where("revised_tokens IS NOT NULL")
     first = counted.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = counted.join(first, "digest").where("doc_id > first")
+    copies = join_counted(counted.withColumn("uid", F.monotonically_increasing_id()), stage(first, "copied"), "digest", "uid", counted.count())
+    copies = copies.where("doc_id > first")
     rollup = Rollup(spark, new_folder(spark, "rollup"))
     batches = {"load": changes(counted, 1, vocabularies, F.col("text_tokens")),
                "revise": changes(revised, -1, vocabularies, F.col("text_tokens")).union(changes(revised, 1, vocabularies, F.col("revised_tokens"))),
