@@ -5,8 +5,9 @@ A change is one row with its group (source, language, tokenizer version), a sign
 per group, summed before the shuffle, in a folder of its own that is marked when it is complete. The totals are the sums of
 all marked folders: they are additive, so the order of batches does not matter and a batch costs what it changes.
 
-Commits are idempotent: a marked batch is not written again, whatever is passed, and an unmarked folder (a driver that died)
-is overwritten. The marker is created through Hadoop's file system, so the store may lie wherever Spark can write.
+Commits are idempotent: a marked batch is not written again, whatever is passed, and a folder without a mark (a driver that died)
+is never read. Marks are created through Hadoop's file system, so the store may lie wherever Spark can write. Compaction keeps the
+cost of totals from growing with the number of batches.
 
 Defined results: a null or empty text has no tokens and still counts as a document; null sources and languages are groups;
 repeated rows count as often as they occur; groups whose documents come to zero are left out; further columns are ignored; an
@@ -15,20 +16,24 @@ empty batch changes nothing and is committed.
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm.tokens import ids
 from tallyloom.llm.skew import join_counted
+from tallyloom.llm.tokens import ids
 from tallyloom.operators.staging import stage
 from tallyloom.session import new_folder
+from tallyloom.sources import files
 
 GROUP = ("source", "lang", "tokenizer")
 SCHEMA = "source string, lang string, tokenizer string, documents bigint, tokens bigint"
-MARK = "_COMMITTED"
+#: A mark without a name is left by a driver that died, once it is this old.
+DEAD_SECONDS = 600
 
 
 def count_tokens(rows: DataFrame, texts: list[str], vocabularies: list[str]) -> DataFrame:
@@ -55,37 +60,81 @@ def changes(counted: DataFrame, sign: int, vocabularies: list[str], tokens: Colu
 
 
 class Rollup:
-    """A store of committed batches under one folder."""
+    """A store of committed batches under one folder.
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    A batch's sums lie in a folder of their own. It counts from the moment its mark exists: a small file that names the folder and is created
+    in one step, so of two drivers that commit the same batch one wins and the other's sums are removed; a mark without a name (its driver died) does not
+    count and may be replaced. :meth:`compact` sums what is there into a base and lists the batches that it holds; they stay committed, and
+    totals read the base and later batches only. Folders that a compaction has replaced go with the next one, so readers that have begun are not
+    disturbed.
+    """
 
-    def _path(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+    def __init__(self, spark: SparkSession, root: str, dead_seconds: float = DEAD_SECONDS):
+        self.spark, self.root, self.dead_seconds = spark, root.rstrip("/"), dead_seconds
+
+    def _folder(self, batch: str) -> str:
+        return files.read_text(self.spark, f"{self.root}/marks/{batch}").strip()
 
     def committed(self, batch: str) -> bool:
-        path, files = self._path(f"batch={batch}/{MARK}")
-        return files.exists(path)
+        return bool(self._folder(batch))
+
+    def _store(self, sums: DataFrame) -> str:
+        name = uuid.uuid4().hex
+        sums.select(*GROUP, "documents", "tokens").write.parquet(f"{self.root}/sums/{name}")
+        return name
 
     def commit(self, batch: str, signed: DataFrame) -> bool:
         """Add a batch of :func:`changes`; false, without reading them, if the batch is already there."""
         if self.committed(batch):
             return False
         sums = signed.groupBy(*GROUP).agg(F.sum("sign").cast("long").alias("documents"), F.sum(F.col("sign") * F.col("tokens")).cast("long").alias("tokens"))
-        sums.write.mode("overwrite").parquet(f"{self.root}/batch={batch}")
-        path, files = self._path(f"batch={batch}/{MARK}")
-        files.create(path, True).close()
-        return True
-
-    def totals(self) -> DataFrame:
-        path, files = self._path("batch=*/" + MARK)
-        marked = [str(x.getPath().getParent().toString()) for x in (files.globStatus(path) or [])]
-        if not marked:
+        name, mark = self._store(sums), f"{self.root}/marks/{batch}"
+        if files.exists(self.spark, mark) and not self._folder(batch) and time.time() - files.modified(self.spark, mark) >= self.dead_seconds:
+            files.remove(self.spark, mark)
+        if files.write_text(self.spark, mark, name):
+            return True
+        files.remove(self.spark, f"{self.root}/sums/{name}")
+        return False
+
+    def _base(self) -> tuple[int, str | None, set[str]]:
+        """Number, folder and batches of the last base; zero and nothing before the first."""
+        for name in reversed(files.names(self.spark, f"{self.root}/bases")):
+            folder, *batches = files.read_text(self.spark, f"{self.root}/bases/{name}").split("\n")
+            if folder and batches[-1:] == ["end"]:
+                return int(name), folder, set(batches[:-1])
+        return 0, None, set()
+
+    def _parts(self) -> tuple[list[str], dict[str, str]]:
+        """Folders that make up the totals, and the batches beyond the base with theirs."""
+        _, folder, held = self._base()
+        later = {b: f for b in files.names(self.spark, f"{self.root}/marks") if b not in held and (f := self._folder(b))}
+        return [*([folder] if folder else []), *later.values()], later
+
+    def _sum(self, folders: list[str]) -> DataFrame:
+        if not folders:
             return self.spark.createDataFrame([], SCHEMA)
-        sums = self.spark.read.schema(SCHEMA).parquet(*marked)
+        sums = self.spark.read.schema(SCHEMA).parquet(*[f"{self.root}/sums/{f}" for f in folders])
         return (sums.groupBy(*GROUP).agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens")).where("documents <> 0 OR tokens <> 0"))
 
+    def totals(self) -> DataFrame:
+        return self._sum(self._parts()[0])
+
+    def compact(self) -> bool:
+        """Sum all batches into a new base; false if there is nothing to sum, or if another driver was faster."""
+        number, before, held = self._base()
+        folders, later = self._parts()
+        if not later:
+            return False
+        name = self._store(self._sum(folders))
+        if not files.write_text(self.spark, f"{self.root}/bases/{number + 1:09d}", "\n".join([name, *sorted(held | set(later)), "end"])):
+            files.remove(self.spark, f"{self.root}/sums/{name}")
+            return False
+        for batch in held:  # replaced by the base before this one
+            files.remove(self.spark, f"{self.root}/sums/{self._folder(batch)}")
+        for old in files.names(self.spark, f"{self.root}/bases")[:-2]:
+            files.remove(self.spark, f"{self.root}/sums/{files.read_text(self.spark, f'{self.root}/bases/{old}').split()[0]}")
+        return True
+
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """op3: all documents inserted; texts that lose repeated lines revised; later copies of equal texts deleted; batches replayed."""
@@ -106,4 +155,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
                "delete": changes(copies, -1, vocabularies, latest)}
     for name in [*batches, *batches]:
         rollup.commit(name, batches[name])
+        if name == "revise":
+            rollup.compact()
     return rollup.totals()
