@@ -25,7 +25,16 @@ def multi_grain(df: DataFrame, day: str, keys: Sequence[str], sums: Mapping[str,
     if distinct_days:
         weekday_bit = F.call_function("shiftleft", F.lit(1), F.dayofweek(d))
         parts.append(F.bit_or(weekday_bit).alias("_days"))
-    cells = cells.groupBy(*keys, "_week", "_month").agg(*parts)
+    return _rolled(cells.groupBy(*keys, "_week", "_month").agg(*parts), keys, list(sums), distinct_days, grains)
+
+
+def roll_cells(cells: DataFrame, day: str, keys: Sequence[str], sums: Sequence[str], grains: Sequence[str] = calendar.GRAINS) -> DataFrame:
+    """The second step of :func:`multi_grain` alone, for rows that are sums of cells, each named by one of its days."""
+    named = cells.withColumn("_week", calendar.week_start(F.col(day))).withColumn("_month", F.trunc(day, "month"))
+    return _rolled(named.drop(day), keys, sums, None, grains)
+
+
+def _rolled(cells: DataFrame, keys: Sequence[str], sums: Sequence[str], distinct_days: str | None, grains: Sequence[str]) -> DataFrame:
     starts = {"Weekly": F.col("_week"), "Monthly": F.col("_month"),
               "Quarterly": F.trunc("_month", "quarter"), "Yearly": F.trunc("_month", "year")}
     periods = F.array(*[F.struct(F.lit(g).alias("grain"), starts[g].alias("start")) for g in grains])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,25 +59,58 @@ def specific_or_default(df: DataFrame, lookup: DataFrame, value: str, country: s
             .withColumn(value, F.coalesce(*choice)).drop("_specific", "_default"))
 
 
-def range_join(df: DataFrame, ranges: DataFrame, value: Column, low: str, high: str) -> DataFrame:
-    """Inner join on ``value BETWEEN low AND high`` as an equi join.
+#: Levels of the tree of a range join, at most.
+MOST_LEVELS = 40
+
+
+def range_nodes(ranges: DataFrame, low: str, high: str) -> tuple[DataFrame, Callable[[Column], Column]]:
+    """``ranges`` once for each node of a binary tree that stands for a part of it (``_level``, ``_node``), and the slot of a value.
 
-    Each range is repeated for every slot it touches, and a value looks in its own slot only, so each match is found
-    once. Slots are as wide as the ranges' starts are apart on average, and the last one begins at or before the largest start and has
-    no end: an open-ended range touches as many slots as there are starts above its own, whatever its ``high``. Integer or decimal values
-    both work; a range with a NULL bound matches nothing.
+    The values from the smallest to the largest start are cut into about as many slots of equal width as there are ranges, the last one without an
+    end, and the tree is laid over the slots. The nodes of a range are the largest that lie within its slots, at most two a level, so a range of any
+    length, with or without an end, makes ``2 log n`` rows at most. No two of them share a slot.
     """
     starts = ranges.agg(F.min(low).alias("least"), F.max(low).alias("most"), F.count(low).alias("n")).first()
     least, most = int(starts["least"] or 0), int(starts["most"] or 0)
-    width = max(1, (most - least) // max(1, starts["n"]))
-    top = (most - least) // width
-    slot = lambda c: F.least(F.greatest(F.floor((c.cast("double") - least) / width), F.lit(0)), F.lit(top)).cast("long")
-    ranges = ranges.filter(F.col(low) <= F.col(high))
-    spread = ranges.withColumn("_slot", F.explode(F.sequence(slot(F.col(low)), slot(F.col(high)))))
+    levels = min(MOST_LEVELS, max(0, (starts["n"] or 1) - 1).bit_length())
+    width = max(1, -(-(most - least + 1) // (1 << levels)))
+    top = (1 << levels) - 1
+
+    def slot(c: Column) -> Column:
+        return F.least(F.greatest(F.floor((c.cast("double") - least) / width), F.lit(0)), F.lit(top)).cast("long")
+
+    level = F.col("_level")
+    whole = _down(F.lit(top).cast("long"), F.lit(levels) - level)  # slots of a node, less one
+    spread = (ranges.filter(F.col(low) <= F.col(high)).withColumn("_from", slot(F.col(low))).withColumn("_to", slot(F.col(high)))
+              .withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(levels))))
+              # the first and the last node of a level that lie within the range
+              .withColumn("_first", _down(F.col("_from") + whole, level)).withColumn("_last", _down(F.col("_to") + 1, level) - 1)
+              .filter(F.col("_first") <= F.col("_last")))
+    # a node is left out where the node above it lies within the range as well
+    first = (F.col("_first") % 2 == 1) | (F.col("_first") == F.col("_last"))
+    last = (F.col("_last") % 2 == 0) & (F.col("_last") != F.col("_first"))
+    nodes = F.array_compact(F.array(F.when(first, F.col("_first")), F.when(last, F.col("_last"))))
+    return spread.withColumn("_node", F.explode(nodes)).drop("_from", "_to", "_first", "_last"), slot
+
+
+def _down(c: Column, bits: Column) -> Column:
+    return F.call_function("shiftright", c, bits)
+
+
+def range_join(df: DataFrame, ranges: DataFrame, value: Column, low: str, high: str) -> DataFrame:
+    """Inner join on ``value BETWEEN low AND high`` as an equi join on :func:`range_nodes`.
+
+    A value looks in the nodes above its slot, on the levels that any range uses, and meets each matching range in exactly one of them; the bounds are
+    compared there, as slots are wider than values. Integer or decimal values both work; a range with a NULL bound matches nothing.
+    """
+    spread, slot = range_nodes(ranges, low, high)
+    used = sorted(r[0] for r in spread.select("_level").distinct().collect())  # MOST_LEVELS + 1 numbers at most
     probe = df.withColumn("_value", value).withColumn("_slot", slot(F.col("_value")))
-    return (probe.join(spread, "_slot")
+    probe = probe.withColumn("_level", F.explode(F.array(*map(F.lit, used)) if used else F.array().cast("array<int>")))
+    probe = probe.withColumn("_node", _down(F.col("_slot"), F.col("_level"))).drop("_slot")
+    return (probe.join(spread, ["_level", "_node"])
             .filter(F.col("_value").between(F.col(low), F.col(high)))
-            .drop("_slot", "_value", low, high))
+            .drop("_level", "_node", "_value", low, high))
 
 
 def beside_prior_year(rows: DataFrame, day: str, keys: Sequence[str], measures: Mapping[str, Column],

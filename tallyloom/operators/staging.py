@@ -36,6 +36,11 @@ def run_scope(spark: SparkSession, label: str = "run") -> Iterator[str]:
         files.remove(spark, folder)
 
 
+def current_run() -> str | None:
+    """The folder of the innermost run scope, if there is one."""
+    return _RUN.get()
+
+
 def staging_folder(spark: SparkSession, label: str) -> str:
     """A new path for a staged table: below the folder of the run scope, if there is one."""
     path = new_folder(spark, label)

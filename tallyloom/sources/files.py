@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -47,3 +48,29 @@ def rename(spark: SparkSession, path: str, to: str) -> bool:
         return False
     fs.mkdirs(target.getParent())
     return fs.rename(place, target)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file; False if it is there already. Creating is one step of the store, so of two writers one wins."""
+    fs, place = _at(spark, path)
+    try:
+        out = fs.create(place, False)
+    except Py4JJavaError as e:
+        if fs.exists(place):
+            return False
+        raise e
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file's text; empty if the file is missing."""
+    fs, place = _at(spark, path)
+    if not fs.exists(place):
+        return ""
+    stream = fs.open(place)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()

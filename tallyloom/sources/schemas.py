@@ -66,11 +66,27 @@ SCHEMAS: dict[str, str] = {
     "member_shock": f"{_SEGMENT}, target_day date, member_count bigint",
 }
 
-# Columns that name the versions of a fact. Their distinct rows are a short list, stored beside the fact.
+# Columns whose distinct rows are a short list, stored beside the fact: what names its versions, or the days on which it has rows.
 VERSION_OF: dict[str, tuple[str, ...]] = {
     "shipment_forecasts": ("portfolio_id", "portfolio_status", "is_latest_publish", "dataset_date"),
     "orders_forecast_daily": ("forecast_type", "dataset_date", "forecast_id"),
     "orders_forecast_adjusted": ("forecast_type", "dataset_date", "forecast_id"),
+    "shipment_actuals_all": ("dataset_date",),
+    "shipment_actuals": ("country_code", "target_day"),
+    "orders_actuals": ("country_code", "order_day"),
+    "member_actuals": ("country_code", "target_day"),
+}
+
+# Ids by which reports choose rows of a fact: a stored month is sorted by them, so that an id lies in few row groups.
+CLUSTERED_BY: dict[str, tuple[str, ...]] = {
+    "shipment_forecasts": ("portfolio_id",),
+    "orders_forecast_daily": ("forecast_id",),
+    "orders_forecast_adjusted": ("forecast_id",),
+    "confidence_intervals": ("forecast_id",),
+    "segment_forecast": ("portfolio_id",),
+    "member_runs": ("run_id",),
+    "member_cohort_runs": ("run_id",),
+    "member_rates": ("run_id",),
 }
 
 # Day column by which a stored fact is split into month folders.

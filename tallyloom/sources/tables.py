@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import datetime as dt
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyloom.operators.staging import stage
-from tallyloom.sources.schemas import DAY_OF, SCHEMAS, VERSION_OF
+from tallyloom.operators.staging import current_run, stage
+from tallyloom.sources.schemas import CLUSTERED_BY, DAY_OF, SCHEMAS, VERSION_OF
 
 
 MONTH = "month"  # folder column of a stored fact
@@ -52,7 +53,7 @@ class Tables(Mapping):
         """
         df = self._frame(name)
         day, month = F.col(DAY_OF[name]), F.col(MONTH)
-        wanted = F.lit(False)
+        parts = []
         for first, last in ((_bound(a), _bound(b)) for a, b in ranges):
             part = F.lit(True)
             if first is not None:
@@ -63,17 +64,23 @@ class Tables(Mapping):
                 part = part & (day <= last)
                 if MONTH in df.columns:
                     part = part & (month <= F.trunc(last, "month"))
-            wanted = wanted | part
-        return df.filter(wanted).drop(MONTH)
+            parts.append(part)
+        while len(parts) > 1:  # a balanced tree, however many ranges there are
+            parts = [functools.reduce(Column.__or__, parts[i:i + 2]) for i in range(0, len(parts), 2)]
+        return df.filter(parts[0] if parts else F.lit(False)).drop(MONTH)
 
     def versions(self, name: str) -> DataFrame:
-        """Distinct :data:`VERSION_OF` rows of a fact: read from the list stored beside it, else by one pass over the fact.
+        """Distinct :data:`VERSION_OF` rows of a fact: read from the lists stored beside it, else by one pass over the fact.
 
-        Reports take all their ranks and newest ids from this list, so the fact is not read once per list.
+        Reports take their ranks, newest ids and last days from this list, so the fact is not read once per list.
         """
-        if f"{VERSIONS}/{name}" in self._makers:
-            return self._frame(f"{VERSIONS}/{name}")
-        return stage(self[name].select(*VERSION_OF[name]).distinct(), VERSIONS)
+        listed = f"{VERSIONS}/{name}"
+        if listed in self._makers:
+            return self._frame(listed)
+        at = f"{listed} in {current_run()}"  # a list staged in a run scope goes with it
+        if at not in self._frames:
+            self._frames[at] = stage(self[name].select(*VERSION_OF[name]).distinct(), VERSIONS)
+        return self._frames[at]
 
     def __iter__(self) -> Iterator[str]:
         return (k for k in self._makers if not k.startswith(VERSIONS))
@@ -101,33 +108,73 @@ def stored_tables(spark: SparkSession, root: str) -> Tables:
 
     def lister(name: str) -> Callable[[Tables], DataFrame]:
         types = {c.name: c for c in StructType.fromDDL(SCHEMAS[name])}
-        schema = StructType([types[c] for c in VERSION_OF[name]])
-        return lambda t: t.spark.read.schema(schema).parquet(f"{root}/{VERSIONS}/{name}")
+        schema = StructType([*(types[c] for c in VERSION_OF[name]), StructType.fromDDL(f"{MONTH} date")[0]])
+        return lambda t: t.spark.read.schema(schema).parquet(f"{root}/{VERSIONS}/{name}").select(*VERSION_OF[name]).distinct()
     return Tables(spark, {n: reader(n) for n in SCHEMAS} | {f"{VERSIONS}/{n}": lister(n) for n in VERSION_OF})
 
 
+def _trimmed(df: DataFrame) -> DataFrame:
+    """Codes without blanks around them: blank-padded codes would not compare equal later on."""
+    return df.withColumns({f.name: F.trim(f.name) for f in df.schema.fields if f.dataType.simpleString() == "string"})
+
+
+def _write_months(df: DataFrame, root: str, name: str, months: int, files_per_month: int, mode: str) -> None:
+    """Write the rows of a fact into month folders and the versions of each month into a folder of the same name.
+
+    Rows are dealt to files by ranges of month, ids (:data:`CLUSTERED_BY`) and a hash of the row, and sorted by them: an id lies in one file
+    of a month, or in neighbouring ones if it is large, and its row groups are told apart by their bounds and Bloom filters. A busy month, country or
+    id is split by the hash, which unlike a random salt is the same when a lost task is run again.
+    """
+    ids = CLUSTERED_BY.get(name, ())
+    keys = [F.col(c) for c in (MONTH, *ids)]
+    rows = df.withColumn(MONTH, F.trunc(DAY_OF[name], "month"))
+    dealt = rows.repartitionByRange(max(1, months * files_per_month), *keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys)
+    writer = dealt.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(MONTH)
+    for c in ids:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.bloom.filter.expected.ndv#{c}", "1000")
+    writer.parquet(f"{root}/{name}")
+
+
+def _write_versions(spark: SparkSession, root: str, name: str, mode: str, months: Sequence[dt.date] | None = None) -> None:
+    written = spark.read.schema(f"{SCHEMAS[name]}, {MONTH} date").parquet(f"{root}/{name}")
+    if months is not None:
+        written = written.where(F.col(MONTH).isin(*months))
+    (written.select(*VERSION_OF[name], MONTH).distinct().repartition(MONTH)
+     .write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(MONTH).parquet(f"{root}/{VERSIONS}/{name}"))
+
+
+def _months_of(df: DataFrame, day: str) -> list[dt.date]:
+    """Months in which a frame has rows, one number of dates that follows the calendar and not the rows."""
+    return [r[0] for r in df.select(F.trunc(day, "month")).distinct().collect() if r[0] is not None]
+
+
 def store(tables: Tables, root: str, names: Sequence[str] | None = None,
           files_per_month: int = 1) -> str:
     """Write logical tables below ``root``; facts are split by month of their day column.
 
-    Codes are trimmed here, once: blank-padded codes would not compare equal later on. Rows are
-    spread over ``files_per_month`` tasks per month by a hash of the row, so a busy month (or country,
-    or product) does not end in one task. The hash, unlike a random salt, is the same when a lost task
-    is run again. The version list of a fact (:data:`VERSION_OF`) is written with it.
+    Texts are trimmed here, once. The versions of a fact (:data:`VERSION_OF`) are listed beside it, month by month.
     """
     for name in names or tables:
-        df = tables[name]
-        texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-        df = df.withColumns({c: F.trim(c) for c in texts})
-        path = f"{root}/{name}"
-        if name in DAY_OF:
-            month = F.trunc(DAY_OF[name], "month")
-            salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_month))
-            (df.withColumn(MONTH, month).repartition(MONTH, salt)
-             .write.mode("overwrite").partitionBy(MONTH).parquet(path))
-            if name in VERSION_OF:
-                written = df.sparkSession.read.schema(df.schema).parquet(path)
-                written.select(*VERSION_OF[name]).distinct().coalesce(1).write.mode("overwrite").parquet(f"{root}/{VERSIONS}/{name}")
-        else:
-            df.write.mode("overwrite").parquet(path)
+        df = _trimmed(tables[name])
+        if name not in DAY_OF:
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+            continue
+        _write_months(df, root, name, len(_months_of(df, DAY_OF[name])), files_per_month, "static")
+        if name in VERSION_OF:
+            _write_versions(df.sparkSession, root, name, "static")
     return root
+
+
+def append_months(rows: DataFrame, root: str, name: str, files_per_month: int = 1) -> list[dt.date]:
+    """Add the months of ``rows`` to a stored fact, or replace them; other months are neither read nor written.
+
+    ``rows`` are all rows of their months. Facts come first, then the lists of the same months, so a job that fails in between is mended by
+    running it again. Returns the months.
+    """
+    df = _trimmed(rows).select(*StructType.fromDDL(SCHEMAS[name]).names)
+    months = _months_of(df, DAY_OF[name])
+    if months:
+        _write_months(df, root, name, len(months), files_per_month, "dynamic")
+        if name in VERSION_OF:
+            _write_versions(df.sparkSession, root, name, "dynamic", months)
+    return sorted(months)
