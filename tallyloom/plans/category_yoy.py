@@ -14,6 +14,7 @@ from tallyloom.plans.common import kept_products, numbers, order_revenue, priced
 from tallyloom.sources.tables import Tables
 
 KEYS = ("country_code", "channel", "prime_group", "gl_custom_group", "gl_boss_group")
+RAW_KEYS = ("country_code", "channel", "prime_group", "gl_product_group", "category_code")
 
 
 @dataclass(frozen=True)
@@ -29,7 +30,7 @@ class Params:
 
 
 def last_days(orders: DataFrame) -> DataFrame:
-    """Last order day of each country."""
+    """Last order day of each country, of order rows or of their list of days."""
     return orders.groupBy("country_code").agg(F.max("order_day").alias("max_order_day"))
 
 
@@ -43,7 +44,7 @@ def last_days_with_regions(orders: DataFrame, countries: tuple[str, ...] = label
 
 
 def with_groups(orders: DataFrame, t: Tables) -> DataFrame:
-    """Attach the extension group (specific, wildcard or country default) and the boss flag."""
+    """Attach the extension group (specific, wildcard or country default) and the boss flag, to rows or to groups of them."""
     named = specific_or_default(orders, t["promise_extension"], "promise_extension")
     bossed = named.join(t["boss_categories"], ["country_code", "gl_product_group", "category_code"], "left")
     return (bossed.withColumn("gl_boss_group", F.coalesce("boss", F.lit("No"))).drop("boss")
@@ -57,11 +58,12 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     in_scope = F.col("country_code").isin(*p.countries)
     orders = (t.days("orders_actuals", (p.current_from, None), (p.prior_from, p.prior_to))
               .filter(in_scope & kept_products(p.max_group)))
-    paired = beside_prior_year(with_groups(orders, t), "order_day", KEYS,
-                               {"act_units": F.col("net_ordered_units"), "act_gms": order_revenue()}, current, prior)
+    # sums are linear: the lookups meet one row a day and raw key
+    sums = orders.groupBy(*RAW_KEYS, "order_day").agg(F.sum("net_ordered_units").alias("act_units"), F.sum(order_revenue()).alias("act_gms"))
+    paired = beside_prior_year(with_groups(sums, t), "order_day", KEYS, {c: F.col(c) for c in ("act_units", "act_gms")}, current, prior)
     paired = priced(paired, rates_of(t["fx_rates"], p.scenario, p.target_country), "act_gms_cy", "act_gms_py")
     # Region rows of last_days_with_regions carry region codes and cannot match a country.
-    newest = stage(last_days(t.days("orders_actuals", (p.current_from, None)).filter(in_scope)), "last-days")
+    newest = stage(last_days(t.versions("orders_actuals").filter(current & in_scope)), "last-days")
     age = F.datediff(F.col("max_order_day"), F.col("target_day"))
     shown = (paired.join(newest, "country_code").filter(F.col("target_day") <= F.col("max_order_day"))
              .withColumn("t7", F.when(age < p.trailing_days, 1).otherwise(0))

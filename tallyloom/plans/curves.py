@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar
 from tallyloom.operators.joins import rates_of
-from tallyloom.operators.selection import latest_id_per, only_value, portfolio_list, recent_portfolios
+from tallyloom.operators.selection import latest_id_per, only_value, portfolio_list, recent_portfolios, with_ids
 from tallyloom.operators.staging import stage
 from tallyloom.plans.common import kept_products, numbers, priced
 from tallyloom.sources.tables import Tables
@@ -42,7 +42,7 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     days = (p.first_day, p.last_day)
     grain = ("country_code", "channel", "gl_rollup", "target_day")
     ids = stage(portfolios(t, p), "portfolios")
-    shipped = t.days("shipment_forecasts", days).filter(kept).join(ids, "portfolio_id").groupBy("initiative", "portfolio_id", *grain).agg(
+    shipped = with_ids(t.days("shipment_forecasts", days).filter(kept), ids, "portfolio_id").groupBy("initiative", "portfolio_id", *grain).agg(
         F.sum("shipped_units").alias("shu"), F.sum("product_revenue_amt").alias("prv"), F.sum("gross_gms_amt").alias("gms"))
     shipments = priced(shipped, rates, "prv", "gms").select(
         "initiative", F.lit("shipments").alias("type"), "portfolio_id", *grain, "shu", "prv", "gms")
@@ -50,8 +50,8 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     adjusted = F.col("forecast_type") == "Adjusted"
     newest = stage(latest_id_per(t.versions("orders_forecast_daily").filter(adjusted), "dataset_date", "forecast_id")
                    .select("forecast_id").distinct(), "forecast-ids")
-    ordered = (t.days("orders_forecast_daily", days).filter(adjusted & kept & calendar.on_or_after(F.col("dataset_date"), p.since))
-               .join(newest, "forecast_id", "left_semi").groupBy("dataset_date", *grain)
+    ordered = (with_ids(t.days("orders_forecast_daily", days).filter(adjusted & kept & calendar.on_or_after(F.col("dataset_date"), p.since)),
+                        newest, "forecast_id", how="left_semi").groupBy("dataset_date", *grain)
                .agg(F.sum("net_ordered_units").alias("shu"), F.sum("net_ops").alias("prv"), F.sum("net_ordered_gms").alias("gms")))
     orders = priced(ordered, rates, "prv", "gms").select(
         F.lit("orders_final_forecast").alias("initiative"), F.lit("orders (OSA)").alias("type"),

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import calendar, labels, measures
 from tallyloom.operators.grains import final_and_system
 from tallyloom.operators.joins import rates_of, with_rate
-from tallyloom.operators.selection import newest_rows
+from tallyloom.operators.selection import newest_rows, with_ids
 from tallyloom.operators.staging import stage
 from tallyloom.plans.common import SEGMENT, latest_sets, numbers
 from tallyloom.sources.tables import Tables
@@ -49,7 +49,7 @@ def _forecast_rows(fact: DataFrame, p: Params, ids: DataFrame) -> DataFrame:
     """Refreshed forecasts of the listed portfolios, without backtests."""
     dated = F.try_to_date(F.col("forecast_date"), "yyyyMMdd") == calendar.id_date(F.col("portfolio_id"))
     return (fact.filter((F.col("cs_tag") == "Refresh") & dated & F.col("country_code").isin(*p.countries))
-            .join(ids, "portfolio_id"))
+            .transform(lambda df: with_ids(df, ids, "portfolio_id")))
 
 
 def _sales(t: Tables, p: Params, ids: DataFrame) -> DataFrame:

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar, measures
 from tallyloom.operators.grains import multi_grain
-from tallyloom.operators.selection import largest, portfolio_list, recent_portfolios
-from tallyloom.operators.staging import stage
+from tallyloom.operators.selection import largest, portfolio_list, recent_portfolios, with_ids
+from tallyloom.operators.staging import run_scope, stage
 from tallyloom.plans.common import latest_sets
 from tallyloom.sources import sinks
 from tallyloom.sources.tables import Tables
@@ -56,10 +56,10 @@ def daily(t: Tables, p: Params) -> DataFrame:
     day = F.col("target_day")
     wanted = F.col("country_code") != p.skipped_country
     columns = ("portfolio_id", "country_code", "customer_group", "target_day", "member_count")
-    planned = (t.days("member_runs", (p.since, None)).filter(wanted & (F.col("customer_group") != p.skipped_group))
-               .join(stage(runs(t, p), "member-runs"), "run_id").select(*columns))
+    planned = with_ids(t.days("member_runs", (p.since, None)).filter(wanted & (F.col("customer_group") != p.skipped_group)),
+                       stage(runs(t, p), "member-runs"), "run_id").select(*columns)
     # whole weeks only: actuals end at the last Saturday
-    last = largest(t.days("member_actuals", (p.since, None)).filter(calendar.weekday(day) == SATURDAY), "target_day")
+    last = largest(t.versions("member_actuals").filter((day >= F.lit(p.since).cast("date")) & (calendar.weekday(day) == SATURDAY)), "target_day")
     actual = (t.days("member_actuals", (p.since, last)).filter(wanted)
               .withColumn("portfolio_id", F.lit("Actuals")).select(*columns))
     return planned.union(actual)
@@ -80,4 +80,5 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
 def refresh(t: Tables, p: Params, root: str) -> DataFrame:
     """Replace the stored result of the run mode."""
     target = sinks.target_name("members", p.mode)
-    return sinks.publish_version(report(t, p), f"{root}/{target}", target)
+    with run_scope(t.spark):
+        return sinks.publish_version(report(t, p), f"{root}/{target}", target)

@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from tallyloom.functions import calendar, labels, measures
 from tallyloom.operators.grains import final_and_system
 from tallyloom.operators.joins import rates_of
-from tallyloom.operators.selection import largest, latest_id_per
+from tallyloom.operators.selection import largest, latest_id_per, with_ids
 from tallyloom.operators.staging import stage
 from tallyloom.plans.common import kept_products, numbers, order_revenue, priced
 from tallyloom.sources.tables import Tables
 
 FORECAST_REFRESH = 10_000  # days before the dataset date: marks a row as a forecast
+LABEL = 40  # length of a data type
+FINAL, SYSTEM = "Final", "System"
 MEASURES = ("units", "prv_gms_usd", "gms_usd", "prv_usd")
 COLUMNS = ("refresh_date", "dataset_date", "source", "data_stream", "data_type", "country_code", "channel", "subchannel",
            "gl_rollup", "gl_product_group", "gl_name", "prime_group", "target_day", "day_of_week", "target_week",
@@ -55,12 +57,19 @@ def _tagged(df: DataFrame, stream: str, data_type: Column, refresh: Column, subc
         df = df.withColumn("dataset_date", F.lit(None).cast("date"))
     return df.withColumns({
         "refresh_date": refresh, "source": F.lit(1), "data_stream": F.lit(stream),
-        "data_type": F.left(data_type, F.lit(40)), "subchannel": subchannel, "gl_rollup": blank,
+        "data_type": F.left(data_type, F.lit(LABEL)), "subchannel": subchannel, "gl_rollup": blank,
         "gl_product_group": blank, "gl_name": blank, "day_of_week": calendar.weekday(day) + 1, "target_week": week,
         "week_number": calendar.planning_week_text(day), "year_of_week": calendar.week_label_year(week),
         "target_month": F.trunc(day, "month"), "month_number": F.month(day), "year_number": F.year(day)}).select(*COLUMNS)
 
 
+def _labels(names: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """``(dataset_date, kind, data_type)``: the names of a dataset date as they are cut, each once."""
+    kind = F.explode(F.array(*[F.lit(k) for k in kinds])).alias("kind")
+    label = F.left(F.concat(F.col("data_type_name"), F.lit(" "), F.col("kind"), F.lit(" Forecast")), F.lit(LABEL))
+    return names.select("dataset_date", "data_type_name", kind).select("dataset_date", "kind", label.alias("data_type")).distinct()
+
+
 def report(t: Tables, p: Params = Params()) -> DataFrame:
     reference = t["dataset_reference"]
     scenario = largest(reference, "fx_scenario")
@@ -76,44 +85,41 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
 
     def chosen(versions: DataFrame, identifier: str) -> DataFrame:
         ids = latest_id_per(versions.join(dates, "dataset_date", "left_semi"), "dataset_date", identifier)
-        return stage(ids.join(names, "dataset_date"), "dataset-ids")
-
-    def forecast_type(kind: Column) -> Column:
-        return F.concat(F.col("data_type_name"), F.lit(" "), kind, F.lit(" Forecast"))
+        return stage(ids, "dataset-ids")
 
+    # names and labels meet the sums: a dataset with several names repeats its groups, not its rows
+    named = stage(_labels(names, (FINAL, SYSTEM)), "labels")
     forecast_refresh = F.date_sub("dataset_date", FORECAST_REFRESH)
     order_keys = ["country_code", "channel", "prime_group", "target_day"]
     ship_keys = ["country_code", "channel", "subchannel", "prime_group", "target_day"]
-    dataset = ["dataset_date", "data_type_name"]
 
     ordered = t.days("orders_actuals", past).filter(kept)
     orders = _tagged(priced(_summed(ordered.withColumnRenamed("order_day", "target_day"), order_keys, _order_sums()), rates, *MEASURES[1:]),
                      "Orders", F.lit("Actuals"), day, blank)
 
-    actuals = t["shipment_actuals_all"]
-    shipped = t.days("shipment_actuals_all", past).filter(
-        kept & (F.col("dataset_date") == largest(actuals, "dataset_date")))
+    newest = largest(t.versions("shipment_actuals_all"), "dataset_date")
+    shipped = t.days("shipment_actuals_all", past).filter(kept & (F.col("dataset_date") == newest))
     shipments = _tagged(_summed(shipped, ship_keys, _shipment_sums()),
                         "Shipments", F.lit("Actuals"), day, sub)
 
     published = F.col("portfolio_status") == "PRODUCTION"
     ids = chosen(t.versions("shipment_forecasts").filter(published), "portfolio_id")
-    planned = t.days("shipment_forecasts", future).filter(published & kept & ahead).join(ids, ["dataset_date", "portfolio_id"])
-    ship_forecasts = _tagged(
-        final_and_system(planned, [*dataset, *ship_keys], _shipment_sums(),
-                         F.col("initiative_type") == "Baseline", tag="kind"),
-        "Shipments", forecast_type(F.col("kind")), forecast_refresh, sub)
+    planned = with_ids(t.days("shipment_forecasts", future).filter(published & kept & ahead), ids, "portfolio_id", "dataset_date")
+    both = final_and_system(planned, ["dataset_date", *ship_keys], _shipment_sums(), F.col("initiative_type") == "Baseline", (FINAL, SYSTEM), tag="kind")
+    ship_forecasts = _tagged(both.join(named, ["dataset_date", "kind"]), "Shipments", F.col("data_type"), forecast_refresh, sub)
 
     def order_forecasts(fact: str, kind: str, name: str) -> DataFrame:
-        rows = (t.days(fact, future).filter(kept & ahead & (F.col("forecast_type") == kind))
-                .join(chosen(t.versions(fact), "forecast_id"), ["dataset_date", "forecast_id"]))
-        return _tagged(priced(_summed(rows, [*dataset, *order_keys], _order_sums()), rates, *MEASURES[1:]),
-                       "Orders", forecast_type(F.lit(name)), forecast_refresh, blank)
-
-    final_orders = order_forecasts("orders_forecast_adjusted", "Adjusted", "Final")
-    system_orders = order_forecasts("orders_forecast_daily", "Baseline", "System")
-    # Actuals are grouped by their keys and carry their own stream and type. Forecast labels are cut to 40 characters, so names
-    # that start alike can meet: equal rows count once, as in a set union.
-    forecasts = ship_forecasts.union(final_orders).union(system_orders).distinct()
+        rows = with_ids(t.days(fact, future).filter(kept & ahead & (F.col("forecast_type") == kind)), chosen(t.versions(fact), "forecast_id"),
+                        "forecast_id", "dataset_date")
+        sums = priced(_summed(rows, ["dataset_date", *order_keys], _order_sums()), rates, *MEASURES[1:])
+        return _tagged(sums.join(named.filter(F.col("kind") == name), "dataset_date"), "Orders", F.col("data_type"), forecast_refresh, blank)
+
+    final_orders = order_forecasts("orders_forecast_adjusted", "Adjusted", FINAL)
+    system_orders = order_forecasts("orders_forecast_daily", "Baseline", SYSTEM)
+    # Groups are unique per stream, kind and label, so a set union finds equal rows only where the cut takes the kind away and a final label meets a
+    # system one. The list of labels tells.
+    forecasts = ship_forecasts.union(final_orders).union(system_orders)
+    if not named.groupBy("dataset_date", "data_type").count().where("count > 1").isEmpty():
+        forecasts = forecasts.distinct()
     everything = orders.union(shipments).union(forecasts)
     return numbers(everything, *MEASURES)

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import calendar, labels, measures
-from tallyloom.operators.grains import multi_grain
+from tallyloom.operators.grains import roll_cells
 from tallyloom.operators.joins import rates_of
-from tallyloom.operators.selection import largest, latest_id_per, only_value
-from tallyloom.operators.staging import stage
+from tallyloom.operators.selection import largest, latest_id_per, only_value, with_ids
+from tallyloom.operators.staging import run_scope, stage
 from tallyloom.plans.common import kept_products, numbers
 from tallyloom.plans.member_comparison import INTERNAL, SATURDAY, portfolios
 from tallyloom.sources import sinks
@@ -68,7 +68,7 @@ def cells(t: Tables, p: Params) -> DataFrame:
     visible = t["visible_products"].filter(F.col("visible_gl_product_group").isNotNull()).select("gl_product_group", "gl_name")
     actual = {"portfolio_id": F.lit("Actuals")}
     # actuals end at the last Saturday of the shipments, for orders too
-    last = largest(t.days("shipment_actuals", (p.since, None)).filter(calendar.weekday(day) == SATURDAY), "target_day")
+    last = largest(t.versions("shipment_actuals").filter((day >= F.lit(p.since).cast("date")) & (calendar.weekday(day) == SATURDAY)), "target_day")
     current, finished = (p.since, None), (p.since, last)
 
     ship_revenue = measures.market_revenue(F.col("country_code"), F.col("channel"),
@@ -77,15 +77,15 @@ def cells(t: Tables, p: Params) -> DataFrame:
                                             F.col("net_ops"), F.col("net_ordered_gms"))
     baseline = {"initiative": F.lit("Baseline"), "initiative_type": F.lit("Baseline")}
 
-    planned = t.days("shipment_forecasts", current).filter(kept & (F.col("forecast_id") != p.excluded_forecast)).join(ids, "portfolio_id")
+    planned = with_ids(t.days("shipment_forecasts", current).filter(kept & (F.col("forecast_id") != p.excluded_forecast)), ids, "portfolio_id")
     shipped = t.days("shipment_actuals", finished).filter(kept)
 
     adjusted = F.col("forecast_type") == "Adjusted"
     newest = latest_id_per(t.versions("orders_forecast_daily").filter(adjusted), "dataset_date", "forecast_id").select("forecast_id").distinct()
     # one row per forecast id and listed portfolio it belongs to
     chosen = stage(newest.join(t["forecast_portfolios"], "forecast_id").join(ids, "portfolio_id"), "forecast-ids")
-    ordered = (t.days("orders_forecast_daily", current).filter(adjusted & kept & calendar.on_or_after(F.col("dataset_date"), p.listed_since))
-               .join(chosen, "forecast_id"))
+    ordered = with_ids(t.days("orders_forecast_daily", current).filter(adjusted & kept & calendar.on_or_after(F.col("dataset_date"), p.listed_since)),
+                       chosen, "forecast_id")
     sold = t.days("orders_actuals", finished).filter(kept).withColumnRenamed("order_day", "target_day")
 
     shipments = [_cells(planned, SHIP_KEYS, {}, ship_revenue, "shipped_units"),
@@ -106,11 +106,12 @@ def report(t: Tables, p: Params = Params()) -> DataFrame:
     """
     # The rates hold one scenario, so its name is a key like any other (and not a maximum of texts, for
     # which Spark would sort the facts).
-    rolled = multi_grain(cells(t, p), "target_day", [*KEYS, "fx_scenario"], {"gms": F.col("gms"), "shu": F.col("shu")})
+    rolled = roll_cells(cells(t, p), "target_day", [*KEYS, "fx_scenario"], ["gms", "shu"])
     return numbers(rolled, "gms", "shu")
 
 
 def refresh(t: Tables, p: Params, root: str) -> DataFrame:
     """Replace the stored result of the run mode."""
     target = sinks.target_name("shipments", p.mode)
-    return sinks.publish_version(report(t, p), f"{root}/{target}", target)
+    with run_scope(t.spark):
+        return sinks.publish_version(report(t, p), f"{root}/{target}", target)
