@@ -8,12 +8,15 @@ from tallyloom.coverage.registry import case, dbl
 from tallyloom.coverage.tables_and_columns import FX, num, rates
 from tallyloom.functions import calendar, measures
 from tallyloom.functions.labels import member_class
+from tallyloom.operators.distinct import counts_of, dense_texts, partial_bitmaps
 from tallyloom.operators.grains import multi_grain
 from tallyloom.operators.joins import rates_of, with_rate
-from tallyloom.operators.selection import largest, latest_id_per, newest, newest_rows, ranked, top_ranked
+from tallyloom.operators.partials import DayPartials
+from tallyloom.operators.selection import largest, latest_id_per, newest, newest_rows, ranked, ranked_globally, top_ranked
 from tallyloom.operators.staging import stage
 from tallyloom.plans import category_yoy
 from tallyloom.plans.common import canonical_names, order_revenue
+from tallyloom.session import new_folder
 
 PERIODS = """CASE grain WHEN 'Weekly' THEN target_day - CAST(dayofweek(target_day) AS INTEGER)
     WHEN 'Monthly' THEN CAST(date_trunc('month', target_day) AS DATE)
@@ -60,7 +63,7 @@ def agg_min(t):
 
 @case("agg_global_max", "SELECT max(target_day) AS target_day FROM shipment_actuals WHERE dayofweek(target_day) = 6")
 def agg_global_max(t):
-    return t["shipment_actuals"].filter(calendar.weekday(F.col("target_day")) == 6).agg(F.max("target_day").alias("target_day"))
+    return t.versions("shipment_actuals").filter(calendar.weekday(F.col("target_day")) == 6).agg(F.max("target_day").alias("target_day"))
 
 
 @case("agg_min_of_max", """WITH ends AS (SELECT country_code, max(order_day) AS last_day FROM orders_actuals GROUP BY ALL)
@@ -68,13 +71,15 @@ SELECT 'NA' AS country_code, min(last_day) AS max_order_day FROM ends WHERE coun
 UNION SELECT 'EU', min(last_day) FROM ends WHERE country_code IN ('UK', 'DE', 'FR', 'IT', 'ES') HAVING count(*) > 0
 UNION FROM ends""")
 def agg_min_of_max(t):
-    return category_yoy.last_days_with_regions(t["orders_actuals"])
+    return category_yoy.last_days_with_regions(t.versions("orders_actuals"))
 
 
 @case("agg_count_distinct", """SELECT country_code, customer_group, count(DISTINCT tenure) AS tenures, count(DISTINCT target_day) AS days FROM segment_forecast GROUP BY ALL""")
 def agg_count_distinct(t):
-    return t["segment_forecast"].groupBy("country_code", "customer_group").agg(
-        F.countDistinct("tenure").alias("tenures"), F.countDistinct("target_day").alias("days"))
+    rows, keys = t["segment_forecast"], ["country_code", "customer_group"]
+    coded = rows.select(*keys, "tenure", "target_day").join(dense_texts(rows, "tenure"), "tenure", "left")
+    codes = {"tenures": F.col("code"), "days": F.datediff("target_day", F.lit("1970-01-01").cast("date")).cast("long")}
+    return counts_of(partial_bitmaps(coded, keys, codes), keys, list(codes))
 
 
 @case("agg_avg", """SELECT country_code, round(avg(day(last_day(target_day))), 6) AS days_in_month, round(avg(member_count), 6) AS members FROM member_actuals GROUP BY ALL""")
@@ -127,8 +132,13 @@ def agg_group_by_expr(t):
 @case("agg_multi_grain", f"""SELECT grain AS date_granularity, country_code, customer_group, {PERIODS} AS target_day,
   CAST(sum(member_count) AS BIGINT) AS members, count(DISTINCT target_day) AS days_in_period FROM member_actuals, {GRAINS} GROUP BY ALL""")
 def agg_multi_grain(t):
-    return multi_grain(t["member_actuals"], "target_day", ["country_code", "customer_group"], {"members": F.col("member_count")},
-                       distinct_days="days_in_period")
+    # stored partials: the days up to a first refresh, then only those that came since
+    keys, sums = ["country_code", "customer_group"], {"members": F.col("member_count")}
+    partials = DayPartials(t, "member_actuals", new_folder(t.spark, "daily-members"), keys, sums)
+    days = [r[0] for r in t.versions("member_actuals").select("target_day").distinct().collect()]
+    partials.refresh(sorted(days)[:-7])
+    partials.refresh(days)
+    return multi_grain(partials.frame(), "target_day", keys, {"members": F.col("members")}, distinct_days="days_in_period")
 
 
 @case("agg_two_level", f"""SELECT country_code, CAST(date_trunc('quarter', target_day) AS DATE) AS target_quarter, {dbl("max(units)")} AS best_day, {dbl("sum(units)")} AS units
@@ -146,7 +156,7 @@ def agg_freshness(t):
     def last(rows, name, day):
         return rows.groupBy("country_code").agg(F.max(day).alias("latest_act")).select(
             F.lit(name).alias("data_stream"), "country_code", "latest_act")
-    return last(t["shipment_actuals"], "Shipments", "target_day").union(last(t["orders_actuals"], "Orders", "order_day"))
+    return last(t.versions("shipment_actuals"), "Shipments", "target_day").union(last(t.versions("orders_actuals"), "Orders", "order_day"))
 
 
 # --- ranks, top-N, sorts ----------------------------------------------------------------------------------------------
@@ -161,14 +171,14 @@ def rank_partitioned(t):
 @case("rank_global", """SELECT portfolio_id, dataset_date, CAST(rank() OVER (ORDER BY dataset_date DESC NULLS LAST) AS INTEGER) AS portfolio_rank
 FROM (SELECT DISTINCT portfolio_id, dataset_date FROM shipment_forecasts)""")
 def rank_global(t):
-    return ranked(t["shipment_forecasts"].select("portfolio_id", "dataset_date").distinct(), newest("dataset_date"), name="portfolio_rank")
+    return ranked_globally(t["shipment_forecasts"].select("portfolio_id", "dataset_date").distinct(), {"dataset_date": True}, "portfolio_rank")
 
 
 @case("rank_global_tiebreak", """SELECT portfolio_id, dataset_date, CAST(row_number() OVER (ORDER BY dataset_date DESC NULLS LAST, portfolio_id DESC) AS INTEGER) AS portfolio_rank
 FROM (SELECT DISTINCT portfolio_id, dataset_date FROM shipment_forecasts)""")
 def rank_global_tiebreak(t):
     listed = t["shipment_forecasts"].select("portfolio_id", "dataset_date").distinct()
-    return ranked(listed, newest("dataset_date", "portfolio_id"), name="portfolio_rank")
+    return ranked_globally(listed, {"dataset_date": True, "portfolio_id": True}, "portfolio_rank")
 
 
 @case("topk_by_rank", """SELECT country_code, order_day FROM (SELECT DISTINCT country_code, order_day FROM orders_actuals)

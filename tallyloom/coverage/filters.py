@@ -8,6 +8,7 @@ from tallyloom.coverage.registry import case, dbl
 from tallyloom.coverage.sample_params import AS_OF
 from tallyloom.coverage.tables_and_columns import RECENT, num
 from tallyloom.functions import calendar, labels
+from tallyloom.operators.selection import with_ids
 from tallyloom.operators.staging import stage
 from tallyloom.plans import category_yoy, daily_impact, member_comparison
 
@@ -98,7 +99,7 @@ def filter_forecast_horizon(t):
 JOIN (SELECT country_code, max(order_day) AS last_day FROM orders_actuals GROUP BY ALL) USING (country_code)
 WHERE target_day <= last_day GROUP BY ALL""")
 def filter_up_to_latest_actual(t):
-    last = category_yoy.last_days(t["orders_actuals"])
+    last = category_yoy.last_days(t.versions("orders_actuals"))
     daily = t["orders_forecast_adjusted"].groupBy("country_code", "target_day").agg(F.count("*").alias("lines"))
     return daily.join(last, "country_code").filter(F.col("target_day") <= F.col("max_order_day")).drop("max_order_day")
 
@@ -112,6 +113,6 @@ WHERE portfolio_id IN (SELECT portfolio_id FROM ids UNION SELECT portfolio_id FR
 def filter_param_gate(t):
     def lines(mode: str):
         ids = stage(member_comparison.portfolios(t, mode, "2001-01-01"), "portfolios")
-        return (t["shipment_forecasts"].join(ids, "portfolio_id", "left_semi").groupBy(F.lit(mode).alias("mode"), "portfolio_id")
+        return (with_ids(t["shipment_forecasts"], ids, "portfolio_id", how="left_semi").groupBy(F.lit(mode).alias("mode"), "portfolio_id")
                 .agg(F.count("*").alias("lines")))
     return lines("EXTERNAL").union(lines(member_comparison.INTERNAL))

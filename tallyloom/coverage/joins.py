@@ -8,7 +8,7 @@ from tallyloom.coverage.registry import case, dbl
 from tallyloom.coverage.tables_and_columns import ALL_MODES, FX, RECENT, num, rates
 from tallyloom.functions import measures
 from tallyloom.operators.joins import beside_prior_year, full_pair, range_join, rates_of, specific_or_default, wildcard_left, with_rate
-from tallyloom.operators.selection import latest_id_per, only_value
+from tallyloom.operators.selection import latest_id_per, only_value, with_ids
 from tallyloom.operators.staging import stage
 from tallyloom.plans import member_comparison
 from tallyloom.plans.common import latest_sets
@@ -35,17 +35,21 @@ def join_inner_using(t):
     return planned.join(sold, [*KEYS, "target_day"])
 
 
-@case("join_left_on", """SELECT r.run_id, r.country_code, r.customer_group, r.plan_status, r.plan_type, r.target_day, r.member_count, x.cancel_rate
-FROM member_runs r LEFT JOIN member_rates x ON x.run_id = r.run_id AND x.country_code = r.country_code AND x.customer_group = r.customer_group
-  AND x.plan_status = r.plan_status AND x.plan_type = r.plan_type AND x.target_day = r.target_day AND x.cancel_rate > 0.008""")
+@case("join_left_on", """SELECT run_id, country_code, customer_group, CAST(sum(member_count) AS BIGINT) AS members, count(*) AS lines,
+  count(cancel_rate) AS rated, max(cancel_rate) AS highest_rate
+FROM member_runs LEFT JOIN (SELECT run_id, country_code, customer_group, plan_status, plan_type, target_day, cancel_rate
+  FROM member_rates WHERE cancel_rate > 0.008) USING (run_id, country_code, customer_group, plan_status, plan_type, target_day)
+GROUP BY run_id, country_code, customer_group""")
 def join_left_on(t):
     keys = ["run_id", "country_code", "customer_group", "plan_status", "plan_type", "target_day"]
     runs = t["member_runs"].alias("r")
-    found = t["member_rates"].filter(F.col("cancel_rate") > 0.008).alias("x")
-    same = F.col(f"r.{keys[0]}") == F.col(f"x.{keys[0]}")
-    for k in keys[1:]:
+    found = t["member_rates"].alias("x")
+    same = F.col("x.cancel_rate") > 0.008  # a condition on the right side alone: rows of the left stay
+    for k in keys:
         same = same & (F.col(f"r.{k}") == F.col(f"x.{k}"))
-    return runs.join(found, same, "left").select(*[F.col(f"r.{k}") for k in keys], "r.member_count", "x.cancel_rate")
+    return runs.join(found, same, "left").groupBy(*[F.col(f"r.{k}") for k in keys[:3]]).agg(
+        F.sum("r.member_count").alias("members"), F.count("*").alias("lines"), F.count("x.cancel_rate").alias("rated"),
+        F.max("x.cancel_rate").alias("highest_rate"))
 
 
 @case("join_left_using", """SELECT country_code, customer_group, plan_status, plan_type, target_day, a.member_count, s.member_count AS shock
@@ -81,8 +85,9 @@ WHERE forecast_type = 'Adjusted' AND forecast_id IN (SELECT max(forecast_id) FRO
 GROUP BY ALL""")
 def join_semi_in(t):
     adjusted = t["orders_forecast_daily"].filter(F.col("forecast_type") == "Adjusted")
-    ids = stage(latest_id_per(adjusted, "dataset_date", "forecast_id").select("forecast_id"), "forecast-ids")
-    return (adjusted.join(ids, "forecast_id", "left_semi").groupBy("dataset_date", "forecast_id")
+    versions = t.versions("orders_forecast_daily").filter(F.col("forecast_type") == "Adjusted")
+    ids = stage(latest_id_per(versions, "dataset_date", "forecast_id").select("forecast_id").distinct(), "forecast-ids")
+    return (with_ids(adjusted, ids, "forecast_id", how="left_semi").groupBy("dataset_date", "forecast_id")
             .agg(num(F.sum("net_ordered_units")).alias("units")))
 
 
@@ -95,9 +100,8 @@ def filter_scalar_subquery(t):
             .agg(num(F.sum(measures.converted(F.col("net_ops")))).alias("prv_usd")))
 
 
-@case("join_range_bucket", """SELECT gvs, snapshot_day, CAST(sum(gv_count) AS BIGINT) AS views FROM (
-  SELECT *, CASE WHEN s <= 1 THEN '0-1d' WHEN s <= 3 THEN '2-3d' WHEN s <= 7 THEN '4-7d' WHEN s <= 14 THEN '8-14d' WHEN s <= 29 THEN '15-29d' ELSE '30d+' END AS gvs
-  FROM (SELECT *, ifnull(gvs_prod_int, 30) AS s FROM speed_facts)) GROUP BY ALL""")
+@case("join_range_bucket", """SELECT gvs, snapshot_day, CAST(sum(gv_count) AS BIGINT) AS views
+FROM speed_facts JOIN speed_buckets ON ifnull(gvs_prod_int, 30) BETWEEN range_min AND range_max GROUP BY gvs, snapshot_day""")
 def join_range_bucket(t):
     speed = F.coalesce("gvs_prod_int", F.lit(30))
     return (range_join(t["speed_facts"], t["speed_buckets"], speed, "range_min", "range_max").groupBy("gvs", "snapshot_day")
@@ -116,8 +120,8 @@ def join_wildcard_key(t):
   SELECT o.country_code, o.order_day, e.promise_extension AS own FROM orders_actuals o
   LEFT JOIN promise_extension e ON e.country_code = o.country_code AND e.gl_product_group = o.gl_product_group
     AND coalesce(e.category_code, o.category_code) = o.category_code)
-SELECT country_code, order_day, coalesce(own, CASE country_code WHEN 'US' THEN 'Extension_3' WHEN 'UK' THEN 'Extension_2' END, 'Extension_None') AS promise_extension,
-  count(*) AS lines FROM hit GROUP BY ALL""")
+SELECT country_code, order_day, coalesce(own, fallback, 'Extension_None') AS promise_extension, count(*) AS lines
+FROM hit LEFT JOIN (SELECT country_code, promise_extension AS fallback FROM promise_extension WHERE gl_product_group = 0) USING (country_code) GROUP BY ALL""")
 def join_default_fallback(t):
     return (specific_or_default(t["orders_actuals"], t["promise_extension"], "promise_extension", otherwise="Extension_None")
             .groupBy("country_code", "order_day", "promise_extension").agg(F.count("*").alias("lines")))
@@ -140,7 +144,7 @@ FROM member_runs JOIN member_sets USING (run_id) JOIN (SELECT portfolio_id, arg_
   FROM member_portfolio_sets GROUP BY ALL) USING (set_id) GROUP BY ALL""")
 def join_latest_version(t):
     runs = t["member_sets"].join(latest_sets(t["member_portfolio_sets"]), "set_id").select("portfolio_id", "run_id", "scenario")
-    return (t["member_runs"].join(stage(runs, "member-runs"), "run_id").groupBy("portfolio_id", "run_id", "scenario")
+    return (with_ids(t["member_runs"], stage(runs, "member-runs"), "run_id").groupBy("portfolio_id", "run_id", "scenario")
             .agg(F.sum("member_count").alias("members")))
 
 
@@ -148,7 +152,7 @@ def join_latest_version(t):
 SELECT portfolio_id, target_day, {dbl("sum(shipped_units)")} AS units FROM shipment_forecasts JOIN ids USING (portfolio_id) GROUP BY ALL""")
 def join_recent_portfolios(t):
     ids = stage(member_comparison.portfolios(t, member_comparison.INTERNAL, "2001-01-01"), "portfolios")
-    return (t["shipment_forecasts"].join(ids, "portfolio_id").groupBy("portfolio_id", "target_day")
+    return (with_ids(t["shipment_forecasts"], ids, "portfolio_id").groupBy("portfolio_id", "target_day")
             .agg(num(F.sum("shipped_units")).alias("units")))
 
 
@@ -169,9 +173,9 @@ SELECT ship_order, country_code, latest_act, count(*) AS lines FROM (
 LEFT JOIN ends USING (ship_order, country_code) GROUP BY ALL""")
 def join_latest_actual_date(t):
     def fresh(name, forecast, actual, day):
-        last = actual.groupBy("country_code").agg(F.max(day).alias("latest_act"))
+        last = t.versions(actual).groupBy("country_code").agg(F.max(day).alias("latest_act"))
         lines = forecast.groupBy("country_code").agg(F.count("*").alias("lines"))
         return (lines.join(last, "country_code", "left")
                 .select(F.lit(name).alias("ship_order"), "country_code", "latest_act", "lines"))
-    return (fresh("Shipments", t["shipment_forecasts"], t["shipment_actuals"], "target_day")
-            .union(fresh("Orders", t["orders_forecast_adjusted"], t["orders_actuals"], "order_day")))
+    return (fresh("Shipments", t["shipment_forecasts"], "shipment_actuals", "target_day")
+            .union(fresh("Orders", t["orders_forecast_adjusted"], "orders_actuals", "order_day")))

@@ -1,11 +1,14 @@
 """Stored tables, sinks, and the plans of the reports over stored tables."""
 
+import os
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.coverage.sample_params import REPORTS
+from tallyloom.operators.staging import run_scope, stage
 from tallyloom.plans import member_comparison, shipment_comparison, wbr
 from tallyloom.session import new_folder, shared_folder
 from tallyloom.sources import sinks
@@ -107,16 +110,58 @@ def test_shipment_refresh(spark, sf_dir, tmp_path):
     assert (tmp_path / "shipments_internal").is_dir()
 
 
-def test_refresh_table_keeps_definition(spark, tmp_path):
+def test_refresh_table_switches_and_keeps_its_definition(spark, tmp_path):
     spark.sql(f"CREATE TABLE refreshed (n BIGINT, t STRING) USING parquet LOCATION '{tmp_path}/refreshed'")
     try:
-        for _ in range(2):
-            got = sinks.refresh_table(spark.range(3).select("id", F.lit("x").alias("other_name")), "refreshed")
-        assert got.columns == ["n", "t"] and got.count() == 3
+        reader = None
+        for n in (3, 5):
+            got = sinks.refresh_table(spark.range(n).select(F.col("id").cast("int"), F.lit("x").alias("other_name")), "refreshed", str(tmp_path))
+            assert got.columns == ["n", "t"] and got.dtypes == [("n", "bigint"), ("t", "string")] and got.count() == n
+            reader = reader or got
+        assert reader.count() == 3 and spark.newSession().table("refreshed").count() == 5  # who has begun sees the old rows
+        with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+            sinks.refresh_table(spark.range(4).selectExpr("id", "string(1 / (id - id))"), "refreshed", str(tmp_path))
+        assert spark.table("refreshed").count() == 5
+        with pytest.raises(ValueError):
+            sinks.refresh_table(spark.range(4), "refreshed", str(tmp_path))
     finally:
         spark.sql("DROP TABLE refreshed")
 
 
+def test_vacuum_keeps_what_is_pointed_at_read_or_young(spark, tmp_path):
+    root = str(tmp_path)
+    sinks.publish_version(spark.range(2), root, "kept_view")
+    with sinks.reading(spark, root, "kept_view") as old:
+        for n in (3, 4):
+            sinks.publish_version(spark.range(n), root, "kept_view")
+        sinks.refresh_table(spark.range(7), "kept_table", root)
+        sinks.refresh_table(spark.range(8), "kept_table", root)
+        assert sinks.vacuum(spark, root, "kept_view", "kept_table") == []  # all are young
+        assert len(sinks.vacuum(spark, root, "kept_view", "kept_table", grace_seconds=0)) == 2  # versions of 3 and of 7 rows
+        assert old.count() == 2
+    assert len(sinks.vacuum(spark, root, "kept_view", "kept_table", grace_seconds=0)) == 1
+    assert spark.table("kept_view").count() == 4 and spark.table("kept_table").count() == 8
+    spark.sql("DROP TABLE kept_table")
+
+
+def test_refresh_leaves_no_staged_folder(spark, sf_dir, tmp_path):
+    t, (_, params) = sample_tables(spark, sf_dir), REPORTS["report_member_comparison"]
+    before = set(os.listdir(shared_folder(spark)))
+    member_comparison.refresh(t, params, str(tmp_path))
+    assert set(os.listdir(shared_folder(spark))) == before
+    with pytest.raises(ZeroDivisionError):
+        with run_scope(spark) as folder:
+            stage(spark.range(3))
+            with run_scope(spark) as inner:
+                stage(spark.range(4))
+                assert os.listdir(inner) and os.listdir(folder)
+            assert not os.path.exists(inner) and os.listdir(folder)
+            1 / 0
+    assert not os.path.exists(folder) and set(os.listdir(shared_folder(spark))) == before
+    kept = stage(spark.range(5), "kept")  # without a scope it stays
+    assert kept.count() == 5 and set(os.listdir(shared_folder(spark))) != before
+
+
 def test_versions_switch(spark, tmp_path):
     old = sinks.publish_version(spark.range(2), str(tmp_path), "published")
     new = sinks.publish_version(spark.range(5), str(tmp_path), "published")
@@ -133,7 +178,17 @@ def test_target_names():
 
 def test_declared_view(spark, sf_dir, tmp_path):
     _, params = REPORTS["report_wbr"]
-    assert wbr.create_view(sample_tables(spark, sf_dir), params, str(tmp_path), "weekly_review").columns == list(wbr.COLUMNS)
+    t = sample_tables(spark, sf_dir)
+    view = wbr.create_view(t, params, str(tmp_path), "weekly_review")
+    assert view.columns == list(wbr.COLUMNS)
+    dates = ("2001-07-01", "1999-06-15", str(spark.sql("SELECT current_date()").first()[0]))
+    rows = []
+    for as_of in dates:  # one object, any window: as the report of that date
+        got = spark.newSession().sql(f"SELECT * FROM weekly_review_at(DATE '{as_of}')")
+        assert got.columns == list(wbr.COLUMNS)
+        rows.append(sorted(map(str, got.collect())))
+        assert rows[-1] == sorted(map(str, wbr.report(t, replace(params, as_of=as_of)).collect()))
+    assert rows[0] != rows[1] and sorted(map(str, view.collect())) == rows[2]
 
 
 def test_shared_folder_is_the_configured_one(spark):
@@ -155,4 +210,4 @@ def test_version_lists_are_read_beside_the_facts(spark, stored):
 
 def test_ranks_do_not_read_the_facts(stored):
     for plan in (member_comparison.portfolios(stored, member_comparison.INTERNAL, "2001-01-01"), wbr.ranked_portfolios(stored)):
-        assert not [f for f in plan.inputFiles() if "/month=" in f]
+        assert not [f for f in plan.inputFiles() if "/month=" in f and "/versions/" not in f]
