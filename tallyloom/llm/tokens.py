@@ -17,7 +17,7 @@ from array import array
 import public_tokenizers
 import tiktoken
 
-PARTS = 1_000_000
+PARTS = 200_000
 LONGEST = 64
 
 
