@@ -17,7 +17,7 @@ A query that meets fewer than ``k`` candidates (or than there are others) is com
 Every row is indexed. Buckets are dealt to cells by hash; a cell above ``cell_rows`` rows is split into blocks by a hash of
 the row, so a hot bucket does not land in one task, and a query meets the rows of its visited buckets in every block.
 The queries of a cell are dealt to blocks as well, so no task holds an unbounded side. A block gives at most ``k`` rows a
-query, and Spark's own grouping and window, which combine before the exchange and spill, merge them. Equal scores are kept whole until the
+query, and these lists are merged in rounds, in groups of bounded numbers of queries and of lists. Equal scores are kept whole until the
 tie is settled by the smaller id. Nothing is sampled.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, nor do vectors of another
@@ -35,15 +35,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tallyloom.operators.staging import stage
 
 DIGIT = 64
 #: Scores are first compared in single precision; what lies this close below the k-th, as a share of the norms, is reranked too.
 CLOSE = 1e-5
-#: Queries whose visits are listed at a time.
+#: Queries whose visits are listed at a time; queries, and lists of each, that are merged in one group.
 VISITING = 64
+MERGED_QUERIES, MERGED_LISTS = 512, 32
+LISTS = "query_id bigint, list bigint, ids array<bigint>, scores array<double>"
 
 
 def perturbations(functions: int, probes: int) -> np.ndarray:
@@ -133,7 +134,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     make every index visit a large part of all buckets. Clustered vectors need fewer probes.
     """
     rows = _valid(vectors, id_col, vector_col).withColumn("log_norm", _log_norm())
-    lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.max("log_norm").alias("norm"))
+    lengths = rows.groupBy(F.size("v").alias("d")).agg(F.count(F.lit(1)).alias("n"), F.count_if(is_query).alias("queries"), F.max("log_norm").alias("norm"))
     found = (lengths if dim is None else lengths.where(F.col("d") == dim)).orderBy(F.desc("n"), F.desc("d")).first()
     spark = vectors.sparkSession
     if found is None:
@@ -189,7 +190,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
     def compare(index_rows: pd.DataFrame, query_rows: pd.DataFrame) -> pd.DataFrame:
         out = []
         if not len(index_rows) or not len(query_rows):
-            return pd.DataFrame(out, columns=["query_id", "ids", "scores"])
+            return pd.DataFrame(out, columns=["query_id", "list", "ids", "scores"])
+        number = sum(int(index_rows[c].iat[0]) << shift for c, shift in (("t", 44), ("cell", 16), ("rb", 0)))
         x, ids = np.stack(index_rows["v"].to_numpy()).astype(float), index_rows["id"].to_numpy()
         x_unit = x / np.abs(x).max()
         rough = (x_unit / np.linalg.norm(x_unit, axis=1).max()).astype(np.float32).T.copy()
@@ -211,27 +213,40 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", v
             order = np.lexsort((ids[j], -exact, i))
             i, j, exact = i[order], j[order], exact[order]
             cuts = np.flatnonzero(np.diff(i)) + 1
-            out += [(qid[rows[0]], n[:k], e[:k]) for rows, n, e in zip(*(np.split(c, cuts) for c in (i, ids[j], exact))) if len(rows)]
-        return pd.DataFrame(out, columns=["query_id", "ids", "scores"])
-
-    def merge(lists: DataFrame) -> DataFrame:
-        each = lists.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("e")).select("query_id", F.col("e.ids").alias("id"), F.col("e.scores").alias("score"))
-        number = F.nanvl("score", F.lit(None).cast("double"))
-        best = each.groupBy("query_id", "id").agg(F.max(number).alias("number"))
-        ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc_nulls_last("number"), "id")))
-        return ranked.where(F.col("rank") <= k).select("query_id", "rank", "id", F.coalesce("number", F.lit(float("nan"))).alias("score"))
+            out += [(qid[rows[0]], number, n[:k], e[:k]) for rows, n, e in zip(*(np.split(c, cuts) for c in (i, ids[j], exact))) if len(rows)]
+        return pd.DataFrame(out, columns=["query_id", "list", "ids", "scores"])
+
+    def best(lists: pd.DataFrame) -> pd.DataFrame:
+        sizes = lists["ids"].map(len)
+        each = pd.DataFrame({"query_id": np.repeat(lists["query_id"].to_numpy(), sizes), "id": np.concatenate(lists["ids"].to_numpy()),
+                             "score": np.concatenate(lists["scores"].to_numpy())})
+        each = each.sort_values(["query_id", "score", "id"], ascending=[True, False, True]).drop_duplicates(["query_id", "id"])
+        each = each[each.groupby("query_id").cumcount() < k]
+        return each.groupby("query_id").agg(ids=("id", list), scores=("score", list)).reset_index().assign(list=lists["part"].iat[0])
+
+    def merge(lists: DataFrame, blocks: int) -> DataFrame:
+        groups, parts = max(1, -(-found.queries // MERGED_QUERIES)), blocks
+        while True:  # each round leaves one list a query of MERGED_LISTS of them; no group holds more
+            parts = -(-parts // MERGED_LISTS)
+            keyed = lists.withColumn("g", F.pmod(F.xxhash64("query_id"), F.lit(groups))).withColumn("part", F.pmod(F.xxhash64("list"), F.lit(parts)))
+            lists = keyed.groupBy("g", "part").applyInPandas(best, LISTS)
+            if parts <= 1:
+                break
+        each = F.posexplode(F.arrays_zip("ids", "scores"))
+        score = F.coalesce("e.scores", F.lit(float("nan")))  # pandas passes what is no number as null
+        return lists.select("query_id", each.alias("rank", "e")).select("query_id", (F.col("rank") + 1).alias("rank"), F.col("e.ids").alias("id"), score.alias("score"))
 
     def answers(indexed: DataFrame, asked: DataFrame) -> DataFrame:
         """The nearest among the rows of the visited buckets."""
-        sizes = (indexed.groupBy("t", "cell").agg(blocks(F.count(F.lit(1))).alias("row_blocks"))
-                 .join(asked.groupBy("t", "cell").agg(blocks(F.count(F.lit(1))).alias("query_blocks")), ["t", "cell"]))
+        sizes = stage(indexed.groupBy("t", "cell").agg(blocks(F.count(F.lit(1))).alias("row_blocks"))
+                      .join(asked.groupBy("t", "cell").agg(blocks(F.count(F.lit(1))).alias("query_blocks")), ["t", "cell"]), "cells")
         left = (indexed.join(sizes, ["t", "cell"]).withColumn("rb", F.pmod(F.hash("id", "code"), "row_blocks"))
                 .withColumn("qb", every("query_blocks")).drop("row_blocks", "query_blocks"))
         right = (asked.join(sizes, ["t", "cell"]).withColumn("qb", F.pmod(F.hash("query_id"), "query_blocks"))
                  .withColumn("rb", every("row_blocks")).drop("row_blocks", "query_blocks"))
         keys = ["t", "cell", "rb", "qb"]
-        near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, "query_id bigint, ids array<bigint>, scores array<double>")
-        return merge(near)
+        near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(compare, LISTS)
+        return merge(near, sizes.agg(F.sum("row_blocks").alias("n")).first().n or 1)
 
     reached = stage(answers(indexed, asked), "nearest")
     others = rows.select("id").distinct().limit(k + 1).count() - 1

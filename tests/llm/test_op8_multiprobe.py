@@ -81,6 +81,17 @@ def test_finite_components_of_any_size(spark):
     assert len(only) == 6
 
 
+def test_merging_in_rounds(spark, monkeypatch):
+    """More lists a query than one group may hold: the result is that of one group."""
+    x = np.random.default_rng(3).standard_normal((400, 6))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    found = []
+    for lists in (32, 2):
+        monkeypatch.setattr(op, "MERGED_LISTS", lists)
+        found.append(sorted(map(tuple, op.nearest(df, F.col("id") % 20 == 0, functions=2, probes=9, cell_rows=25).collect())))
+    assert found[0] == found[1] and len(found[0]) == 400
+
+
 def test_probe_order():
     sets = op.perturbations(4, 200)
     assert not sets[0].any() and len(sets) == 3**4  # each function: stay, down or up
