@@ -1,3 +1,4 @@
+import random
 import zlib
 
 from pyspark.sql import functions as F
@@ -21,7 +22,8 @@ def test_documents(spark):
     sf = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
     rows = op.query(spark, sf).collect()
-    check(rows, [tuple(r) for r in docs], 40, 2 * max(len(r.text.encode()) for r in docs))
+    leaf = sum(len(r.text.encode()) + 16 for r in docs) / 40
+    check(rows, [tuple(r) for r in docs], 40, 0.03 * leaf)
     assert {r.law for r in rows} == {"bytes"} and {r.grown_shard for r in rows} == {None}
 
 
@@ -36,6 +38,33 @@ def test_leaves_are_boxes_of_metadata(spark):
     assert abs(sizes[0] - sizes[1]) <= 50
 
 
+def test_tree_over_several_dimensions(spark):
+    """From the leaves back to the root: each node's two sides are apart along its widest dimension, and share its bytes as its leaves are shared."""
+    rng, n, shards = random.Random(8), 900, 11
+    points = [(rng.randint(0, 4000), rng.randint(0, 900), rng.choice([0, 5, 4095])) for _ in range(n)]
+    points[0], points[1] = (0, 0, 0), (4095, 4095, 4095)  # so that a coordinate is its own scale of 12 bits
+    df = spark.createDataFrame([(i, "x" * rng.randint(0, 40), *p) for i, p in enumerate(points)], "doc_id int, text string, a int, b int, c int")
+    rows = {r.doc_id: r for r in op.shard(df, shards, dimensions=("a", "b", "c")).collect()}
+    leaf_bytes, largest = sum(r.size for r in rows.values()) / shards, max(r.size for r in rows.values())
+
+    def node(ids, first, leaves):
+        assert {rows[i].shard for i in ids} <= set(range(first, first + leaves))
+        if leaves == 1:
+            return
+        half = leaves // 2
+        left = [i for i in ids if rows[i].shard < first + half]
+        right = [i for i in ids if rows[i].shard >= first + half]
+        width = [max(points[i][d] for i in ids) - min(points[i][d] for i in ids) for d in range(3)]
+        d = width.index(max(width))
+        assert max(points[i][d] for i in left) <= min(points[i][d] for i in right)
+        goal = sum(rows[i].size for i in ids) * half / leaves
+        assert abs(sum(rows[i].size for i in left) - goal) <= op.TOLERANCE * leaf_bytes + largest
+        node(left, first, half)
+        node(right, first + half, leaves - half)
+
+    node(list(rows), 0, shards)
+
+
 def test_hot_value_and_equal_rows_split(spark):
     df = spark.range(4000).select(F.lit(1).alias("doc_id"), F.lit("same text").alias("text"), F.lit("hot").alias("source"),
                                   F.lit("en").alias("lang"), F.lit(9).alias("n_chars"))

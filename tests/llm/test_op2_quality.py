@@ -19,7 +19,8 @@ def brute(text):
 
 
 def tail(n, k, a):
-    return math.fsum(math.comb(n, j) * a**j * (1 - a) ** (n - j) for j in range(k + 1))
+    log_choose = lambda j: math.lgamma(n + 1) - math.lgamma(j + 1) - math.lgamma(n - j + 1)
+    return math.fsum(math.exp(log_choose(j) + j * math.log(a) + (n - j) * math.log1p(-a)) for j in range(k + 1))
 
 
 def brute_cutoffs(rows, risk):

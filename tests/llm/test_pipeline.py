@@ -57,6 +57,23 @@ def test_rows_that_share_an_id_and_clashing_columns(spark):
     assert pipeline.secrets(spark, docs, SF).columns == docs.columns
 
 
+def test_cutoffs_act_in_every_stratum(spark, tmp_path):
+    """With 1,600 good labels in each of four languages every one certifies cutoffs, and the stage rejects by them."""
+    good = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(59)), lambda i: F.concat(F.lit("word"), (F.col("id") * 61 + i * 7).cast("string"))), " ")
+    bad = F.concat(good, F.repeat(F.lit(" $$$ ###"), 20))
+    rows = spark.range(6880).select(F.col("id").alias("doc_id"), F.element_at(F.array(*map(F.lit, ("en", "de", "fr", "es"))), (F.col("id") % 4 + 1).cast("int")).alias("lang"),
+                                    (F.col("id") % 43 != 0).cast("int").alias("quality"), F.when(F.col("id") % 43 == 0, bad).otherwise(good).alias("text"))
+    docs = rows.select("doc_id", "text", "lang", F.lit("s").alias("source"), F.char_length("text").cast("long").alias("n_chars"))
+    write(rows.select("doc_id", "quality", F.lit(0).alias("toxic")), tmp_path, "labels")
+    kept = {r.doc_id for r in pipeline.quality(spark, docs, str(tmp_path)).collect()}
+    assert kept == {i for i in range(6880) if i % 43}
+    measured = op2_quality.measure(docs)
+    cuts = op2_quality.calibrate(measured, spark.read.parquet(f"{tmp_path}/labels.parquet")).collect()
+    listed = [(r.lang, quality.brute(r.text), r.quality) for r in rows.collect()]
+    want = quality.brute_cutoffs(listed, op2_quality.Risk())
+    assert set(want) == {"en", "de", "fr", "es"} and {r.stratum: {k: r[k] for k in op2_quality.RULES if r[k] is not None} for r in cuts} == want
+
+
 def test_awkward_and_empty(spark, tmp_path):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     for name, docs in (("a", awkward_documents(spark)), ("e", empty_documents(spark))):
