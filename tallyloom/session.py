@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # an IN list of ids reaches Parquet as it is, not as its smallest and largest value
+    "spark.sql.parquet.pushdown.inFilterThreshold": "200",
 }
 
 
@@ -35,12 +37,12 @@ def build_session(app: str = "tallyloom", master: str | None = None, **conf: str
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``.
+    """The folder of ``spark.checkpoint.dir``, or that given to ``setCheckpointDir``.
 
     It has to be reachable from every executor, so a temporary folder is only made where the
     setting is absent *and* the session runs in one process.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
