@@ -146,3 +146,40 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = stage(measure(docs).drop("text"), "measures")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return judge(measured, calibrate(measured, labels)).select("doc_id", *MEASURES, "base_failed", "kept")
+
+
+def sql(risk: Risk = Risk()) -> str:
+    """The query in SQL: windows as rows, tails from log-gammas, cutoffs by the same order of tests."""
+    share, word = risk.max_false_rejection / len(RULES), "[^\\x20\\x09-\\x0D]"
+    grid = ", ".join(f"('{r}', {i}, {c!r})" for r, (_, cuts) in RULES.items() for i, c in enumerate(cuts))
+    scores = " UNION ALL ".join(f"SELECT k, '{r}' AS rule, CAST({e} AS DOUBLE) AS score FROM m WHERE n_words > 0" for r, (e, _) in RULES.items())
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS k, doc_id, lang, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '{word}+') AS words, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{word}')) AS lines FROM d),
+p AS (SELECT k, unnest(words) AS word, unnest(range(len(words))) AS i FROM w),
+g AS (SELECT k, i, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o AS gram FROM p WINDOW o AS (PARTITION BY k ORDER BY i)),
+r AS (SELECT k, unnest([i, i + 1, i + 2]) AS i FROM g WHERE gram IS NOT NULL QUALIFY count(*) OVER (PARTITION BY k, gram) > 1),
+repeated AS (SELECT k, count(DISTINCT i) AS n FROM r GROUP BY k),
+m AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed
+    FROM (SELECT k, doc_id, lang, CAST(len(words) AS BIGINT) AS n_words, length(array_to_string(words, '')) AS word_chars,
+        length(t) - length(regexp_replace(t, '[{SYMBOLS}]', '', 'g')) AS n_symbols,
+        CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words FROM w LEFT JOIN repeated USING (k))),
+s AS MATERIALIZED ({scores}),
+l AS (SELECT doc_id, max(quality) > 0 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+grid(rule, step, cutoff) AS (VALUES {grid}),
+held AS (SELECT lang, rule, step, cutoff, count(*) FILTER (good) AS good_all, count(*) FILTER (good AND score > cutoff) AS good_out,
+        count(*) FILTER (NOT good) AS bad_all, count(*) FILTER (NOT good AND score > cutoff) AS bad_out
+    FROM m JOIN l USING (doc_id) JOIN s USING (k) JOIN grid USING (rule) WHERE NOT base_failed GROUP BY ALL),
+tested AS (SELECT *, CASE WHEN bad_all > 0 THEN bad_out / bad_all ELSE 0 END - {risk.price!r} * good_out / good_all AS gain,
+        max(CASE WHEN good_all = 0 OR good_out >= good_all * {share!r} THEN 1.0 ELSE list_sum(list_transform(range(good_out + 1), lambda j:
+            exp(lgamma(good_all + 1) - lgamma(j + 1) - lgamma(good_all - j + 1) + j * ln({share!r}) + (good_all - j) * ln(1 - {share!r})))) END)
+            OVER (PARTITION BY lang, rule ORDER BY step) AS worst FROM held),
+best AS (SELECT lang, rule, cutoff FROM tested
+    WHERE worst <= {risk.delta / len(RULES)!r} / (SELECT count(*) FROM (SELECT DISTINCT lang FROM held)) AND gain > 0
+    QUALIFY row_number() OVER (PARTITION BY lang, rule ORDER BY gain DESC, step) = 1),
+rejected AS (SELECT DISTINCT m.k FROM m JOIN s USING (k) JOIN best b ON b.rule = s.rule AND b.lang IS NOT DISTINCT FROM m.lang WHERE score > cutoff)
+SELECT doc_id, {', '.join(MEASURES)}, base_failed, NOT base_failed AND k NOT IN (SELECT k FROM rejected) AS kept FROM m
+"""
+
+
+SQL = sql()

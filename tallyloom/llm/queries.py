@@ -20,7 +20,7 @@ QUERIES = {
     "op13_source_divergence": op13_divergence.query,
     "pipeline": corpus_pipeline.run,
 }
-SQL = {"op6_perspective_rotation": op6_perspectives.SQL, "op11_arc_to_warc": op11_warc.SQL, "op12_centroid_clusters": op12_centroids.SQL,
-       "op13_source_divergence": op13_divergence.SQL}
+SQL = {"op2_quality_rules": op2_quality.SQL, "op6_perspective_rotation": op6_perspectives.SQL, "op11_arc_to_warc": op11_warc.SQL,
+       "op12_centroid_clusters": op12_centroids.SQL, "op13_source_divergence": op13_divergence.SQL}
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -2,6 +2,7 @@ import collections
 import math
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 
 from tallyloom.llm import op2_quality as op
@@ -90,3 +91,17 @@ def test_awkward_and_empty(spark):
 
 def test_query(spark, sf_dir):
     assert op.query(spark, sf_dir).columns[:8] == ["doc_id", *op.MEASURES, "base_failed", "kept"]
+
+
+def test_sql_certifies_the_same_cutoffs(spark):
+    sf, risk = "/root/testdata/sf0.1", op.Risk(max_false_rejection=0.1, delta=0.2, price=1.0)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang", "text")
+    measured = op.measure(docs).drop("text").cache()
+    judged = op.judge(measured, op.calibrate(measured, spark.read.parquet(f"{sf}/labels.parquet"), risk=risk))
+    got = {tuple(r) for r in judged.select("doc_id", *op.MEASURES, "base_failed", "kept").collect()}
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf}/{name}.parquet')")
+    want = con.execute(op.sql(risk)).fetchall()
+    assert got == set(want) and len(want) == docs.count()
+    assert any(not base and not kept for *_, base, kept in want)  # a cutoff acts, not the base rules alone
