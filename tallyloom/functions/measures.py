@@ -31,9 +31,8 @@ def converted_total(total: Column) -> Column:
     scale. 25 digits hold any total (19 before the point) and keep the product exact; a larger one raises,
     whether ANSI mode is on or off.
     """
-    narrow = total.try_cast("decimal(25,6)")
     lost = F.raise_error(F.lit("a total has more than 19 digits before the point")).cast("decimal(25,6)")
-    return F.when(total.isNotNull() & narrow.isNull(), lost).otherwise(narrow) * F.col("fx_rate")
+    return F.coalesce(total.try_cast("decimal(25,6)"), F.when(total.isNotNull(), lost)) * F.col("fx_rate")
 
 
 def net_flow(start: Column, convert_in: Column, cancel: Column, convert_out: Column) -> Column:

@@ -29,9 +29,13 @@ def multi_grain(df: DataFrame, day: str, keys: Sequence[str], sums: Mapping[str,
 
 
 def roll_cells(cells: DataFrame, day: str, keys: Sequence[str], sums: Sequence[str], grains: Sequence[str] = calendar.GRAINS) -> DataFrame:
-    """The second step of :func:`multi_grain` alone, for rows that are sums of cells, each named by one of its days."""
+    """The second step of :func:`multi_grain` alone, for rows that are sums of cells, each named by one of its days.
+
+    Cells are dealt by their keys before they are repeated per grain, which serves the aggregation: cells are exchanged, not
+    their copies. A key has as many cells as the calendar at most (from each source), so a frequent one is no hot group.
+    """
     named = cells.withColumn("_week", calendar.week_start(F.col(day))).withColumn("_month", F.trunc(day, "month"))
-    return _rolled(named.drop(day), keys, sums, None, grains)
+    return _rolled(named.drop(day).repartition(*keys), keys, sums, None, grains)
 
 
 def _rolled(cells: DataFrame, keys: Sequence[str], sums: Sequence[str], distinct_days: str | None, grains: Sequence[str]) -> DataFrame:

@@ -51,19 +51,17 @@ def _cells(rows: DataFrame, keys: tuple[str, ...], tags: dict[str, Column], reve
             .agg(F.sum(revenue).alias("gms"), F.sum(units).alias("shu")))
 
 
-def _branch(cells: DataFrame, rates: DataFrame, tags: dict[str, Column]) -> DataFrame:
-    """Common columns; the texts are cut here, because rows whose cut texts are equal belong together."""
-    texts = [F.left(F.col(k), F.lit(TEXT)).alias(k) for k in KEYS]
+def _branch(cells: DataFrame, tags: dict[str, Column]) -> DataFrame:
+    """Common columns; the texts are cut here, because rows whose cut texts are equal belong together. The country names a rate, so it stays whole."""
+    texts = [(F.col(k) if k == "country_code" else F.left(F.col(k), F.lit(TEXT))).alias(k) for k in KEYS]
     label = labels.product_label(F.col("gl_product_group"), F.col("gl_name"))
-    return cells.join(rates, "country_code").withColumn("gl_product_group", label).withColumns(tags).select(
-        *texts, "target_day", F.col("scenario").alias("fx_scenario"), measures.converted_total(F.col("gms")).alias("gms"), "shu")
+    return cells.withColumn("gl_product_group", label).withColumns(tags).select(*texts, "target_day", "gms", "shu")
 
 
 def cells(t: Tables, p: Params) -> DataFrame:
-    """The four sources with common columns, aggregated to cells."""
+    """The four sources with common columns, aggregated to cells, in local currency."""
     kept = kept_products(p.max_group)
     day = F.col("target_day")
-    rates = rates_of(t["fx_rates"], only_value(t["fx_scenario"], "scenario"), p.target_country)
     ids = stage(portfolios(t, p.mode, p.listed_since), "portfolios")
     visible = t["visible_products"].filter(F.col("visible_gl_product_group").isNotNull()).select("gl_product_group", "gl_name")
     actual = {"portfolio_id": F.lit("Actuals")}
@@ -94,20 +92,23 @@ def cells(t: Tables, p: Params) -> DataFrame:
               _cells(sold, ORDER_KEYS, actual, order_revenue, "net_ordered_units")]
     order_tags = {"type": F.lit(ORDERS), "subchannel": F.col("channel"), "initiative": F.lit(ORDER_INITIATIVE),
                   "initiative_type": F.lit(ORDER_INITIATIVE)}
-    branches = [_branch(c, rates, {"type": F.lit("Shipments")}) for c in shipments]
-    branches += [_branch(c.join(visible, "gl_product_group"), rates, order_tags) for c in orders]
+    branches = [_branch(c, {"type": F.lit("Shipments")}) for c in shipments]
+    branches += [_branch(c.join(visible, "gl_product_group"), order_tags) for c in orders]
     return functools.reduce(DataFrame.union, branches)
 
 
 def report(t: Tables, p: Params = Params()) -> DataFrame:
     """The daily step of the job is skipped: sums over days of daily sums are sums over cells of days.
 
-    The four sources differ in type, initiative or portfolio, so they need no deduplication.
+    The four sources differ in type, initiative or portfolio, so they need no deduplication. The rates, one a country, meet the
+    sums of periods: a sum of local amounts has few digits and adds up faster than one of converted ones.
     """
-    # The rates hold one scenario, so its name is a key like any other (and not a maximum of texts, for
-    # which Spark would sort the facts).
-    rolled = roll_cells(cells(t, p), "target_day", [*KEYS, "fx_scenario"], ["gms", "shu"])
-    return numbers(rolled, "gms", "shu")
+    rolled = roll_cells(cells(t, p), "target_day", KEYS, ["gms", "shu"])
+    rates = rates_of(t["fx_rates"], only_value(t["fx_scenario"], "scenario"), p.target_country)
+    money = measures.converted_total(F.col("gms")).alias("gms")
+    named = [F.left("country_code", F.lit(TEXT)).alias(k) if k == "country_code" else F.col(k) for k in KEYS]
+    priced = rolled.join(rates, "country_code").select("date_granularity", *named, F.col("scenario").alias("fx_scenario"), "target_day", money, "shu")
+    return numbers(priced, "gms", "shu")
 
 
 def refresh(t: Tables, p: Params, root: str) -> DataFrame:

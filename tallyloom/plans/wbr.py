@@ -80,6 +80,19 @@ def _order_measures(p: Params) -> tuple[Column, Column]:
     return F.col("net_ordered_units"), basis
 
 
+def _once(forecast: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Forecast rows that differ in dataset only, once.
+
+    Groups are unique per portfolio and dataset, so only a portfolio of several datasets can have such rows; the short list
+    ``chosen`` tells whether there is one, and without it no row is compared.
+    """
+    rows = forecast.drop("dataset_date")
+    if chosen.groupBy("portfolio_id").agg(F.count_distinct("dataset_date").alias("n")).where("n > 1").isEmpty():
+        return rows
+    # hashed by the join keys first: that serves the distinct (on more columns) and the join, one exchange
+    return rows.repartition(*KEYS).distinct()
+
+
 def _shipments(t: Tables, p: Params, portfolios: DataFrame) -> tuple[DataFrame, DataFrame]:
     chosen = portfolios.filter((F.col("portfolio_rank") <= p.portfolios) | (F.col("portfolio_id") == p.pinned_portfolio))
     planned = _with_class(with_ids(p.rows(t, "shipment_forecasts", closed=True), chosen.select("portfolio_id", "dataset_date"),
@@ -88,7 +101,7 @@ def _shipments(t: Tables, p: Params, portfolios: DataFrame) -> tuple[DataFrame,
     forecast = final_and_system(planned, ["portfolio_id", "dataset_date", *KEYS],
                                 {"units_fcst": units, "rev_fcst": revenue}, F.col("initiative_type") == "Baseline")
     shipped = p.rows(t, "shipment_actuals", closed=False)
-    return forecast, stage(_sums(_with_class(shipped), KEYS, units, revenue, "act"), "shipped")
+    return _once(forecast, chosen), stage(_sums(_with_class(shipped), KEYS, units, revenue, "act"), "shipped")
 
 
 def _orders(t: Tables, p: Params, portfolios: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -108,18 +121,16 @@ def _orders(t: Tables, p: Params, portfolios: DataFrame) -> tuple[DataFrame, Dat
     sold = p.rows(t, "orders_actuals", closed=False).withColumnRenamed("order_day", "target_day")
     names = stage(canonical_names(t["gl_names"]), "names")
     actual = stage(_sums(_with_class(sold), ORDER_KEYS, units, revenue, "act"), "sold")
-    return forecast.join(names, "gl_product_group", "left"), actual.join(names, "gl_product_group", "left")
+    return _once(forecast.join(names, "gl_product_group", "left"), chosen), actual.join(names, "gl_product_group", "left")
 
 
 def _stream(name: str, forecast: DataFrame, actual: DataFrame) -> DataFrame:
     """Pair one stream's forecast and actual, and attach its freshness, which the staged groups of the actual hold.
 
-    Forecast rows that differ in dataset only count once. They are merged before the join: the actual
-    side is unique per key, so the order does not matter, and the narrower side is deduplicated.
+    Forecast rows were merged before the join (:func:`_once`): the actual side is unique per key, so the order does not matter,
+    and the narrower side is deduplicated.
     """
-    # hashed by the join keys first: that serves the distinct (on more columns) and the join, one exchange
-    planned = forecast.drop("dataset_date").repartition(*KEYS).distinct()
-    paired = full_pair(planned, actual, KEYS)
+    paired = full_pair(forecast, actual, KEYS)
     last = actual.groupBy("country_code").agg(F.max("target_day").alias("latest_act"))
     return (paired.join(stage(last, "last-days"), "country_code", "left")
             .withColumn("ship_order", F.lit(name)).withColumn("region", labels.region(F.col("country_code"))))

@@ -3,17 +3,20 @@
 import datetime as dt
 import os
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom.coverage.sample_params import REPORTS
 from tallyloom.functions import calendar
 from tallyloom.operators.distinct import BITS, counts_of, dense_texts, partial_bitmaps
-from tallyloom.operators.grains import multi_grain
+from tallyloom.operators.grains import multi_grain, roll_cells
 from tallyloom.operators.joins import full_pair, range_join, range_nodes
 from tallyloom.operators.partials import DayPartials, month_ranges
 from tallyloom.operators.selection import newest, ranked, ranked_globally, with_ids
 from tallyloom.operators.staging import stage
+from tallyloom.plans import wbr
 from tallyloom.sources import sinks
 from tallyloom.sources.sample import sample_tables
 from tallyloom.sources.schemas import CLUSTERED_BY, SCHEMAS, VERSION_OF
@@ -226,3 +229,22 @@ def test_last_days_come_from_lists(spark, facts):
     last = t.versions("member_actuals").filter(calendar.weekday(F.col("target_day")) == 6).agg(F.max("target_day"))
     assert all("/versions/" in f for f in last.inputFiles())
     assert last.first() == t["member_actuals"].filter(calendar.weekday(F.col("target_day")) == 6).agg(F.max("target_day")).first()
+
+
+def test_cells_are_exchanged_once_and_not_their_copies(spark):
+    days = [dt.date(2019, 12, 25) + dt.timedelta(i) for i in range(20)]
+    facts = spark.createDataFrame([(k, d, i) for k in ("a", "b", None) for i, d in enumerate(days)], "k string, day date, n bigint")
+    cells = facts.groupBy("k", F.greatest(calendar.week_start(F.col("day")), F.trunc("day", "month")).alias("day")).agg(F.sum("n").alias("n"))
+    rolled = roll_cells(stage(cells, "cells"), "day", ["k"], ["n"])
+    assert plan_of(rolled).count("Exchange hashpartitioning") == 1
+    columns = ("date_granularity", "k", "target_day", "n")
+    assert rows_of(rolled, *columns) == rows_of(multi_grain(facts, "day", ["k"], {"n": F.col("n")}), *columns)
+
+
+def test_a_portfolio_of_two_datasets_counts_once(spark, sf_dir):
+    t = sample_tables(spark, sf_dir)
+    params = replace(REPORTS["report_wbr"][1], portfolios=1000)
+    facts = t["shipment_forecasts"]
+    again = facts.withColumn("dataset_date", F.lit("1900-01-01").cast("date"))  # no dataset of orders has this date
+    want = rows_of(wbr.report(t, params))
+    assert rows_of(wbr.report(t.replaced(shipment_forecasts=facts.union(again)), params)) == want and want
