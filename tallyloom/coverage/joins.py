@@ -35,11 +35,9 @@ def join_inner_using(t):
     return planned.join(sold, [*KEYS, "target_day"])
 
 
-@case("join_left_on", """SELECT run_id, country_code, customer_group, CAST(sum(member_count) AS BIGINT) AS members, count(*) AS lines,
-  count(cancel_rate) AS rated, max(cancel_rate) AS highest_rate
+@case("join_left_on", """SELECT run_id, country_code, customer_group, plan_status, plan_type, target_day, member_count, cancel_rate
 FROM member_runs LEFT JOIN (SELECT run_id, country_code, customer_group, plan_status, plan_type, target_day, cancel_rate
-  FROM member_rates WHERE cancel_rate > 0.008) USING (run_id, country_code, customer_group, plan_status, plan_type, target_day)
-GROUP BY run_id, country_code, customer_group""")
+  FROM member_rates WHERE cancel_rate > 0.008) USING (run_id, country_code, customer_group, plan_status, plan_type, target_day)""")
 def join_left_on(t):
     keys = ["run_id", "country_code", "customer_group", "plan_status", "plan_type", "target_day"]
     runs = t["member_runs"].alias("r")
@@ -47,9 +45,7 @@ def join_left_on(t):
     same = F.col("x.cancel_rate") > 0.008  # a condition on the right side alone: rows of the left stay
     for k in keys:
         same = same & (F.col(f"r.{k}") == F.col(f"x.{k}"))
-    return runs.join(found, same, "left").groupBy(*[F.col(f"r.{k}") for k in keys[:3]]).agg(
-        F.sum("r.member_count").alias("members"), F.count("*").alias("lines"), F.count("x.cancel_rate").alias("rated"),
-        F.max("x.cancel_rate").alias("highest_rate"))
+    return runs.join(found, same, "left").select(*[F.col(f"r.{k}") for k in keys], "r.member_count", "x.cancel_rate")
 
 
 @case("join_left_using", """SELECT country_code, customer_group, plan_status, plan_type, target_day, a.member_count, s.member_count AS shock

@@ -245,3 +245,12 @@ def test_the_comparison_joins_rates_to_sums_of_periods(spark, sf_dir):
     assert len(joins) == 1
     below = next(o for o in operators[joins[0] + 1:] if not o.startswith(("Project", "Join", "Filter")))
     assert below.startswith("Aggregate") and "sum(gms#" in below  # that of the periods: the one of the cells sums a choice of amounts
+
+
+def test_left_join_returns_each_run_row_beside_its_rate(spark):
+    day, keys = D(2001, 1, 1), "run_id string, country_code string, customer_group string, plan_status string, plan_type string, target_day date"
+    a, b, c = ("r1", "US", "prm", "paid", "annual", day), ("r1", "US", "prm", "paid", "monthly", day), ("r1", "US", "prm", "paid", None, day)
+    runs = spark.createDataFrame([(*a, 10), (*a, 11), (*b, 20), (*c, 30)], f"{keys}, member_count bigint")
+    rates = spark.createDataFrame([(*a, 0.5), (*b, 0.001), (*c, 0.7)], f"{keys}, cancel_rate double")
+    t = sample_tables(spark, "").replaced(member_runs=runs, member_rates=rates)
+    assert rows(CASES["join_left_on"].build(t)) == sorted([(*a, 10, 0.5), (*a, 11, 0.5), (*b, 20, None), (*c, 30, None)], key=str)
