@@ -17,7 +17,7 @@ from tallyloom.operators.partials import DayPartials, month_ranges
 from tallyloom.operators.selection import newest, ranked, ranked_globally, with_ids
 from tallyloom.operators.staging import stage
 from tallyloom.plans import wbr
-from tallyloom.sources import sinks
+from tallyloom.sources import sample, sinks
 from tallyloom.sources.sample import sample_tables
 from tallyloom.sources.schemas import CLUSTERED_BY, SCHEMAS, VERSION_OF
 from tallyloom.sources.tables import append_months, store, stored_tables
@@ -248,3 +248,15 @@ def test_a_portfolio_of_two_datasets_counts_once(spark, sf_dir):
     again = facts.withColumn("dataset_date", F.lit("1900-01-01").cast("date"))  # no dataset of orders has this date
     want = rows_of(wbr.report(t, params))
     assert rows_of(wbr.report(t.replaced(shipment_forecasts=facts.union(again)), params)) == want and want
+
+
+# --- sales that many facts are made from ---------------------------------------------------------------------------------
+
+def test_the_last_join_of_the_sales_has_as_many_tasks_as_the_lines_need(spark, sf_dir, monkeypatch):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
+    few = sample_tables(spark, sf_dir)["base_sales"]
+    monkeypatch.setattr(sample, "LINES_PER_TASK", 400)
+    many = sample_tables(spark, sf_dir)["base_sales"]
+    assert "REPARTITION_BY_NUM" not in plan_of(few)
+    assert f"{lines // 400}), REPARTITION_BY_NUM" in plan_of(many)
+    assert rows_of(many) == rows_of(few)
