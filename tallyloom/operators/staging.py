@@ -55,5 +55,5 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     short lists (runs, portfolios, forecast ids) that several branches of a report join to.
     """
     path = staging_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

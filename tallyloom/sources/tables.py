@@ -88,6 +88,15 @@ class Tables(Mapping):
     def __len__(self) -> int:
         return sum(1 for _ in self)
 
+    def staged(self, *names: str) -> "Tables":
+        """The same set, where the named tables (if it has them) are staged on first use.
+
+        For tables that others are made from, each time by the same joins: however often a report reads those, the joins run once.
+        """
+        def once(make: Callable[["Tables"], DataFrame], name: str) -> Callable[["Tables"], DataFrame]:
+            return lambda t: stage(make(t), name)
+        return Tables(self.spark, self._makers | {n: once(self._makers[n], n) for n in names if n in self._makers})
+
     def replaced(self, **frames: DataFrame) -> "Tables":
         """The same set with some tables given as frames."""
         kept = {k: m for k, m in self._makers.items() if k.removeprefix(f"{VERSIONS}/") not in frames}

@@ -8,6 +8,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from tallyloom.coverage import CASES
 from tallyloom.coverage.sample_params import REPORTS
 from tallyloom.functions import calendar
 from tallyloom.operators.distinct import BITS, counts_of, dense_texts, partial_bitmaps
@@ -260,3 +261,8 @@ def test_the_last_join_of_the_sales_has_as_many_tasks_as_the_lines_need(spark, s
     assert "REPARTITION_BY_NUM" not in plan_of(few)
     assert f"{lines // 400}), REPARTITION_BY_NUM" in plan_of(many)
     assert rows_of(many) == rows_of(few)
+
+
+@pytest.mark.parametrize("name", ["report_ship_order_actuals", "report_wbr"])
+def test_a_report_joins_the_sales_once(spark, sf_dir, name):
+    assert "l_orderkey" not in plan_of(CASES[name].build(sample_tables(spark, sf_dir)))
