@@ -17,9 +17,20 @@ from tallyloom.sources.schemas import CLUSTERED_BY, DAY_OF, SCHEMAS, VERSION_OF
 
 MONTH = "month"  # folder column of a stored fact
 VERSIONS = "versions"  # folder of the stored version lists
+#: Rows of a staged table that one task reads, about, where every core has a task.
+ROWS_PER_TASK = 4_000_000
 Bound = str | dt.date | Column | None
 
 
+def _in_large_tasks(staged: DataFrame) -> DataFrame:
+    """A staged table read in one task a core, or one per :data:`ROWS_PER_TASK` if those are more (fewer if the scan has fewer).
+
+    Each task that sums a fact hands on up to all groups of its days, so that many small ones move the same groups again and again.
+    """
+    cores = staged.sparkSession.sparkContext.defaultParallelism
+    return staged.coalesce(max(cores, staged.count() // ROWS_PER_TASK))
+
+
 def _bound(value: Bound) -> Column | None:
     if value is None or isinstance(value, Column):
         return value
@@ -91,10 +102,11 @@ class Tables(Mapping):
     def staged(self, *names: str) -> "Tables":
         """The same set, where the named tables (if it has them) are staged on first use.
 
-        For tables that others are made from, each time by the same joins: however often a report reads those, the joins run once.
+        For tables that others are made from, each time by the same joins: however often a report reads those, the joins run once. They are read
+        in large tasks, which sum more of their rows before an exchange.
         """
         def once(make: Callable[["Tables"], DataFrame], name: str) -> Callable[["Tables"], DataFrame]:
-            return lambda t: stage(make(t), name)
+            return lambda t: _in_large_tasks(stage(make(t), name))
         return Tables(self.spark, self._makers | {n: once(self._makers[n], n) for n in names if n in self._makers})
 
     def replaced(self, **frames: DataFrame) -> "Tables":

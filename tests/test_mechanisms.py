@@ -18,7 +18,7 @@ from tallyloom.operators.partials import DayPartials, month_ranges
 from tallyloom.operators.selection import newest, ranked, ranked_globally, with_ids
 from tallyloom.operators.staging import stage
 from tallyloom.plans import wbr
-from tallyloom.sources import sample, sinks
+from tallyloom.sources import sample, sinks, tables
 from tallyloom.sources.sample import sample_tables
 from tallyloom.sources.schemas import CLUSTERED_BY, SCHEMAS, VERSION_OF
 from tallyloom.sources.tables import append_months, store, stored_tables
@@ -266,3 +266,19 @@ def test_the_last_join_of_the_sales_has_as_many_tasks_as_the_lines_need(spark, s
 @pytest.mark.parametrize("name", ["report_ship_order_actuals", "report_wbr"])
 def test_a_report_joins_the_sales_once(spark, sf_dir, name):
     assert "l_orderkey" not in plan_of(CASES[name].build(sample_tables(spark, sf_dir)))
+
+
+def test_staged_sales_are_read_in_large_tasks(spark, sf_dir, monkeypatch):
+    cores, size = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.files.maxPartitionBytes")
+    sales = sample_tables(spark, sf_dir).staged("base_sales")["base_sales"]
+    rows = sales.count()
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+        assert spark.read.parquet(*sales.inputFiles()).rdd.getNumPartitions() > 3 * cores
+        few = sample_tables(spark, sf_dir).staged("base_sales")["base_sales"]
+        assert few.rdd.getNumPartitions() == cores
+        monkeypatch.setattr(tables, "ROWS_PER_TASK", rows // (2 * cores))
+        assert sample_tables(spark, sf_dir).staged("base_sales")["base_sales"].rdd.getNumPartitions() == rows // (rows // (2 * cores))
+        assert rows_of(few) == rows_of(sample_tables(spark, sf_dir)["base_sales"])
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
